@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rainfold.functions.parsing import iso_seconds, lenient_timestamp, lenient_utc_timestamp
-from rainfold.schemas import Readings
+from rainfold.schemas import DAILY, DAILY_METRICS, HOURLY, HOURLY_METRICS, Readings
 
 
 def zip_series(time: Column, series: dict[str, Column], time_field: str = "time") -> Column:
@@ -54,9 +54,12 @@ def with_partition_date(rows: DataFrame, kind: Readings) -> DataFrame:
     return rows.withColumn("p_date", F.to_date(kind.time_column))
 
 
-def split_unparsable(rows: DataFrame, kind: Readings) -> tuple[DataFrame, DataFrame]:
-    """Rows with a usable time, and the rows to quarantine because their time did not parse."""
-    usable = F.col(kind.time_column).isNotNull()
+def split_unparsable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with a usable time, and the rows to quarantine because their time did not parse.
+
+    The partition date is null exactly when the time is, so each half reads its own partitions.
+    """
+    usable = F.col("p_date").isNotNull()
     return rows.where(usable), rows.where(~usable)
 
 
@@ -86,8 +89,6 @@ def landing_records(hourly: DataFrame, daily: DataFrame, locations: DataFrame) -
 
     A document has one ingestion stamp: the newest of the rows it holds.
     """
-    from rainfold.schemas import DAILY, DAILY_METRICS, HOURLY, HOURLY_METRICS
-
     blocks = pack_series(hourly, HOURLY).alias("h").join(
         pack_series(daily, DAILY).alias("d"), ["location_id", "month"], "full"
     )
