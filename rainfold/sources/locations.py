@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,14 @@ from rainfold.schemas import LOCATION_COLUMNS
 def read_locations(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header, matched by column name; coordinates become doubles."""
     try:
-        # Read as text: a given schema would be matched by position, not by name.
-        text = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+        # Read as text: a given schema would be matched by position, not by name. Without column
+        # pruning a row with too many fields fails whatever columns a query asks for.
+        text = (
+            spark.read.option("header", True)
+            .option("mode", "FAILFAST")
+            .option("columnPruning", False)
+            .csv(path)
+        )
     except AnalysisException as error:
         raise FileNotFoundError(f"no location list at {path}: {error.getMessage()}") from error
     require_columns(text, LOCATION_COLUMNS, f"location list {path}")
@@ -36,10 +43,9 @@ def active_locations(locations: DataFrame) -> DataFrame:
         summary = active.agg(
             F.count(F.lit(1)).alias("n"), F.coalesce(F.bool_or(nowhere), F.lit(False)).alias("bad")
         ).first()
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         raise ValueError(
-            "the location list did not parse; a field with a comma in it must be quoted: "
-            f"{error.getMessage()}"
+            "the location list did not parse; a field with a comma in it must be quoted"
         ) from error
     if summary["n"] == 0:
         raise ValueError("no active location; set is_active to true in at least one row")
