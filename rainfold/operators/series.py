@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rainfold.functions.parsing import iso_seconds, lenient_timestamp, lenient_utc_timestamp
+from rainfold.operators.latest import latest_by_key
 from rainfold.schemas import DAILY, DAILY_METRICS, HOURLY, HOURLY_METRICS, Readings
 
 
@@ -66,9 +67,11 @@ def split_unparsable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def pack_series(rows: DataFrame, kind: Readings) -> DataFrame:
     """Rows to one block of parallel arrays per location and calendar month, in time order.
 
-    Rows must be unique per key. The month bounds the array length, so a location with a long
-    history is spread over many groups.
+    The newest row per key goes in, so the month bounds the array length: neither copies of a
+    key nor a location with a long history make a group grow. Rows that are already unique by
+    key keep their partitioning and are not shuffled again for it.
     """
+    rows = latest_by_key(rows, kind.keys)
     month = F.trunc("p_date", "month")
     time_format = "yyyy-MM-dd" if kind.block == "daily" else "yyyy-MM-dd'T'HH:mm"
     entry = F.struct(
@@ -85,7 +88,7 @@ def pack_series(rows: DataFrame, kind: Readings) -> DataFrame:
 
 
 def landing_records(hourly: DataFrame, daily: DataFrame, locations: DataFrame) -> DataFrame:
-    """Landing documents from unique hourly and daily rows, one per location and month.
+    """Landing documents from hourly and daily rows, one per location and month.
 
     A document has one ingestion stamp: the newest of the rows it holds.
     """

@@ -77,7 +77,7 @@ def read_bronze(spark: SparkSession, path: str, kind: Readings) -> DataFrame:
 
 def ensure_table(spark: SparkSession, path: str, kind: Readings) -> None:
     """Create an empty table unless the folder exists."""
-    _write(spark.createDataFrame([], kind.schema), path, "ignore", PARTITION)
+    _write(spark.createDataFrame([], kind.schema).coalesce(1), path, "ignore", PARTITION)
 
 
 def register(
@@ -102,6 +102,8 @@ class LoadReport:
     mode: str
     rows_read: int
     rows_loaded: int
+    # First and last date of the batch; models need a rebuild for these dates only.
+    dates: DateRange | None = None
 
     @property
     def duplicates(self) -> int:
@@ -130,22 +132,24 @@ def load(batch: DataFrame, path: str, kind: Readings, mode: str = "upsert") -> L
     spark = prepare(batch.sparkSession)
     _finish_swap(spark, path)
     staged = _stage(batch, kind)
-    report = LoadReport(mode, batch.count(), staged.count())
-    if report.skipped:
-        return report
-    first, last, undated = staged.agg(
-        F.min(PARTITION), F.max(PARTITION), F.count_if(F.col(PARTITION).isNull())
+    rows, first, last, undated = staged.agg(
+        F.count(F.lit(1)),
+        F.min(PARTITION),
+        F.max(PARTITION),
+        F.count_if(F.col(PARTITION).isNull()),
     ).first()
     if undated:
         raise ValueError(f"{undated} rows have no {kind.time_column}; quarantine them first")
+    dates = DateRange(first, last) if rows else None
+    report = LoadReport(mode, batch.count(), rows, dates)
+    if report.skipped:
+        return report
     ensure_table(spark, path, kind)
     if mode == "replace":
         _write(spread_by_date(_full_width(staged, kind)), path, "overwrite", PARTITION)
         return report
     # Two literals prune the scan to the batch's dates before anything is joined.
-    current = read_bronze(spark, path, kind).where(
-        F.col(PARTITION).between(F.lit(first), F.lit(last))
-    )
+    current = read_bronze(spark, path, kind).where(dates.covers(F.col(PARTITION)))
     if mode == "append":
         _append(staged, current, path, kind)
     else:

@@ -14,9 +14,9 @@ LINE_FILES = "*.json*"
 _CORRUPT = "malformed"
 
 
-def _reader(spark: SparkSession, schema: T.StructType, mode: str):
+def _options(reader, schema: T.StructType, mode: str):
     return (
-        spark.read.schema(schema)
+        reader.schema(schema)
         .option("mode", mode)
         .option("pathGlobFilter", LINE_FILES)
         .option("recursiveFileLookup", True)
@@ -46,16 +46,25 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     Keys the schema does not name are ignored, absent ones are null.
     """
     require_landing(spark, path)
-    return _reader(spark, LANDING, "FAILFAST").json(path)
+    return _options(spark.read, LANDING, "FAILFAST").json(path)
+
+
+def landing_stream(
+    spark: SparkSession, path: str, max_files_per_batch: int | None = None
+) -> DataFrame:
+    """The same documents as a stream of files, as strict about broken lines."""
+    reader = _options(spark.readStream, LANDING, "FAILFAST")
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    return reader.json(path)
 
 
 def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
     """File and text of each line that does not parse, to find what made a read fail."""
     require_landing(spark, path)
     schema = T.StructType([*LANDING.fields, T.StructField(_CORRUPT, T.StringType())])
-    lines = (
-        _reader(spark, schema, "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
-    ).json(path)
+    reader = _options(spark.read, schema, "PERMISSIVE")
+    lines = reader.option("columnNameOfCorruptRecord", _CORRUPT).json(path)
     # A second column keeps the reader from pruning the parse away.
     return lines.select(
         F.col("_metadata.file_path").alias("file_path"), "location_id", _CORRUPT

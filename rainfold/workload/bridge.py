@@ -12,84 +12,101 @@ from pyspark.sql import functions as F
 
 from rainfold.session import prepare
 
-WET = ("click", "purchase", "signup")
+# The driver's tables have fixed columns; naming them saves a job per read.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
 
+_LOCATION = "concat('loc_', user_id) as location_id"
+_TEMPERATURE = "floor(value * 4) / 8 - 10"
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+def _amount(*types: str) -> str:
+    listed = ", ".join(f"'{name}'" for name in types)
+    return f"if(event_type in ({listed}), floor(value) / 64, 0d)"
 
 
-def _temperature():
-    return F.floor(F.col("value") * 4) / 8 - 10
+WET = _amount("click", "purchase", "signup")
+RAIN = _amount("click", "purchase")
+SNOW = _amount("signup")
 
 
-def _amount(*types: str):
-    return F.when(F.col("event_type").isin(*types), F.floor("value") / 64).otherwise(0.0)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return prepare(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def bronze_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly readings; an ``error`` event has no temperature and no precipitation."""
-    measured = F.col("event_type") != "error"
-    return table(spark, sf_dir, "events").select(
-        F.concat(F.lit("loc_"), "user_id").alias("location_id"),
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("observed_at"),
-        F.col("ts").alias("ingested_at"),
-        F.when(measured, _temperature()).alias("temperature_2m"),
-        F.when(F.col("event_id") % 17 != 0, (F.col("event_id") % 101).cast("double")).alias(
-            "relative_humidity_2m"
-        ),
-        F.when(measured, _amount(*WET)).alias("precipitation"),
-        F.when(measured, _amount("click", "purchase")).alias("rain"),
-        F.when(measured, _amount("signup")).alias("snowfall"),
-        ((F.col("event_id") % 9) / 8).alias("snow_depth"),
-        (F.col("event_id") % 80).cast("double").alias("wind_speed_10m"),
-        F.to_date("ts").alias("p_date"),
+
+    def measured(expression: str) -> str:
+        return f"if(event_type = 'error', null, {expression})"
+
+    return table(spark, sf_dir, "events").selectExpr(
+        _LOCATION,
+        "cast(date_trunc('hour', ts) as timestamp_ntz) as observed_at",
+        "ts as ingested_at",
+        f"{measured(_TEMPERATURE)} as temperature_2m",
+        "if(event_id % 17 = 0, null, double(event_id % 101)) as relative_humidity_2m",
+        f"{measured(WET)} as precipitation",
+        f"{measured(RAIN)} as rain",
+        f"{measured(SNOW)} as snowfall",
+        "event_id % 9 / 8 as snow_depth",
+        "double(event_id % 80) as wind_speed_10m",
+        "to_date(ts) as p_date",
     )
 
 
 def bronze_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily feed; each day is delivered twice and the second, unshifted delivery is newer."""
-    day = F.to_date(F.col("ts") + F.expr("interval 3 hours"))
-    days = (
-        table(spark, sf_dir, "events")
-        .groupBy(F.concat(F.lit("loc_"), "user_id").alias("location_id"), day.alias("p_date"))
-        .agg(
-            F.max(_temperature()).alias("hottest"),
-            F.min(_temperature()).alias("temperature_2m_min"),
-            F.avg(_temperature()).alias("temperature_2m_mean"),
-            F.sum(_amount("click", "purchase", "signup")).alias("precipitation_sum"),
-            F.sum(_amount("click", "purchase")).alias("rain_sum"),
-            F.sum(_amount("signup")).alias("snowfall_sum"),
-            F.count(F.lit(1)).alias("n"),
+    readings = table(spark, sf_dir, "events").selectExpr(
+        _LOCATION,
+        "to_date(ts + interval 3 hours) as p_date",
+        f"{_TEMPERATURE} as temperature",
+        f"{WET} as wet",
+        f"{RAIN} as rain",
+        f"{SNOW} as snow",
+    )
+    days = readings.groupBy("location_id", "p_date").agg(
+        *map(
+            F.expr,
+            (
+                "max(temperature) as hottest",
+                "min(temperature) as temperature_2m_min",
+                "avg(temperature) as temperature_2m_mean",
+                "sum(wet) as precipitation_sum",
+                "sum(rain) as rain_sum",
+                "sum(snow) as snowfall_sum",
+                "count(*) as n",
+            ),
         )
     )
-    midnight = F.col("p_date").cast("timestamp_ntz")
-    return days.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("delivery")).select(
+    return days.selectExpr("*", "explode(array(0, 1)) as delivery").selectExpr(
         "location_id",
-        midnight.alias("date"),
-        (midnight + F.make_dt_interval(F.col("delivery"))).alias("ingested_at"),
-        (F.col("hottest") + F.col("delivery") / 2 - 0.5).alias("temperature_2m_max"),
+        "cast(p_date as timestamp_ntz) as date",
+        "cast(date_add(p_date, delivery) as timestamp_ntz) as ingested_at",
+        "hottest + delivery / 2 - 0.5d as temperature_2m_max",
         "temperature_2m_min",
         "temperature_2m_mean",
         "rain_sum",
         "precipitation_sum",
         "snowfall_sum",
-        F.when(F.dayofmonth("p_date") % 5 != 0, F.col("n") * 600.0).alias("sunshine_duration"),
+        "if(day(p_date) % 5 = 0, null, n * 600d) as sunshine_duration",
         "p_date",
     )
 
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as a location list: all columns text except the coordinates."""
-    key = F.col("n_nationkey")
-    spelling = F.array(*[F.lit(text) for text in (" TRUE ", "yes", "0", "T", "off", None, "1")])
-    return table(spark, sf_dir, "nation").select(
-        F.concat(F.lit("loc_"), key).alias("location_id"),
-        F.col("n_name").alias("name"),
-        F.concat(F.lit("R"), "n_regionkey").alias("state"),
-        F.lit("XX").alias("country"),
-        (key - 12).cast("double").alias("latitude"),
-        (key * 7 - 90).cast("double").alias("longitude"),
-        F.lit("UTC").alias("timezone"),
-        F.element_at(spelling, (key % 7 + 1).cast("int")).alias("is_active"),
+    return table(spark, sf_dir, "nation").selectExpr(
+        "concat('loc_', n_nationkey) as location_id",
+        "n_name as name",
+        "concat('R', n_regionkey) as state",
+        "'XX' as country",
+        "double(n_nationkey - 12) as latitude",
+        "double(n_nationkey * 7 - 90) as longitude",
+        "'UTC' as timezone",
+        "array(' TRUE ', 'yes', '0', 'T', 'off', null, '1')[n_nationkey % 7] as is_active",
     )

@@ -32,17 +32,17 @@ NOW = datetime(2024, 2, 10, 12, 0, 0)
 RANGE = resolve_range(date(2024, 1, 25), 7)
 
 
-def _staged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return (
-        staging.stg_hourly(bridge.bronze_hourly(spark, sf_dir)),
-        staging.stg_daily(bridge.bronze_daily(spark, sf_dir)),
-    )
+def _hourly(spark: SparkSession, sf_dir: str, dates=None) -> DataFrame:
+    return staging.stg_hourly(bridge.bronze_hourly(spark, sf_dir), dates)
+
+
+def _daily(spark: SparkSession, sf_dir: str, dates=None) -> DataFrame:
+    return staging.stg_daily(bridge.bronze_daily(spark, sf_dir), dates)
 
 
 def _pairs(spark: SparkSession, sf_dir: str, how: str = "full", dates=None) -> DataFrame:
-    hourly = staging.stg_hourly(bridge.bronze_hourly(spark, sf_dir), dates)
-    daily = staging.stg_daily(bridge.bronze_daily(spark, sf_dir), dates)
-    return enriched.pair_daily(daily, roll_up_to_days(enriched.hourly_enriched(hourly)), how)
+    rollup = roll_up_to_days(_hourly(spark, sf_dir, dates))
+    return enriched.pair_daily(_daily(spark, sf_dir, dates), rollup, how)
 
 
 def typed_hourly(spark, sf_dir):
@@ -54,11 +54,11 @@ def typed_daily(spark, sf_dir):
 
 
 def dedup_hourly_latest(spark, sf_dir):
-    return _staged(spark, sf_dir)[0]
+    return _hourly(spark, sf_dir)
 
 
 def dedup_daily_latest(spark, sf_dir):
-    return _staged(spark, sf_dir)[1]
+    return _daily(spark, sf_dir)
 
 
 def dedup_keep_last(spark, sf_dir):
@@ -78,19 +78,19 @@ def duplicate_counts(spark, sf_dir):
 
 
 def hourly_bands(spark, sf_dir):
-    return _staged(spark, sf_dir)[0].select("location_id", "observed_at", *band_columns())
+    return _hourly(spark, sf_dir).select("location_id", "observed_at", *band_columns())
 
 
 def hourly_flags(spark, sf_dir):
-    return _staged(spark, sf_dir)[0].select("location_id", "observed_at", *flag_columns())
+    return _hourly(spark, sf_dir).select("location_id", "observed_at", *flag_columns())
 
 
 def hourly_enriched(spark, sf_dir):
-    return enriched.hourly_enriched(_staged(spark, sf_dir)[0])
+    return enriched.hourly_enriched(_hourly(spark, sf_dir))
 
 
 def daily_rollup(spark, sf_dir):
-    return roll_up_to_days(_staged(spark, sf_dir)[0])
+    return roll_up_to_days(_hourly(spark, sf_dir))
 
 
 def daily_enriched(spark, sf_dir):
@@ -98,11 +98,11 @@ def daily_enriched(spark, sf_dir):
 
 
 def fct_daily_api(spark, sf_dir):
-    return facts.fct_daily_api(_staged(spark, sf_dir)[1])
+    return facts.fct_daily_api(_daily(spark, sf_dir))
 
 
 def fct_daily_hourly(spark, sf_dir):
-    return facts.fct_daily_hourly(roll_up_to_days(_staged(spark, sf_dir)[0]))
+    return facts.fct_daily_hourly(roll_up_to_days(_hourly(spark, sf_dir)))
 
 
 def fct_daily(spark, sf_dir):
@@ -162,11 +162,12 @@ def json_props(spark, sf_dir):
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hourly, daily = _staged(spark, sf_dir)
-    daily = daily.withColumnRenamed("dates", "date")
-    locations = bridge.locations(spark, sf_dir)
     path = write_landing(
-        landing_records(hourly, daily, locations),
+        landing_records(
+            _hourly(spark, sf_dir),
+            _daily(spark, sf_dir).withColumnRenamed("dates", "date"),
+            bridge.locations(spark, sf_dir),
+        ),
         scratch_path(spark, "landing"),
         "2024-01-01",
         "2024-12-31",
