@@ -152,7 +152,10 @@ def load(batch: DataFrame, path: str, kind: Readings, mode: str = "upsert") -> L
         return report
     # Two literals prune the scan to the batch's dates before anything is joined.
     current = read_bronze(spark, path, kind).where(dates.covers(F.col(PARTITION)))
-    if mode == "append":
+    if current.isEmpty():
+        # No stored row can share a key with the batch, so there is nothing to merge or refuse.
+        _write(spread_by_date(_full_width(staged, kind)), path, "append", PARTITION)
+    elif mode == "append":
         _append(staged, current, path, kind)
     else:
         _swap_in(_merged(staged, current, kind), path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from rainfold.plans.facts import (
 )
 from rainfold.plans.staging import stg_daily, stg_hourly
 from rainfold.schemas import DAILY, HOURLY
-from rainfold.session import materialize, prepare
+from rainfold.session import concurrently, materialize, prepare
 from rainfold.sources.landing import read_landing
 from rainfold.sources.locations import read_locations
 
@@ -82,9 +83,12 @@ def flatten_landing(warehouse: Warehouse, landing: str) -> dict[str, int]:
     """
     spark = prepare(warehouse.spark)
     records = materialize(read_landing(spark, landing), "landing")
-    for kind in KINDS:
+
+    def write(kind) -> int:
         write_partitioned(explode_series(records, kind), warehouse.files(kind), kind.time_column)
-    return {kind.block: bronze_files(warehouse, kind)[1].count() for kind in KINDS}
+        return bronze_files(warehouse, kind)[1].count()
+
+    return concurrently(spark, {kind.block: partial(write, kind) for kind in KINDS})
 
 
 def bronze_files(warehouse: Warehouse, kind) -> tuple[DataFrame, DataFrame]:
@@ -93,11 +97,14 @@ def bronze_files(warehouse: Warehouse, kind) -> tuple[DataFrame, DataFrame]:
 
 
 def load_bronze(warehouse: Warehouse, mode: str = "upsert") -> dict[str, LoadReport]:
-    prepare(warehouse.spark)
-    return {
-        kind.block: load(bronze_files(warehouse, kind)[0], warehouse.bronze(kind), kind, mode)
-        for kind in KINDS
-    }
+
+    def one(kind) -> LoadReport:
+        usable, _ = bronze_files(warehouse, kind)
+        return load(usable, warehouse.bronze(kind), kind, mode)
+
+    return concurrently(
+        prepare(warehouse.spark), {kind.block: partial(one, kind) for kind in KINDS}
+    )
 
 
 def check_sources(warehouse: Warehouse, now: datetime) -> DataFrame:
@@ -122,19 +129,24 @@ def model_tables(
     rollup = materialize(roll_up_to_days(enriched), "rollup")
     pairs = materialize(pair_daily(staged_daily, rollup), "pairs")
     fed = pairs.where("in_feed")
-    return {
+    tables = {
+        "daily_enriched": daily_enriched(pairs),
+        "dim_locations": dim_locations(locations),
+        "fct_daily_api": fct_daily_api(fed),
+        "fct_daily_hourly": fct_daily_hourly(rollup),
+        "fct_daily": fct_daily(pairs),
+        "fct_daily_quality": fct_daily_quality(pairs),
+    }
+    saved = concurrently(
+        enriched.sparkSession, {name: partial(save, name, df) for name, df in tables.items()}
+    )
+    return saved | {
+        "hourly_enriched": enriched,
         # The staged hourly readings are the stored table without its labels.
         "stg_hourly": enriched.select(*staged_hourly.columns),
         "stg_daily": fed.withColumnsRenamed(
             {"daily_ingested_at": "ingested_at", "daily_p_date": "p_date"}
         ).select(*staged_daily.columns),
-        "hourly_enriched": enriched,
-        "daily_enriched": save("daily_enriched", daily_enriched(pairs)),
-        "dim_locations": save("dim_locations", dim_locations(locations)),
-        "fct_daily_api": save("fct_daily_api", fct_daily_api(fed)),
-        "fct_daily_hourly": save("fct_daily_hourly", fct_daily_hourly(rollup)),
-        "fct_daily": save("fct_daily", fct_daily(pairs)),
-        "fct_daily_quality": save("fct_daily_quality", fct_daily_quality(pairs)),
     }
 
 

@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+# Fixed value: how many tables are built at a time.
+TABLES_AT_ONCE = 4
+T = TypeVar("T")
+
 _local_scratch: str | None = None
 
 
@@ -46,3 +54,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def concurrently(spark: SparkSession, jobs: dict[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent jobs side by side, so one job's last tasks leave no executors idle."""
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        running = {
+            name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()
+        }
+        return {name: job.result() for name, job in running.items()}
