@@ -25,13 +25,14 @@ class Banding:
         return tuple(label for _, label in self.bounds) + (self.above,)
 
     def column(self) -> Column:
-        value = F.col(self.metric)
-        # A null value matches no branch, so the last branch asks for presence explicitly.
-        label = F.when(value.isNotNull(), self.above)
-        for position, (bound, name) in reversed(list(enumerate(self.bounds))):
-            below = value < bound if self.open_first and position == 0 else value <= bound
-            label = F.when(below, name).otherwise(label)
-        return label
+        """A null value meets no bound and is not present above them, so its label is null."""
+        branches = [
+            f"when {self.metric} {'<' if self.open_first and i == 0 else '<='} {bound} "
+            f"then '{label}'"
+            for i, (bound, label) in enumerate(self.bounds)
+        ]
+        branches.append(f"when {self.metric} is not null then '{self.above}'")
+        return F.expr(f"case {' '.join(branches)} end")
 
 
 # Band bounds and labels.

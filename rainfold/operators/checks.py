@@ -21,6 +21,12 @@ EXPRESSION = "expression"
 COLUMN_EXPRESSION = "column_expression"
 
 
+def _quoted(text: str) -> str:
+    """Text as a SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 @dataclass(frozen=True)
 class Check:
     """A declared check on one table.
@@ -49,22 +55,23 @@ class Check:
     def counts_keys(self) -> bool:
         return self.kind in (UNIQUE, UNIQUE_COMBINATION)
 
-    def violated(self) -> Column:
-        """True on failing rows. Only for checks that look at one row at a time."""
+    @property
+    def violated(self) -> str:
+        """SQL that is true on failing rows. Only for checks that look at one row at a time."""
         if self.kind == NOT_NULL:
-            return F.col(self.columns[0]).isNull()
+            return f"{self.columns[0]} is null"
         if self.kind == ACCEPTED_VALUES:
-            return ~F.col(self.columns[0]).isin(*self.values)
+            return f"{self.columns[0]} not in ({', '.join(map(_quoted, self.values))})"
         if self.kind == EXPRESSION:
-            return ~F.expr(self.condition)
+            return f"not ({self.condition})"
         if self.kind == COLUMN_EXPRESSION:
-            return ~F.expr(f"{self.columns[0]} {self.condition}")
+            return f"not ({self.columns[0]} {self.condition})"
         raise ValueError(f"{self.kind} is not a row check")
 
     def failing(self, df: DataFrame) -> DataFrame:
         """Failing rows, or repeated keys with their row count."""
         if not self.counts_keys:
-            return df.where(self.violated())
+            return df.where(self.violated)
         # A null in a single unique column never counts as a repeat; in a combination it does.
         rows = df.dropna(subset=list(self.columns)) if self.kind == UNIQUE else df
         return repeated_keys(rows, self.columns)
@@ -87,10 +94,11 @@ def run_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFra
             reports.append(_row_report(df, table, row_checks))
         for check in declared:
             if check.counts_keys:
-                counted = check.failing(df).agg(F.count(F.lit(1)).alias("failures"))
                 reports.append(
-                    counted.select(
-                        F.lit(table).alias("table"), F.lit(check.name).alias("check"), "failures"
+                    check.failing(df).selectExpr(
+                        f"{_quoted(table)} as `table`",
+                        f"{_quoted(check.name)} as `check`",
+                        "count(*) as failures",
                     )
                 )
     report = reduce(DataFrame.unionByName, reports)
@@ -98,19 +106,13 @@ def run_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFra
 
 
 def _row_report(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
-    names = [f"failed_{i}" for i in range(len(checks))]
-    counts = df.agg(
-        *[F.count_if(check.violated()).alias(name) for check, name in zip(checks, names)]
+    counts = df.selectExpr(
+        *[f"count_if({check.violated}) as n{i}" for i, check in enumerate(checks)]
+    )
+    entries = ", ".join(f"{_quoted(check.name)}, n{i}" for i, check in enumerate(checks))
+    return counts.selectExpr(
+        f"{_quoted(table)} as `table`", f"stack({len(checks)}, {entries}) as (`check`, failures)"
     )
-    entries = [
-        F.struct(
-            F.lit(table).alias("table"),
-            F.lit(check.name).alias("check"),
-            F.col(name).alias("failures"),
-        )
-        for check, name in zip(checks, names)
-    ]
-    return counts.select(F.inline(F.array(*entries)))
 
 
 # Ages at which a source counts as stale.

@@ -18,13 +18,17 @@ def typed(bronze: DataFrame, kind: Readings, dates: DateRange | None = None) ->
     """
     if dates is not None:
         bronze = bronze.where(dates.covers(F.col("p_date")))
-    time_name = "dates" if kind is DAILY else kind.time_column
-    return bronze.select(
-        F.col("location_id").cast("string"),
-        F.col(kind.time_column).cast("timestamp_ntz").alias(time_name),
-        F.col("ingested_at").cast("timestamp_ntz"),
-        F.col("p_date").cast("date"),
-        *[F.col(metric).cast("double") for metric in kind.metrics],
+    types = {
+        "location_id": "string",
+        kind.time_column: "timestamp_ntz",
+        "ingested_at": "timestamp_ntz",
+        "p_date": "date",
+    } | dict.fromkeys(kind.metrics, "double")
+    return bronze.selectExpr(
+        *[
+            f"cast({name} as {data_type}) as {'dates' if name == 'date' else name}"
+            for name, data_type in types.items()
+        ]
     )
 
 
