@@ -1,13 +1,7 @@
-"""Expressions that compare and combine the two sources of one daily fact."""
+"""SQL expressions that compare and combine the two sources of one daily fact."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Provenance and status labels, tolerances, decimals of the score.
 HOURLY_SOURCE = "hourly_derived"
 FEED_SOURCE = "api_daily"
@@ -19,35 +13,27 @@ PRECIPITATION_TOLERANCE = 5
 SCORE_DECIMALS = 2
 
 
-def provenance(from_hourly: Column | None, from_feed: Column) -> Column:
+def provenance(from_hourly: str | None, from_feed: str) -> str:
     """Name of the source that supplies the value; null when neither does."""
-    label = F.when(from_feed.isNotNull(), FEED_SOURCE)
+    feed = f"if({from_feed} is not null, '{FEED_SOURCE}', null)"
     if from_hourly is None:
-        return label
-    return F.when(from_hourly.isNotNull(), HOURLY_SOURCE).otherwise(label)
+        return feed
+    return f"if({from_hourly} is not null, '{HOURLY_SOURCE}', {feed})"
 
 
-def completeness(metrics: list[Column]) -> Column:
+def completeness(metrics: list[str]) -> str:
     """Share of metrics that are present, as a decimal rounded half up."""
-    present = reduce(add, (metric.isNotNull().cast("int") for metric in metrics))
-    return F.round(present.cast("decimal(10,0)") / len(metrics), SCORE_DECIMALS)
+    present = " + ".join(f"int({metric} is not null)" for metric in metrics)
+    return f"round(cast({present} as decimal(10,0)) / {len(metrics)}, {SCORE_DECIMALS})"
 
 
-def reconciliation_status(
-    temp_max_gap: Column, temp_min_gap: Column, precip_gap: Column
-) -> Column:
+def reconciliation_status(temp_max_gap: str, temp_min_gap: str, precip_gap: str) -> str:
     """An absent precipitation gap is ``missing_hourly``; absent temperature gaps count as none."""
-
-    def within(gap: Column, tolerance: float) -> Column:
-        return F.coalesce(gap <= tolerance, F.lit(True))
-
-    agrees = (
-        within(temp_max_gap, TEMPERATURE_TOLERANCE)
-        & within(temp_min_gap, TEMPERATURE_TOLERANCE)
-        & within(precip_gap, PRECIPITATION_TOLERANCE)
-    )
-    return (
-        F.when(precip_gap.isNull(), STATUS_MISSING)
-        .when(agrees, STATUS_OK)
-        .otherwise(STATUS_WARNING)
-    )
+    tolerances = {
+        temp_max_gap: TEMPERATURE_TOLERANCE,
+        temp_min_gap: TEMPERATURE_TOLERANCE,
+        precip_gap: PRECIPITATION_TOLERANCE,
+    }
+    agrees = " and ".join(f"ifnull({gap} <= {limit}, true)" for gap, limit in tolerances.items())
+    agreed = f"if({agrees}, '{STATUS_OK}', '{STATUS_WARNING}')"
+    return f"if({precip_gap} is null, '{STATUS_MISSING}', {agreed})"

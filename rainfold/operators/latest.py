@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _RANK = "_rank"
@@ -22,10 +22,14 @@ def latest_by_key(
     the shuffle: each task passes on one row per key, however many copies a key has.
     """
     keys = list(keys)
-    order: list[Column] = [F.col(c).desc_nulls_first() for c in newest_first if c in df.columns]
-    order.append(F.xxhash64(*[c for c in df.columns if c not in keys] or keys))
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(_RANK, F.row_number().over(window)).where(f"{_RANK} = 1").drop(_RANK)
+    order = [f"`{name}` desc nulls first" for name in newest_first if name in df.columns]
+    order.append(f"xxhash64({_listed([c for c in df.columns if c not in keys] or keys)})")
+    rank = f"row_number() over (partition by {_listed(keys)} order by {', '.join(order)})"
+    return df.selectExpr("*", f"{rank} as {_RANK}").where(f"{_RANK} = 1").drop(_RANK)
+
+
+def _listed(names: Iterable[str]) -> str:
+    return ", ".join(f"`{name}`" for name in names)
 
 
 def duplicate_count(df: DataFrame, keys: Iterable[str]) -> DataFrame:

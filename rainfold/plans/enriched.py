@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rainfold.functions.bands import band_columns, flag_columns
 from rainfold.schemas import DAILY_METRICS
@@ -42,8 +41,8 @@ def pair_daily(daily: DataFrame, rollup: DataFrame, how: str = "full") -> DataFr
     Every daily table is a projection of this one join. ``day`` is the date of either side,
     ``dates`` the feed's own timestamp, and ``in_feed`` marks rows the feed has.
     """
-    feed = daily.withColumnsRenamed(_LINEAGE).withColumns(
-        {"day": F.to_date("dates"), "in_feed": F.lit(True)}
+    feed = daily.withColumnsRenamed(_LINEAGE).selectExpr(
+        "*", "to_date(dates) as day", "true as in_feed"
     )
     hours = rollup.withColumnRenamed("dates", "day")
     return feed.join(hours, ["location_id", "day"], how)
@@ -51,14 +50,11 @@ def pair_daily(daily: DataFrame, rollup: DataFrame, how: str = "full") -> DataFr
 
 def daily_enriched(pairs: DataFrame) -> DataFrame:
     """Rows the feed has, with both sources' values and their differences."""
-    return pairs.where("in_feed").select(
+    return pairs.where("in_feed").selectExpr(
         "location_id",
         "dates",
         *_LINEAGE.values(),
         *DAILY_METRICS,
         *_FROM_HOURLY,
-        *[
-            (F.col(metric) - F.col(f"{metric}_from_hourly")).alias(gap)
-            for gap, metric in GAPS.items()
-        ],
+        *[f"{metric} - {metric}_from_hourly as {gap}" for gap, metric in GAPS.items()],
     )

@@ -21,33 +21,33 @@ def dim_locations(locations: DataFrame) -> DataFrame:
     return locations.select(
         "location_id",
         F.col("name").alias("location_name"),
-        "state",
-        "country",
-        "latitude",
-        "longitude",
-        "timezone",
+        *("state", "country", "latitude", "longitude", "timezone"),
         active.alias("is_active"),
     )
 
 
 def fct_daily_api(daily: DataFrame) -> DataFrame:
     """Daily fact as the feed states it."""
-    return daily.select("location_id", F.to_date("dates").alias("dates"), *DAILY_METRICS)
+    return daily.selectExpr("location_id", "to_date(dates) as dates", *DAILY_METRICS)
 
 
 def fct_daily_hourly(rollup: DataFrame) -> DataFrame:
     """Daily fact derived from hourly readings."""
-    return rollup.select(
+    return rollup.selectExpr(
         "location_id",
         "dates",
-        *[F.col(f"{metric}_from_hourly").alias(metric) for metric in TEMPERATURES + SUMS],
+        *[f"{metric}_from_hourly as {metric}" for metric in TEMPERATURES + SUMS],
         *WINDS,
         *HOUR_COUNTS,
     )
 
 
-def _preferred(metric: str):
-    return F.coalesce(F.col(f"{metric}_from_hourly"), F.col(metric))
+def _preferred(metric: str) -> str:
+    return f"coalesce({metric}_from_hourly, {metric})"
+
+
+def _source(metric: str) -> str:
+    return provenance(f"{metric}_from_hourly", metric)
 
 
 def fct_daily(pairs: DataFrame) -> DataFrame:
@@ -55,20 +55,16 @@ def fct_daily(pairs: DataFrame) -> DataFrame:
 
     Sunshine comes from the feed only, wind and hour counts from hourly readings only.
     """
-
-    def source(metric: str):
-        return provenance(F.col(f"{metric}_from_hourly"), F.col(metric))
-
-    return pairs.select(
+    return pairs.selectExpr(
         "location_id",
-        F.col("day").alias("dates"),
-        *[_preferred(metric).alias(metric) for metric in TEMPERATURES + SUMS],
+        "day as dates",
+        *[f"{_preferred(metric)} as {metric}" for metric in TEMPERATURES + SUMS],
         "sunshine_duration",
         *WINDS,
         *HOUR_COUNTS,
-        source("temperature_2m_max").alias("temperature_source"),
-        source("precipitation_sum").alias("precipitation_source"),
-        provenance(None, F.col("sunshine_duration")).alias("sunshine_source"),
+        f"{_source('temperature_2m_max')} as temperature_source",
+        f"{_source('precipitation_sum')} as precipitation_source",
+        f"{provenance(None, 'sunshine_duration')} as sunshine_source",
     )
 
 
@@ -79,27 +75,23 @@ def fct_daily_quality(pairs: DataFrame) -> DataFrame:
     location and day, which the declared checks assert, that row is in the same pair, so
     neither source is joined a second time. Days without a feed row have no gaps.
     """
-    at_midnight = F.col("dates") == F.col("day").cast("timestamp_ntz")
 
-    def gap(metric: str):
-        return F.when(at_midnight, F.abs(F.col(metric) - F.col(f"{metric}_from_hourly")))
+    def gap(metric: str) -> str:
+        difference = f"abs({metric} - {metric}_from_hourly)"
+        return f"if(dates = cast(day as timestamp_ntz), {difference}, null)"
 
     # Fixed value: the eight metrics that count towards completeness.
     scored = [_preferred(metric) for metric in TEMPERATURES + SUMS] + [
-        F.col("sunshine_duration"),
-        F.col("wind_speed_10m_max"),
+        "sunshine_duration",
+        "wind_speed_10m_max",
     ]
-    return pairs.select(
+    status = reconciliation_status("abs_diff_temp_max", "abs_diff_temp_min", "abs_diff_precip")
+    return pairs.selectExpr(
         "location_id",
-        F.col("day").alias("dates"),
-        completeness(scored).alias("completeness_score"),
-        gap("temperature_2m_max").alias("abs_diff_temp_max"),
-        gap("temperature_2m_min").alias("abs_diff_temp_min"),
-        gap("precipitation_sum").alias("abs_diff_precip"),
+        "day as dates",
+        f"{completeness(scored)} as completeness_score",
+        f"{gap('temperature_2m_max')} as abs_diff_temp_max",
+        f"{gap('temperature_2m_min')} as abs_diff_temp_min",
+        f"{gap('precipitation_sum')} as abs_diff_precip",
         "precip_hours",
-    ).select(
-        "*",
-        reconciliation_status(
-            F.col("abs_diff_temp_max"), F.col("abs_diff_temp_min"), F.col("abs_diff_precip")
-        ).alias("reconciliation_status"),
-    )
+    ).selectExpr("*", f"{status} as reconciliation_status")
