@@ -277,7 +277,7 @@ _QUERIES = {
     "hot_key_dedup": f"""
         select {_EVENT_COLUMNS} from events
         qualify row_number() over (partition by event_type order by ts desc) = 1""",
-    "duplicate_counts": """
+    "duplicate_count": """
         select (select count(*) from bronze_hourly)::bigint as rows_read,
             (select count(*) from stg_hourly)::bigint as rows_kept,
             ((select count(*) from bronze_hourly) - (select count(*) from stg_hourly))::bigint
@@ -302,7 +302,7 @@ _QUERIES = {
             round(avg(completeness_score), 6) as mean_score
         from fct_daily_quality group by all""",
     "dim_locations": "select * from dim_locations",
-    "active_location_list": """
+    "active_locations": """
         select * replace (true as is_active) from locations
         where lower(trim(is_active)) in ('true', '1', 'yes', 'y', 't')""",
     "series_explode": """
@@ -313,7 +313,7 @@ _QUERIES = {
         select event_id, (props ->> '$.k')::bigint as k,
             '{"k":' || (props ->> '$.k') || '}' as json
         from events""",
-    "landing_roundtrip_hourly": _packed("stg_hourly", "observed_at", "observed_at", _METRICS),
+    "landing_roundtrip": _packed("stg_hourly", "observed_at", "observed_at", _METRICS),
     "landing_roundtrip_daily": _packed("stg_daily", "dates", "date", _FEED),
     "parquet_partition_roundtrip": "select * from bronze_hourly",
     "union_by_name": """

@@ -10,13 +10,10 @@ from pyspark.sql import functions as F
 from rainfold.functions.bands import band_columns, flag_columns
 from rainfold.functions.dates import resolve_range
 from rainfold.operators import checks as c
-from rainfold.operators.latest import duplicate_count, latest_by_key
+from rainfold.operators import latest
+from rainfold.operators.latest import latest_by_key
 from rainfold.operators.rollup import roll_up_to_days
-from rainfold.operators.series import (
-    explode_series,
-    landing_records,
-    zip_series,
-)
+from rainfold.operators.series import explode_series, landing_records, zip_series
 from rainfold.operators.stack import stack_by_name
 from rainfold.operators.tables import load, read_bronze, write_partitioned
 from rainfold.plans import enriched, facts, staging
@@ -25,7 +22,7 @@ from rainfold.plans.pipeline import model_tables
 from rainfold.schemas import DAILY, HOURLY
 from rainfold.session import materialize, scratch_path
 from rainfold.sources.landing import read_landing, write_landing
-from rainfold.sources.locations import active_locations
+from rainfold.sources import locations
 from rainfold.workload import bridge
 
 NOW = datetime(2024, 2, 10, 12, 0, 0)
@@ -73,8 +70,8 @@ def hot_key_dedup(spark, sf_dir):
     return latest_by_key(events, ["event_type"])
 
 
-def duplicate_counts(spark, sf_dir):
-    return duplicate_count(bridge.bronze_hourly(spark, sf_dir), HOURLY.keys)
+def duplicate_count(spark, sf_dir):
+    return latest.duplicate_count(bridge.bronze_hourly(spark, sf_dir), HOURLY.keys)
 
 
 def hourly_bands(spark, sf_dir):
@@ -136,8 +133,8 @@ def dim_locations(spark, sf_dir):
     return facts.dim_locations(bridge.locations(spark, sf_dir))
 
 
-def active_location_list(spark, sf_dir):
-    return active_locations(bridge.locations(spark, sf_dir))
+def active_locations(spark, sf_dir):
+    return locations.active_locations(bridge.locations(spark, sf_dir))
 
 
 def series_explode(spark, sf_dir):
@@ -175,7 +172,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, path)
 
 
-def landing_roundtrip_hourly(spark, sf_dir):
+def landing_roundtrip(spark, sf_dir):
     """Readings packed to nested JSON lines, written, read back and exploded."""
     return explode_series(_documents(spark, sf_dir), HOURLY)
 
@@ -319,7 +316,7 @@ QUERIES = {
         dedup_daily_latest,
         dedup_keep_last,
         hot_key_dedup,
-        duplicate_counts,
+        duplicate_count,
         hourly_bands,
         hourly_flags,
         hourly_enriched,
@@ -332,10 +329,10 @@ QUERIES = {
         fct_daily_quality,
         quality_status_counts,
         dim_locations,
-        active_location_list,
+        active_locations,
         series_explode,
         json_props,
-        landing_roundtrip_hourly,
+        landing_roundtrip,
         landing_roundtrip_daily,
         parquet_partition_roundtrip,
         union_by_name,

@@ -78,6 +78,7 @@ def test_load_reports_duplicates(spark, path):
         row(2, 3.0))
     report = load(batch, path, HOURLY)
     assert (report.rows_read, report.rows_loaded, report.duplicates) == (3, 2, 1)
+    assert report.dates == DateRange(ts("2024-01-01").date(), ts("2024-01-01").date())
     assert contents(spark, path, "rain") == [(2.0,), (3.0,)]
 
 
@@ -209,6 +210,14 @@ def test_guards(spark):
         require_columns(rows, ["y", "rain", "x"], "rows")
 
 
+def test_table_key_guard(spark, path):
+    load(hourly_rows(spark, row(1), row(2)), path, HOURLY)
+    tables.require_table_keys(spark, path, HOURLY)
+    tables._write(hourly_rows(spark, row(2)), path, "append", "p_date")
+    with pytest.raises(KeyConflict, match="table"):
+        tables.require_table_keys(spark, path, HOURLY)
+
+
 def test_tables_are_queryable_by_name(spark, path):
     table = write_table(hourly_rows(spark, row(1, 1.0)), path, "p_date")
     tables.register(spark, "silver_t", "readings", path, table, "p_date")
