@@ -152,10 +152,9 @@ def series_explode(spark, sf_dir):
 
 
 def json_props(spark, sf_dir):
-    parsed = F.from_json("props", "k bigint")
-    return bridge.table(spark, sf_dir, "events").select(
-        "event_id", parsed["k"].alias("k"), F.to_json(parsed).alias("json")
-    )
+    events = bridge.table(spark, sf_dir, "events")
+    parsed = events.select("event_id", F.from_json("props", "k bigint").alias("parsed"))
+    return parsed.select("event_id", "parsed.k", F.to_json("parsed").alias("json"))
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
