@@ -24,9 +24,6 @@ class DateRange:
     def covers(self, column: Column) -> Column:
         return column.between(F.lit(self.start), F.lit(self.end))
 
-    def shifted(self, days: int) -> DateRange:
-        return DateRange(self.start + timedelta(days=days), self.end + timedelta(days=days))
-
 
 def resolve_range(
     today: date,
