@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rainfold.llm import line_dedup, near_dedup
+from rainfold.llm import line_dedup, near_dedup, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -35,7 +36,14 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op8_near_dedup": op8_near_dedup,
+    "op10_packing": op10_packing,
 }
