@@ -6,13 +6,19 @@ import os
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rainfold.llm import line_dedup, near_dedup, packing
+from rainfold.llm import decontamination, line_dedup, near_dedup, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+# The rows kept from fitting, the scores that predict, and about how many labelled
+# rows a model is fitted on at most.
+TOXIC_HELD_OUT = "crc32(cast(doc_id as string)) % 3 = 1"
+TOXIC = 0.7
+LABELLED_ROWS = 50_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables. Workers find this package where the driver found it."""
@@ -20,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = decontamination.questions_and_answers(table(spark, sf_dir, "benchmark"))
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), items)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_decisions(table(spark, sf_dir, "documents")).selectExpr(
         "doc_id",
@@ -30,6 +41,22 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Fitted on the labelled rows that are not held out."""
+    labels = table(spark, sf_dir, "labels").where(f"not ({TOXIC_HELD_OUT})")
+    return toxicity.fit(docs, toxicity.labelled_rows(docs, labels, "toxic", LABELLED_ROWS))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(spark, docs, sf_dir)
+    return docs.select(
+        "doc_id",
+        F.expr(TOXIC_HELD_OUT).alias("held_out"),
+        toxicity.score(F.col("text"), model).alias("score"),
+    ).withColumn("predicted", F.expr(f"if(score >= {TOXIC}, 1, 0)"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(
         table(spark, sf_dir, "documents"), near_dedup.Rule(shingle=4, percent=80)
@@ -43,7 +70,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
+    "op6_toxicity": op6_toxicity,
     "op8_near_dedup": op8_near_dedup,
     "op10_packing": op10_packing,
 }
