@@ -4,9 +4,10 @@ The index is an inverted one with BM25 impacts, each divided by its item's score
 that one threshold holds for all items. Items are numbered by length; every term's list is divided
 into blocks of ``BLOCK`` items, and list and blocks know their largest impact. A passage is a window
 of two strides of words, each as long as the longest item, so that every run of that length lies in
-some passage. All items above the threshold are retrieved: passages whose lists' largest impacts stay
-below it in sum end there, which is checked for whole batches at once; the others go through the
-lists by block-max WAND. A hit is confirmed on word trigrams: the passage has to hold enough of the
+some passage. All items above the threshold are retrieved. Whole batches of passages are first held
+against the blocks' bounds: the most frequent terms can together give an item of a block no more than
+a share known from the items, so the block's largest impacts for the passage's other terms have to
+make up the rest. Passages that reach it in any block go through the lists by block-max WAND. A hit is confirmed on word trigrams: the passage has to hold enough of the
 item's question and enough of its answer.
 
 The index is built in shards of items with a bounded size, each broadcast for one pass over the
@@ -29,11 +30,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rainfold.llm.hashing import U64, Words, pieces_of, reduce_by_text, shingles_of, words_of
+from rainfold.llm.hashing import U64, Words, pieces_of, shingles_of, words_of
 from rainfold.llm.storage import stored
 
 # Items in a block, words in a confirmed run, and the text in a shard of the index.
-BLOCK = 8
+BLOCK = 4
 RUN = 3
 SHARD_BYTES = 4 << 20
 _K1, _B = 1.2, 0.75
@@ -75,16 +76,26 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str, str]], rule: Rule):
         self.rule = rule
-        whole, _, _ = words_of(pa.array([f"{q or ''} {a or ''}" for _, q, a in items], pa.string()))
+        texts = [f"{q or ''} {a or ''}" for _, q, a in items]
+        whole, _, _ = words_of(pa.array(texts, pa.string()), "letters")
         sizes = whole.counts()
         order = [i for i in np.argsort(sizes, kind="stable") if sizes[i] >= rule.least_words]
         self.item_ids = [items[i][0] for i in order]
         self.longest = int(max((sizes[i] for i in order), default=1))
         self.runs = []
         for part in (1, 2):
-            words, _, _ = words_of(pa.array([items[i][part] or "" for i in order], pa.string()), "letters")
+            texts = pa.array([items[i][part] or "" for i in order], pa.string())
+            words, _, _ = words_of(texts, "letters")
             hashes, bounds = shingles_of(words, RUN)
-            self.runs.append([np.unique(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:])])
+            # A part that is too short for a run is confirmed by its words.
+            self.runs.append(
+                [
+                    np.unique(hashes[a:b] if d - c >= RUN else words.hashes[c:d])
+                    for a, b, c, d in zip(
+                        bounds[:-1], bounds[1:], words.bounds[:-1], words.bounds[1:]
+                    )
+                ]
+            )
         self._lists(items, order)
 
     def _lists(self, items: list[tuple[int, str, str]], order: list[int]) -> None:
@@ -117,9 +128,38 @@ class Index:
             for number, impact in zip(numbers, impacts):
                 blocks[number // BLOCK] = max(blocks.get(number // BLOCK, 0.0), impact)
             self.block_most.append(blocks)
+        self._common_terms(len(counted))
         self.slots = np.zeros(1 << 16, dtype=bool)
         self.slots[(self.terms >> U64(48)).astype(np.int64)] = True
 
+    def _common_terms(self, items: int) -> None:
+        """Frequent terms, as long as no item gets more than half the threshold from all of them."""
+        share = np.zeros(items)
+        self.rare = np.ones(len(self.terms), dtype=bool)
+        for t in sorted(range(len(self.terms)), key=lambda t: -len(self.items_of[t])):
+            added = share[self.items_of[t]] + self.impacts_of[t]
+            if added.max() <= self.rule.score / 2:
+                share[self.items_of[t]] = added
+                self.rare[t] = False
+        # What a block's items need from other terms, and those terms' blocks with their bounds.
+        blocks = -(-items // BLOCK)
+        common = np.zeros(blocks)
+        np.maximum.at(common, np.arange(items) // BLOCK, share)
+        self.needed = self.rule.score - common - 1e-9
+        lists = [sorted(self.block_most[t].items()) if self.rare[t] else [] for t in range(len(self.terms))]
+        self.block_edges = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+        self.blocks = np.array([b for x in lists for b, _ in x], dtype=np.int64)
+        self.bounds = np.array([m for x in lists for _, m in x], dtype=float)
+
+    def hopeful(self, passage: np.ndarray, term: np.ndarray, passages: int) -> np.ndarray:
+        """The passages that reach what some block needs. Pairs of passages and their rare terms."""
+        first, n = self.block_edges[term], np.diff(self.block_edges)[term]
+        at = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        blocks = len(self.needed)
+        cell = np.repeat(passage, n) * blocks + self.blocks[at]
+        sums = np.bincount(cell, self.bounds[at], passages * blocks).reshape(passages, blocks)
+        return np.flatnonzero((sums >= self.needed).any(axis=1))
+
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """The term of each word, -1 for words that no item has."""
         out = np.full(len(hashes), -1, dtype=np.int64)
@@ -197,6 +237,7 @@ def _hits(words: Words, index: Index) -> Iterator[tuple[int, int, float, float,
     base = np.concatenate([[0], np.cumsum(passages)])
     terms = index.numbers(words.hashes)
     at = np.flatnonzero(terms >= 0)
+    at = at[index.rare[terms[at]]]
     text = words.texts()[at]
     found = []
     # A word is in the passage that starts with its stride and in the one before.
@@ -208,17 +249,16 @@ def _hits(words: Words, index: Index) -> Iterator[tuple[int, int, float, float,
     if not len(keys):
         return
     passage, term = keys // len(index.terms), keys % len(index.terms)
-    edges = np.searchsorted(passage, np.arange(base[-1] + 1))
-    bound = reduce_by_text(index.most[term], edges, np.add, 0.0)
-    for p in np.flatnonzero(bound >= index.rule.score - 1e-9).tolist():
-        hits = index.search(term[edges[p] : edges[p + 1]].tolist())
-        if not hits:
-            continue
+    for p in index.hopeful(passage, term, int(base[-1])).tolist():
         text = int(np.searchsorted(base, p, "right")) - 1
         first = int(words.bounds[text]) + (p - int(base[text])) * stride
         last = min(first + 2 * stride, int(words.bounds[text + 1]))
+        held = np.unique(terms[first:last])
+        hits = index.search(held[held >= 0].tolist())
+        if not hits:
+            continue
         window = Words(words.hashes[first:last], None, None, np.array([0, last - first]))
-        runs = np.unique(shingles_of(window, RUN)[0])
+        runs = np.unique(np.concatenate([shingles_of(window, RUN)[0], window.hashes]))
         for item, score in hits:
             question, answer = index.confirm(item, runs)
             if question >= index.rule.question and answer >= index.rule.answer:

@@ -57,9 +57,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _byte_values() -> np.ndarray:
+def _byte_values(fold: bool) -> np.ndarray:
     values = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.int64).astype(U64)
-    values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
+    if fold:
+        values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
     return values
 
 
@@ -116,10 +117,12 @@ def spans(raw: np.ndarray, bounds: np.ndarray, kind: str) -> tuple[np.ndarray, n
     return starts, ends
 
 
-def hash_ranges(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each byte range, A-Z as a-z. Ranges are ordered by start; long ones are whole too."""
+def hash_ranges(
+    raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True
+) -> np.ndarray:
+    """Hash of each byte range, A-Z as a-z if ``fold``. Ranges are ordered by start."""
     out = np.zeros(len(starts), dtype=U64)
-    values, (powers, inverse) = _byte_values(), _tables()
+    values, (powers, inverse) = _byte_values(fold), _tables()
     at = 0
     while at < len(starts):
         low = int(starts[at])

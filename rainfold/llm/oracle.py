@@ -25,4 +25,48 @@ select doc_id, count(*) as n_lines, count(*) filter (where not keep) as n_droppe
 from decided group by doc_id
 """
 
-ORACLE_SQL = {"op2_line_dedup": LINE_DEDUP}
+# The format is one header for each run of a role, a separator between its turns and one end.
+CHAT = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all
+  select -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok'
+), placed as (
+  select *, lag(role) over (partition by conv_id order by turn, role, text) is distinct from role
+              as opens,
+         length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) as written
+  from rows
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text))
+         as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint)
+         as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text)
+         filter (where role = 'assistant'), '')) as loss_sha256,
+       cast(sum(written + case when opens then 12 + length(role) + 1 + 11 else 10 end) as bigint)
+         as formatted_chars
+from placed group by conv_id
+"""
+
+TOP_K = """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint))
+           as v
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, x.vec_id,
+         cast(list_sum(list_transform(list_zip(q.v, x.v), lambda p: p[1] * p[2])) as bigint) as score
+  from whole q join whole x on x.vec_id <> q.vec_id
+  where q.vec_id % 50 = 0
+)
+select query_id, rank, vec_id, score from (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer)
+              as rank
+  from scored
+) where rank <= 5
+"""
+
+ORACLE_SQL = {"op2_line_dedup": LINE_DEDUP, "op5_chat": CHAT, "op7_top_k": TOP_K}
