@@ -1,13 +1,31 @@
-"""From raw documents to packed training sequences: five stages of rainfold.llm in a row."""
+"""From raw documents to packed training sequences: five stages of rainfold.llm in a row.
+
+Each stage takes what its predecessor kept and, but for the last, returns the columns of documents:
+toxic documents go, repeated lines go, one document of each group of near duplicates stays (the one
+with the smallest doc_id; five-word shingles, similarity 0.8), documents that hold a benchmark item
+go, and the rest is cut and packed into sequences.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rainfold.llm import line_dedup, near_dedup, queries
+from rainfold.llm import (
+    decontamination,
+    line_dedup,
+    near_dedup,
+    packing,
+    queries,
+    toxicity,
+)
 from rainfold.llm.storage import stored
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = queries.toxicity_model(spark, docs, sf_dir)
+    return docs.where(toxicity.score(F.col("text"), model) < queries.TOXIC)
+
+
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeats(docs)
 
@@ -16,9 +34,24 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dedup.drop_near_duplicates(docs)
 
 
-STAGES = [("line dedup", line_dedup_stage), ("near dedup", near_dedup_stage)]
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    items = decontamination.questions_and_answers(queries.table(spark, sf_dir, "benchmark"))
+    return decontamination.without_contaminated(docs, items)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, queries.TOKENIZER)
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("line dedup", line_dedup_stage),
+    ("near dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
 
-# Scores of a learned model and a tokenizer's ids are out of SQL's reach.
+# A learned model's scores, connected components and a tokenizer's ids are out of SQL's reach.
 ORACLE_SQL = None
 
 

@@ -25,6 +25,20 @@ select doc_id, count(*) as n_lines, count(*) filter (where not keep) as n_droppe
 from decided group by doc_id
 """
 
+WARC = """
+with rows as (
+  select page_id, sha256(coalesce(html, '')) as payload_digest,
+         cast(octet_length(encode(coalesce(html, ''))) as bigint) as payload_bytes
+  from pages
+), firsts as (
+  select payload_digest, min(page_id) as first from rows where payload_bytes >= 100 group by all
+)
+select page_id, payload_bytes, payload_digest,
+       case when page_id > first then 'revisit' else 'response' end as record_type,
+       case when page_id > first then first end as refers_to
+from rows left join firsts using (payload_digest)
+"""
+
 # The format is one header for each run of a role, a separator between its turns and one end.
 CHAT = r"""
 with rows as (
@@ -69,4 +83,4 @@ select query_id, rank, vec_id, score from (
 ) where rank <= 5
 """
 
-ORACLE_SQL = {"op2_line_dedup": LINE_DEDUP, "op5_chat": CHAT, "op7_top_k": TOP_K}
+ORACLE_SQL = {"op2_line_dedup": LINE_DEDUP, "op4_warc": WARC, "op5_chat": CHAT, "op7_top_k": TOP_K}

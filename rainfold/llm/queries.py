@@ -15,7 +15,9 @@ from rainfold.llm import (
     near_dedup,
     nearest,
     packing,
+    quality,
     toxicity,
+    warc,
     wordpiece,
 )
 
@@ -27,6 +29,12 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 TOXIC_HELD_OUT = "crc32(cast(doc_id as string)) % 3 = 1"
 TOXIC = 0.7
 LABELLED_ROWS = 50_000
+QUALITY_HELD_OUT = "crc32(cast(doc_id as string)) % 5 = 0"
+GOOD = 0.3
+QUALITY_ROWS = 10_000
+# The files of public tokenizers, on every machine.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +58,24 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(f"not ({QUALITY_HELD_OUT})")
+    machine = quality.fit(docs, labels, "quality", QUALITY_ROWS)
+    return quality.scores(docs, machine).select(
+        "doc_id",
+        F.expr(QUALITY_HELD_OUT).alias("held_out"),
+        "score",
+        F.expr(f"if(score >= {GOOD}, 1, 0)").alias("predicted"),
+    )
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "<|im_end|><|im_start|>assistant ok"
     added = spark.createDataFrame(
@@ -95,20 +121,18 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wordpiece.token_counts(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
-    )
+    return wordpiece.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
-    )
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
+    "op3_quality": op3_quality,
+    "op4_warc": op4_warc,
     "op5_chat": op5_chat,
     "op6_toxicity": op6_toxicity,
     "op7_top_k": op7_top_k,
