@@ -1,0 +1,26 @@
+import random
+
+import pytest
+
+WORDS = "ola bremi tusk fandor quil seppa rond mivo kest albur dante porri huxel gavo".split()
+
+
+def prose(seed: int, words: int) -> str:
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) + str(rng.randrange(40)) for _ in range(words))
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Rows with the columns of documents; a row is (doc_id, text)."""
+
+    def build(*rows, extra=()):
+        frame = spark.createDataFrame(
+            [(i, t, "en", "s", len(t) if t is not None else None) for i, t in rows],
+            "doc_id long, text string, lang string, source string, n_chars long",
+        )
+        for name in extra:
+            frame = frame.selectExpr("*", f"'kept' as {name}")
+        return frame
+
+    return build

@@ -1,0 +1,48 @@
+import random
+import re
+
+import public_tokenizers
+import sentencepiece
+from tokenizers.models import WordPiece
+
+from rainfold.llm.wordpiece import Automaton, token_counts
+
+FILE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def library_counts(first, later):
+    """Greedy longest match as the tokenizers library does it, with pieces built."""
+    vocab = {"[UNK]": 0}
+    for piece in [*first, *("##" + p for p in later)]:
+        vocab.setdefault(piece, len(vocab))
+    model = WordPiece(vocab, unk_token="[UNK]", max_input_chars_per_word=10**6)
+    return lambda word: len(model.tokenize(word))
+
+
+def test_small_vocabularies_equal_the_library():
+    rng = random.Random(2)
+    for _ in range(60):
+        pieces = lambda: {"".join(rng.choices("abc", k=rng.randint(1, 5))) for _ in range(12)}
+        first, later = pieces(), pieces()
+        machine, wanted = Automaton(first, later), library_counts(first, later)
+        for _ in range(200):
+            word = "".join(rng.choices("abcd" if rng.random() < 0.1 else "abc", k=rng.randint(1, 14)))
+            assert machine.count(word) == wanted(word), (first, later, word)
+
+
+def test_documents_equal_the_library(spark, documents):
+    held = sentencepiece.SentencePieceProcessor(model_file=FILE)
+    pieces = [held.id_to_piece(i) for i in range(held.get_piece_size())
+              if not (held.is_control(i) or held.is_unknown(i) or held.is_byte(i))]
+    wanted = library_counts(
+        [p[1:] for p in pieces if p.startswith("▁") and len(p) > 1],
+        [p for p in pieces if not p.startswith("▁")],
+    )
+    texts = ["The quick (brown) fox!", None, "", " \n\t", "Grün ünd ßtraße, übermäßig", "a" * 50_000,
+             "日本語 text", "x1y2 don't", "The quick (brown) fox!"]
+    docs = documents(*enumerate(texts), (None, "Hello"), extra=["n_tokens"])
+    found = {r.doc_id: (r.n_words, r.n_tokens) for r in token_counts(docs, FILE).collect()}
+    for i, text in [*enumerate(texts), (None, "Hello")]:
+        words = re.findall(r"[0-9A-Za-z\u0080-\U0010FFFF]+|[^\x20\x09-\x0D]", text or "")
+        assert found[i] == (len(words), sum(map(wanted, words)))
+    assert token_counts(docs.where("false"), FILE).count() == 0
