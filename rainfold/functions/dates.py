@@ -25,6 +25,25 @@ class DateRange:
         return column.between(F.lit(self.start), F.lit(self.end))
 
 
+    @property
+    def days(self) -> frozenset[date]:
+        count = (self.end - self.start).days + 1
+        return frozenset(self.start + timedelta(days=n) for n in range(count))
+
+
+@dataclass(frozen=True)
+class DateSet:
+    """Some calendar days: the ones a load touched. Their number is bounded by the calendar."""
+
+    days: frozenset[date]
+
+    def covers(self, column: Column) -> Column:
+        return column.isin(sorted(self.days))
+
+    def __or__(self, other: DateSet) -> DateSet:
+        return DateSet(self.days | other.days)
+
+
 def resolve_range(
     today: date,
     lookback_days: int,

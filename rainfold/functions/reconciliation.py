@@ -34,6 +34,6 @@ def reconciliation_status(temp_max_gap: str, temp_min_gap: str, precip_gap: str)
         temp_min_gap: TEMPERATURE_TOLERANCE,
         precip_gap: PRECIPITATION_TOLERANCE,
     }
-    agrees = " and ".join(f"ifnull({gap} <= {limit}, true)" for gap, limit in tolerances.items())
+    agrees = " and ".join(f"coalesce({gap} <= {limit}, true)" for gap, limit in tolerances.items())
     agreed = f"if({agrees}, '{STATUS_OK}', '{STATUS_WARNING}')"
     return f"if({precip_gap} is null, '{STATUS_MISSING}', {agreed})"

@@ -10,9 +10,9 @@ AGGREGATES = {
     "temperature_2m_max_from_hourly": "max(temperature_2m)",
     "temperature_2m_min_from_hourly": "min(temperature_2m)",
     "temperature_2m_mean_from_hourly": "avg(temperature_2m)",
-    "rain_sum_from_hourly": "sum(nvl(rain, 0d))",
-    "precipitation_sum_from_hourly": "sum(nvl(precipitation, 0d))",
-    "snowfall_sum_from_hourly": "sum(nvl(snowfall, 0d))",
+    "rain_sum_from_hourly": "sum(coalesce(rain, 0d))",
+    "precipitation_sum_from_hourly": "sum(coalesce(precipitation, 0d))",
+    "snowfall_sum_from_hourly": "sum(coalesce(snowfall, 0d))",
     "wind_speed_10m_max": "max(wind_speed_10m)",
     "wind_speed_10m_mean": "avg(wind_speed_10m)",
     "precip_hours": "count_if(precipitation > 0)",

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rainfold.functions.dates import DateRange
+from rainfold.functions.dates import DateRange, DateSet
 from rainfold.operators.guards import KeyConflict, require_columns, require_unique
 from rainfold.operators.latest import latest_by_key
 from rainfold.operators.series import with_partition_date
 from rainfold.schemas import DAILY, HOURLY, Readings
-from rainfold.session import prepare, scratch_path
+from rainfold.session import hadoop_path, prepare, remove, scratch_path
 
 PARTITION = "p_date"
 MODES = ("replace", "append", "upsert")
@@ -59,21 +60,32 @@ def write_partitioned(rows: DataFrame, path: str, time_column: str) -> None:
 
 
 def write_table(
-    df: DataFrame, path: str, partition: str | None = None, dates: DateRange | None = None
+    df: DataFrame,
+    path: str,
+    partition: str | None = None,
+    dates: DateRange | DateSet | None = None,
 ) -> DataFrame:
-    """Rebuild a table, or with ``dates`` only its partitions in that range, and read it back.
+    """Rebuild a table, or with ``dates`` only its partitions of those days, and read it back.
 
-    ``df`` must hold nothing outside ``dates``. A date in the range that lost all its rows
-    keeps its old partition, as dynamic overwrite only replaces what it writes.
+    ``df`` must hold nothing outside ``dates``. A day of them that has no rows any more loses its
+    partition. A full rebuild is written beside the table and takes its place when it is complete.
     """
-    if partition:
-        df = spread_by_date(df, partition)
-    _write(df, path, "dates" if dates else "overwrite", partition)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    spark = df.sparkSession
+    if dates:
+        written = Observation()
+        seen = df.observe(written, F.collect_set(partition).alias("days"))
+        _write(spread_by_date(seen, partition), path, "dates", partition)
+        # Calendar days, not data: the loop is as long as the asked dates at most.
+        gone = sorted(dates.days - set(_observed(written, "days", [])))
+        remove(spark, *[f"{path.rstrip('/')}/{partition}={day}" for day in gone])
+    else:
+        _swap_in(spread_by_date(df, partition) if partition else df, path, partition, whole=True)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def read_bronze(spark: SparkSession, path: str, kind: Readings) -> DataFrame:
-    """Bronze dataset with its fixed schema; the path must exist."""
+    """Bronze dataset with its fixed schema; the path must exist. Finishes an interrupted load."""
+    _finish_swap(spark, path)
     return spark.read.schema(kind.schema).parquet(path)
 
 
@@ -104,8 +116,8 @@ class LoadReport:
     mode: str
     rows_read: int
     rows_loaded: int
-    # First and last date of the batch; models need a rebuild for these dates only.
-    dates: DateRange | None = None
+    # The days whose rows changed; models need a rebuild for these only.
+    dates: DateSet | None = None
 
     @property
     def duplicates(self) -> int:
@@ -133,42 +145,56 @@ def load(batch: DataFrame, path: str, kind: Readings, mode: str = "upsert") -> L
 
     spark = prepare(batch.sparkSession)
     _finish_swap(spark, path)
-    staged = _stage(batch, kind)
-    rows, first, last, undated = staged.agg(
-        F.count(F.lit(1)),
-        F.min(PARTITION),
-        F.max(PARTITION),
-        F.count_if(F.col(PARTITION).isNull()),
-    ).first()
-    if undated:
-        raise ValueError(f"{undated} rows have no {kind.time_column}; quarantine them first")
-    dates = DateRange(first, last) if rows else None
-    report = LoadReport(mode, batch.count(), rows, dates)
-    if report.skipped:
-        return report
+    stage = scratch_path(spark, "stage")
+    try:
+        return _load_staged(spark, batch, path, kind, mode, stage)
+    finally:
+        remove(spark, stage)
+
+
+def _load_staged(
+    spark: SparkSession, batch: DataFrame, path: str, kind: Readings, mode: str, stage: str
+) -> LoadReport:
+    staged, read = _stage(batch, kind, stage)
+    by_date = {r[PARTITION]: r["n"] for r in staged.groupBy(PARTITION).agg(F.count("*").alias("n")).collect()}
+    if None in by_date:
+        raise ValueError(f"{by_date[None]} rows have no {kind.time_column}; quarantine them first")
+    rows = sum(by_date.values())
+    if not rows:
+        return LoadReport(mode, read, 0)
+    dates = DateSet(frozenset(by_date))
     ensure_table(spark, path, kind)
     if mode == "replace":
-        _write(spread_by_date(_full_width(staged, kind)), path, "overwrite", PARTITION)
-        return report
-    # Two literals prune the scan to the batch's dates before anything is joined.
+        # Days that only the old table has lose their rows, so their models change too.
+        old = read_bronze(spark, path, kind).select(PARTITION).distinct().collect()
+        _swap_in(spread_by_date(_full_width(staged, kind)), path, PARTITION, whole=True)
+        dates |= DateSet(frozenset(r[PARTITION] for r in old))
+        return LoadReport(mode, read, rows, dates)
+    # The touched days as literals prune the scan before anything is joined.
     current = read_bronze(spark, path, kind).where(dates.covers(F.col(PARTITION)))
     if current.isEmpty():
         # No stored row can share a key with the batch, so there is nothing to merge or refuse.
         _write(spread_by_date(_full_width(staged, kind)), path, "append", PARTITION)
-    elif mode == "append":
+        return LoadReport(mode, read, rows, dates)
+    require_unique(current, kind.keys, f"table {path}")
+    if mode == "append":
         _append(staged, current, path, kind)
     else:
-        _swap_in(_merged(staged, current, kind), path)
-    return report
+        _swap_in(spread_by_date(_merged(staged, current, kind)), path, PARTITION)
+    return LoadReport(mode, read, rows, dates)
+
 
+def _stage(batch: DataFrame, kind: Readings, path: str) -> tuple[DataFrame, int]:
+    """The deduplicated batch as a table in the shared folder, and how many rows were read for it.
 
-def _stage(batch: DataFrame, kind: Readings) -> DataFrame:
-    """The deduplicated batch as a table in the shared folder: later steps read it repeatedly."""
-    path = scratch_path(batch.sparkSession, "stage")
-    keyed = latest_by_key(batch.drop(PARTITION), kind.keys, newest_first=["ingested_at"])
+    The batch is computed once: the rows are counted as they pass.
+    """
+    read = Observation()
+    counted = batch.drop(PARTITION).observe(read, F.count(F.lit(1)).alias("rows"))
+    keyed = latest_by_key(counted, kind.keys, newest_first=["ingested_at"])
     dated = with_partition_date(keyed, kind)
     dated.write.parquet(path)
-    return batch.sparkSession.read.schema(dated.schema).parquet(path)
+    return batch.sparkSession.read.schema(dated.schema).parquet(path), _observed(read, "rows", 0)
 
 
 def _full_width(rows: DataFrame, kind: Readings) -> DataFrame:
@@ -191,9 +217,6 @@ def _append(staged: DataFrame, current: DataFrame, path: str, kind: Readings) ->
 def _merged(staged: DataFrame, current: DataFrame, kind: Readings) -> DataFrame:
     """New content of the partitions the batch touches."""
     keys = list(kind.keys)
-    # At most one row per calendar day, whatever the data size.
-    touched = F.broadcast(staged.select(PARTITION).distinct())
-    current = current.join(touched, PARTITION, "left_semi")
     brought = [c for c in staged.columns if c not in (*keys, PARTITION)]
     if not brought:
         # Nothing but keys: existing rows stay as they are.
@@ -220,29 +243,60 @@ def _merged(staged: DataFrame, current: DataFrame, kind: Readings) -> DataFrame:
     return both.select(*[value(name) for name in kind.schema.fieldNames()])
 
 
+# Names that tell a complete copy of a whole table or of some partitions. Own files,
+# because a cluster may be set up not to write Spark's mark of success.
+_WHOLE, _PARTS = "_whole_table_complete", "_partitions_complete"
+
+
+def _observed(observation: Observation, name: str, without_rows):
+    """An observed figure; a plan that the optimizer found to have no rows reports none."""
+    try:
+        return observation.get.get(name, without_rows)
+    except Py4JJavaError:
+        return without_rows
+
+
 def _swap_path(path: str) -> str:
     return f"{path.rstrip('/')}__swap"
 
 
-def _swap_in(merged: DataFrame, path: str) -> None:
-    """Replace partitions from a complete copy beside the table.
+def _swap_in(content: DataFrame, path: str, partition: str | None, whole: bool = False) -> None:
+    """Replace a table, or the partitions of ``content``, from a complete copy beside it.
 
-    The copy is written and committed first. If the job dies while partitions are replaced, the
-    next load finds the copy and replaces them again, so no row is lost.
+    The copy is written and marked first, then moved, not written again. If the job dies in
+    between, the next reader or load finds the marked copy and goes on, so no row is lost.
     """
-    _write(spread_by_date(merged), _swap_path(path), "overwrite", PARTITION)
-    _finish_swap(merged.sparkSession, path)
-
-
-def _finish_swap(spark: SparkSession, path: str) -> None:
-    """Apply a committed copy if there is one; loading its content twice changes nothing."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    swap = _swap_path(path)
-    files = jvm_path(swap).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(jvm_path(f"{swap}/_SUCCESS")):
-        return
-    _write(spark.read.parquet(swap), path, "dates", PARTITION)
-    files.delete(jvm_path(swap), True)
+    spark = content.sparkSession
+    _write(content, _swap_path(path), "overwrite", partition)
+    mark, files = hadoop_path(spark, f"{_swap_path(path)}/{_WHOLE if whole else _PARTS}")
+    files.create(mark, True).close()
+    if not _finish_swap(spark, path):
+        raise RuntimeError(f"the copy beside {path} was not applied")
+
+
+def _finish_swap(spark: SparkSession, path: str) -> bool:
+    """Move a marked copy into place if there is one; doing it again changes nothing."""
+    swap, files = hadoop_path(spark, _swap_path(path))
+    whole, _ = hadoop_path(spark, f"{_swap_path(path)}/{_WHOLE}")
+    parts, _ = hadoop_path(spark, f"{_swap_path(path)}/{_PARTS}")
+    target, _ = hadoop_path(spark, path)
+    if files.exists(whole):
+        files.delete(target, True)
+        if not files.rename(swap, target):
+            raise RuntimeError(f"{swap} could not be moved to {path}")
+        files.delete(hadoop_path(spark, f"{path.rstrip('/')}/{_WHOLE}")[0], True)
+        return True
+    if not files.exists(parts):
+        return False
+    for part in files.listStatus(swap):
+        if part.isDirectory():
+            name = part.getPath().getName()
+            place, _ = hadoop_path(spark, f"{path.rstrip('/')}/{name}")
+            files.delete(place, True)
+            if not files.rename(part.getPath(), place):
+                raise RuntimeError(f"partition {name} of {path} could not be moved into place")
+    files.delete(swap, True)
+    return True
 
 
 def require_table_keys(spark: SparkSession, path: str, kind: Readings) -> None:

@@ -48,13 +48,23 @@ def pair_daily(daily: DataFrame, rollup: DataFrame, how: str = "full") -> DataFr
     return feed.join(hours, ["location_id", "day"], how)
 
 
+# SQL: the feed's row bears its day at midnight, as the rollup does; only such rows compare.
+AT_MIDNIGHT = "dates = cast(day as timestamp_ntz)"
+
+
 def daily_enriched(pairs: DataFrame) -> DataFrame:
-    """Rows the feed has, with both sources' values and their differences."""
+    """Rows the feed has, with both sources' values and their differences.
+
+    A feed row that is not at midnight has no counterpart among the hourly days.
+    """
     return pairs.where("in_feed").selectExpr(
         "location_id",
         "dates",
         *_LINEAGE.values(),
         *DAILY_METRICS,
-        *_FROM_HOURLY,
-        *[f"{metric} - {metric}_from_hourly as {gap}" for gap, metric in GAPS.items()],
+        *[f"if({AT_MIDNIGHT}, {column}, null) as {column}" for column in _FROM_HOURLY],
+        *[
+            f"if({AT_MIDNIGHT}, {metric} - {metric}_from_hourly, null) as {gap}"
+            for gap, metric in GAPS.items()
+        ],
     )

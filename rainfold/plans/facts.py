@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rainfold.functions.parsing import truthy
 from rainfold.functions.reconciliation import completeness, provenance, reconciliation_status
+from rainfold.plans.enriched import AT_MIDNIGHT
 from rainfold.schemas import DAILY_METRICS
 
 TEMPERATURES = ("temperature_2m_max", "temperature_2m_min", "temperature_2m_mean")
@@ -21,7 +22,11 @@ def dim_locations(locations: DataFrame) -> DataFrame:
     return locations.select(
         "location_id",
         F.col("name").alias("location_name"),
-        *("state", "country", "latitude", "longitude", "timezone"),
+        "state",
+        "country",
+        "latitude",
+        "longitude",
+        "timezone",
         active.alias("is_active"),
     )
 
@@ -78,7 +83,7 @@ def fct_daily_quality(pairs: DataFrame) -> DataFrame:
 
     def gap(metric: str) -> str:
         difference = f"abs({metric} - {metric}_from_hourly)"
-        return f"if(dates = cast(day as timestamp_ntz), {difference}, null)"
+        return f"if({AT_MIDNIGHT}, {difference}, null)"
 
     # Fixed value: the eight metrics that count towards completeness.
     scored = [_preferred(metric) for metric in TEMPERATURES + SUMS] + [

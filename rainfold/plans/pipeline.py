@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainfold.functions.dates import DateRange
+from rainfold.functions.dates import DateRange, DateSet, resolve_range
 from rainfold.operators.checks import freshness, run_checks
 from rainfold.operators.rollup import roll_up_to_days
 from rainfold.operators.series import explode_series, split_unparsable
@@ -32,7 +32,7 @@ from rainfold.plans.facts import (
 )
 from rainfold.plans.staging import stg_daily, stg_hourly
 from rainfold.schemas import DAILY, HOURLY
-from rainfold.session import concurrently, materialize, prepare
+from rainfold.session import concurrently, hadoop_path, materialize, prepare, remove
 from rainfold.sources.landing import read_landing
 from rainfold.sources.locations import read_locations
 
@@ -74,6 +74,32 @@ class Warehouse:
         return self.path("bronze", kind.block)
 
 
+def add_pending(warehouse: Warehouse, dates: DateSet) -> None:
+    """Note days whose models have to be rebuilt, below the warehouse's root."""
+    days = warehouse.spark.createDataFrame([(day,) for day in sorted(dates.days)], "day date")
+    days.coalesce(1).write.mode("append").parquet(warehouse.path("pending", "dates"))
+
+
+def pending_dates(warehouse: Warehouse) -> DateSet | None:
+    path = warehouse.path("pending", "dates")
+    at, files = hadoop_path(warehouse.spark, path)
+    if not files.exists(at):
+        return None
+    days = warehouse.spark.read.schema("day date").parquet(path).distinct().collect()
+    return DateSet(frozenset(row["day"] for row in days)) if days else None
+
+
+def _clear_pending(warehouse: Warehouse, done: DateRange | DateSet | None) -> None:
+    """Forget the days that have been rebuilt; None stands for all."""
+    waiting = pending_dates(warehouse)
+    if waiting is None:
+        return
+    left = waiting.days - done.days if done else frozenset()
+    remove(warehouse.spark, warehouse.path("pending", "dates"))
+    if left:
+        add_pending(warehouse, DateSet(left))
+
+
 def flatten_landing(warehouse: Warehouse, landing: str) -> dict[str, int]:
     """Landing documents to one partitioned dataset per kind of reading.
 
@@ -82,13 +108,17 @@ def flatten_landing(warehouse: Warehouse, landing: str) -> dict[str, int]:
     leaves out; their count per kind is returned.
     """
     spark = prepare(warehouse.spark)
-    records = materialize(read_landing(spark, landing), "landing")
+    held: list[str] = []
+    records = materialize(read_landing(spark, landing), "landing", held)
 
     def write(kind) -> int:
         write_partitioned(explode_series(records, kind), warehouse.files(kind), kind.time_column)
         return bronze_files(warehouse, kind)[1].count()
 
-    return concurrently(spark, {kind.block: partial(write, kind) for kind in KINDS})
+    try:
+        return concurrently(spark, {kind.block: partial(write, kind) for kind in KINDS})
+    finally:
+        remove(spark, *held)
 
 
 def bronze_files(warehouse: Warehouse, kind) -> tuple[DataFrame, DataFrame]:
@@ -115,7 +145,12 @@ def check_sources(warehouse: Warehouse, now: datetime) -> DataFrame:
 
 
 def model_tables(
-    hourly: DataFrame, daily: DataFrame, locations: DataFrame, save, dates: DateRange | None = None
+    hourly: DataFrame,
+    daily: DataFrame,
+    locations: DataFrame,
+    save,
+    dates: DateRange | DateSet | None = None,
+    held: list[str] | None = None,
 ) -> dict[str, DataFrame]:
     """All models by name. ``save(name, df)`` materializes a table and returns what to read.
 
@@ -126,8 +161,8 @@ def model_tables(
     enriched = save("hourly_enriched", hourly_enriched(staged_hourly))
     if dates is not None:
         enriched = enriched.where(dates.covers(F.col("p_date")))
-    rollup = materialize(roll_up_to_days(enriched), "rollup")
-    pairs = materialize(pair_daily(staged_daily, rollup), "pairs")
+    rollup = materialize(roll_up_to_days(enriched), "rollup", held)
+    pairs = materialize(pair_daily(staged_daily, rollup), "pairs", held)
     fed = pairs.where("in_feed")
     tables = {
         "daily_enriched": daily_enriched(pairs),
@@ -151,13 +186,17 @@ def model_tables(
 
 
 def build_models(
-    warehouse: Warehouse, locations_csv: str, dates: DateRange | None = None,
+    warehouse: Warehouse,
+    locations_csv: str,
+    dates: DateRange | DateSet | None = None,
     registered: bool = False,
+    held: list[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Build silver and gold tables from bronze, fully or only for ``dates``.
 
     With ``registered`` the tables are also entered in the session catalog, one database per
-    layer, and the staging models become temporary views.
+    layer, and the staging models become temporary views. Days that waited for this rebuild are
+    cleared. Paths of intermediate tables, which ``stg_daily`` still reads, are added to ``held``.
     """
     spark = prepare(warehouse.spark)
 
@@ -170,12 +209,13 @@ def build_models(
         return table
 
     hourly, daily = (read_bronze(spark, warehouse.bronze(kind), kind) for kind in KINDS)
-    models = model_tables(hourly, daily, read_locations(spark, locations_csv), save, dates)
+    models = model_tables(hourly, daily, read_locations(spark, locations_csv), save, dates, held)
     if registered:
         stg_hourly(hourly).createOrReplaceTempView(
             warehouse.aliases.get("stg_hourly", "stg_hourly")
         )
         stg_daily(daily).createOrReplaceTempView(warehouse.aliases.get("stg_daily", "stg_daily"))
+    _clear_pending(warehouse, dates)
     return models
 
 
@@ -185,10 +225,14 @@ def run(
     locations_csv: str,
     now: datetime,
     mode: str = "upsert",
-    dates: DateRange | None = None,
+    dates: DateRange | DateSet | None = None,
+    lookback_days: int | None = None,
+    registered: bool = False,
 ) -> DataFrame:
-    """Flatten, load, test freshness, build, check; returns the check report.
+    """Flatten, load, test freshness, build, check; returns the stored check report.
 
+    ``dates``, or ``lookback_days`` back from the archive's last day, limit what is rebuilt;
+    without either all is.
     A stale source stops the run before any model is built. Failed checks do not: the tables
     are already written, and the report says what is wrong with them.
     """
@@ -197,5 +241,10 @@ def run(
     stale = check_sources(warehouse, now).where(F.col("status") == "error").first()
     if stale is not None:
         raise StaleSource(f"source {stale['source']} was last loaded at {stale['max_loaded_at']}")
-    models = build_models(warehouse, locations_csv, dates)
-    return run_checks(models, declared_checks())
+    if dates is None and lookback_days is not None:
+        dates = resolve_range(now.date(), lookback_days)
+    held: list[str] = []
+    models = build_models(warehouse, locations_csv, dates, registered, held)
+    report = write_table(run_checks(models, declared_checks()), warehouse.path("checks", "report"))
+    remove(warehouse.spark, *held)
+    return report

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -15,8 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES_AT_ONCE = 4
 T = TypeVar("T")
 
-_local_scratch: str | None = None
-
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings results and skew handling rest on.
@@ -30,28 +27,38 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
+    """A fresh path below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
 
-    A temporary folder stands in only in local mode, where driver and tasks share one disk.
+    Both are shared by driver and executors; no machine's own folder is ever used.
     """
-    global _local_scratch
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        if _local_scratch is None:
-            _local_scratch = tempfile.mkdtemp(prefix="rainfold-")
-        root = _local_scratch
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, for the few steps that Spark has no writer for."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that nothing reads any more."""
+    for path in paths:
+        at, files = hadoop_path(spark, path)
+        files.delete(at, True)
+
+
+def materialize(df: DataFrame, name: str, held: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several outputs need the same rows: it survives lost executors and, unlike a
-    cache, takes no executor memory.
+    cache, takes no executor memory. The path is added to ``held`` for its later removal.
     """
     path = scratch_path(df.sparkSession, name)
+    if held is not None:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

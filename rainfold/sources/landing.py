@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 
 from rainfold.schemas import LANDING
 
-# Fixed value: lines files by their usual suffixes, compressed or not.
-LINE_FILES = "*.json*"
+# Lines files by their suffixes, compressed or not, and an age that no file reaches.
+LINE_FILES = "*.{json,jsonl,json.gz,jsonl.gz}"
+ANY_AGE = "100000d"
 _CORRUPT = "malformed"
 
 
@@ -35,6 +36,8 @@ def require_landing(spark: SparkSession, path: str) -> None:
         )
         found = not files.isEmpty()
     except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no landing folder at {path}") from error
     if not found:
         raise FileNotFoundError(f"no {LINE_FILES} file under {path}")
@@ -52,8 +55,12 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 def landing_stream(
     spark: SparkSession, path: str, max_files_per_batch: int | None = None
 ) -> DataFrame:
-    """The same documents as a stream of files, as strict about broken lines."""
-    reader = _options(spark.readStream, LANDING, "FAILFAST")
+    """The same documents as a stream of files, as strict about broken lines.
+
+    Files are taken whatever their modification time, copies and backfills too. For that the
+    stream remembers every landed file; moving loaded files away bounds that list.
+    """
+    reader = _options(spark.readStream, LANDING, "FAILFAST").option("maxFileAge", ANY_AGE)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     return reader.json(path)

@@ -24,6 +24,8 @@ def read_locations(spark: SparkSession, path: str) -> DataFrame:
             .csv(path)
         )
     except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no location list at {path}: {error.getMessage()}") from error
     require_columns(text, LOCATION_COLUMNS, f"location list {path}")
     return text.withColumns(
@@ -44,6 +46,9 @@ def active_locations(locations: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("n"), F.coalesce(F.bool_or(nowhere), F.lit(False)).alias("bad")
         ).first()
     except (PySparkException, Py4JJavaError) as error:
+        # Other failures, a lost executor for one, are not about the list.
+        if "MALFORMED_RECORD_IN_PARSING" not in str(error) and "FAILED_READ_FILE" not in str(error):
+            raise
         raise ValueError(
             "the location list did not parse; a field with a comma in it must be quoted"
         ) from error

@@ -9,35 +9,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from rainfold.functions.dates import DateRange
+from rainfold.functions.dates import DateSet
 from rainfold.operators.series import explode_series, split_unparsable
 from rainfold.operators.tables import load
-from rainfold.plans.pipeline import KINDS, Warehouse
-from rainfold.session import materialize, prepare
+from rainfold.plans.pipeline import KINDS, Warehouse, add_pending, pending_dates
+from rainfold.session import materialize, prepare, remove
 from rainfold.sources.landing import landing_stream
 
 
 def load_new_landing(
     warehouse: Warehouse, landing: str, max_files_per_batch: int | None = None
-) -> DateRange | None:
+) -> DateSet | None:
     """Upsert the documents of all files not loaded before, then stop.
 
-    Returns the range of dates that changed, for a partial rebuild of the models, or None when
-    there was nothing to load. A batch that is repeated after a failure gives the same tables:
+    Returns the days whose models wait for a rebuild, or None when there are none. They are stored
+    with the warehouse before a batch counts as done, and ``build_models`` clears them, so days
+    of a run that died before its rebuild come back with the next one. A batch that is repeated after a failure gives the same tables:
     its upserts write the same rows again, and its quarantine folder is overwritten.
     """
     spark = prepare(warehouse.spark)
-    changed: list[DateRange] = []
-
     def load_batch(documents: DataFrame, batch_id: int) -> None:
-        records = materialize(documents, "landing")
+        held: list[str] = []
+        records = materialize(documents, "landing", held)
         for kind in KINDS:
             usable, unparsable = split_unparsable(explode_series(records, kind))
             quarantine = f"{warehouse.path('quarantine', kind.block)}/batch={batch_id}"
             unparsable.drop("p_date").write.mode("overwrite").parquet(quarantine)
             report = load(usable, warehouse.bronze(kind), kind, "upsert")
             if report.dates:
-                changed.append(report.dates)
+                add_pending(warehouse, report.dates)
+        remove(spark, *held)
 
     query = (
         landing_stream(spark, landing, max_files_per_batch)
@@ -47,6 +48,4 @@ def load_new_landing(
         .start()
     )
     query.awaitTermination()
-    if not changed:
-        return None
-    return DateRange(min(d.start for d in changed), max(d.end for d in changed))
+    return pending_dates(warehouse)

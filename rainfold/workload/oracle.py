@@ -127,6 +127,17 @@ _STEPS = {
             precipitation_sum - precipitation_sum_from_hourly as diff_precip_api_vs_hourly
         from stg_daily d left join rollup r
             on r.location_id = d.location_id and r.dates::timestamp = d.dates""",
+    "late_daily": """
+        select * replace (dates + to_hours(if(day(dates) % 7 = 3, 6, 0)) as dates)
+        from stg_daily""",
+    "late_enriched": f"""
+        select d.location_id, d.dates, d.ingested_at as daily_ingested_at,
+            d.p_date as daily_p_date, {_FEED}, r.* exclude (location_id, dates),
+            temperature_2m_max - temperature_2m_max_from_hourly as diff_temp_max_api_vs_hourly,
+            temperature_2m_min - temperature_2m_min_from_hourly as diff_temp_min_api_vs_hourly,
+            precipitation_sum - precipitation_sum_from_hourly as diff_precip_api_vs_hourly
+        from late_daily d left join rollup r
+            on r.location_id = d.location_id and r.dates::timestamp = d.dates""",
     "fct_daily_api": f"""
         select location_id, dates::date as dates, {_FEED} from stg_daily""",
     "fct_daily_hourly": """
@@ -291,6 +302,21 @@ _QUERIES = {
     "hourly_enriched": "select * from hourly_enriched",
     "daily_rollup": "select * from rollup",
     "daily_enriched": "select * from daily_enriched",
+    "daily_enriched_off_midnight": "select * from late_enriched",
+    "pipeline_fct_daily": "select * from fct_daily",
+    "pipeline_quality": "select * from fct_daily_quality",
+    "partial_rebuild": "select * from fct_daily",
+    "landing_incremental": _packed("stg_hourly", "observed_at", "observed_at", _METRICS),
+    "quarantined_rows": _packed(
+        "stg_hourly", "null::timestamp", "observed_at", _METRICS
+    ).replace("p_date\n        from", "null::date as p_date\n        from")
+    + " and hour(observed_at) = 5",
+    "locations_csv": "select * from locations",
+    "table_key_conflicts": """
+        select location_id, observed_at, count(*) as n
+        from bronze_hourly where location_id is not null and observed_at is not null
+        group by all having count(*) > 1""",
+    "empty_load": "select * from stg_hourly",
     "fct_daily_api": "select * from fct_daily_api",
     "fct_daily_hourly": "select * from fct_daily_hourly",
     "fct_daily": "select * from fct_daily",

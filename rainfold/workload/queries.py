@@ -10,19 +10,25 @@ from pyspark.sql import functions as F
 from rainfold.functions.bands import band_columns, flag_columns
 from rainfold.functions.dates import resolve_range
 from rainfold.operators import checks as c
-from rainfold.operators import latest
+from rainfold.operators import guards, latest
 from rainfold.operators.latest import latest_by_key
 from rainfold.operators.rollup import roll_up_to_days
-from rainfold.operators.series import explode_series, landing_records, zip_series
+from rainfold.operators.series import (
+    explode_series,
+    landing_records,
+    split_unparsable,
+    zip_series,
+)
 from rainfold.operators.stack import stack_by_name
 from rainfold.operators.tables import load, read_bronze, write_partitioned
-from rainfold.plans import enriched, facts, staging
+from rainfold.plans import enriched, facts, pipeline, staging
 from rainfold.plans.declared_checks import declared_checks
 from rainfold.plans.pipeline import model_tables
 from rainfold.schemas import DAILY, HOURLY
-from rainfold.session import materialize, scratch_path
+from rainfold.session import hadoop_path, materialize, scratch_path
 from rainfold.sources.landing import read_landing, write_landing
 from rainfold.sources import locations
+from rainfold.streaming.landing_stream import load_new_landing
 from rainfold.workload import bridge
 
 NOW = datetime(2024, 2, 10, 12, 0, 0)
@@ -94,6 +100,14 @@ def daily_enriched(spark, sf_dir):
     return enriched.daily_enriched(_pairs(spark, sf_dir, "left"))
 
 
+def daily_enriched_off_midnight(spark, sf_dir):
+    """Some feed rows bear six o'clock: they have no hourly counterpart."""
+    late = F.expr("if(day(dates) % 7 = 3, dates + interval 6 hours, dates)")
+    feed = _daily(spark, sf_dir).withColumn("dates", late)
+    pairs = enriched.pair_daily(feed, roll_up_to_days(_hourly(spark, sf_dir)), "left")
+    return enriched.daily_enriched(pairs)
+
+
 def fct_daily_api(spark, sf_dir):
     return facts.fct_daily_api(_daily(spark, sf_dir))
 
@@ -157,18 +171,21 @@ def json_props(spark, sf_dir):
     return parsed.select("event_id", "parsed.k", F.to_json("parsed").alias("json"))
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = write_landing(
-        landing_records(
-            _hourly(spark, sf_dir),
-            _daily(spark, sf_dir).withColumnRenamed("dates", "date"),
-            bridge.locations(spark, sf_dir),
-        ),
-        scratch_path(spark, "landing"),
-        "2024-01-01",
-        "2024-12-31",
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing_records(
+        _hourly(spark, sf_dir),
+        _daily(spark, sf_dir).withColumnRenamed("dates", "date"),
+        bridge.locations(spark, sf_dir),
     )
-    return read_landing(spark, path)
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    folder = scratch_path(spark, "landing")
+    return write_landing(_records(spark, sf_dir), folder, "2024-01-01", "2024-12-31")
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_landing(spark, _landed(spark, sf_dir))
 
 
 def landing_roundtrip(spark, sf_dir):
@@ -180,6 +197,98 @@ def landing_roundtrip_daily(spark, sf_dir):
     return explode_series(_documents(spark, sf_dir), DAILY)
 
 
+def landing_incremental(spark, sf_dir):
+    """Documents in two deliveries, of which the later one's files bear an older time."""
+    folder = scratch_path(spark, "landing")
+    warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"))
+    records = _records(spark, sf_dir)
+    second = F.expr("pmod(hash(location_id), 2) = 1")
+    write_landing(records.where(~second), folder, "2024-01-01", "2024-06-30")
+    load_new_landing(warehouse, folder)
+    late = write_landing(records.where(second), folder, "2024-07-01", "2024-12-31")
+    at, files = hadoop_path(spark, late)
+    for file in files.listStatus(at):
+        # Four hundred days back, in milliseconds.
+        moment = file.getModificationTime() - 400 * 86_400_000
+        files.setTimes(file.getPath(), moment, moment)
+    load_new_landing(warehouse, folder)
+    return read_bronze(spark, warehouse.bronze(HOURLY), HOURLY)
+
+
+def quarantined_rows(spark, sf_dir):
+    """Readings whose time text is broken keep their values and lose time and date."""
+    broken = F.transform(
+        "payload.hourly.time", lambda t: F.when(t.endswith("T05:00"), F.lit("noon")).otherwise(t)
+    )
+    hourly = F.col("payload").withField("hourly.time", broken)
+    rows = explode_series(_documents(spark, sf_dir).withColumn("payload", hourly), HOURLY)
+    return split_unparsable(rows)[1]
+
+
+def locations_csv(spark, sf_dir):
+    """The location list as a CSV whose columns are in another order."""
+    path = scratch_path(spark, "locations")
+    _write_locations(bridge.locations(spark, sf_dir), path)
+    return locations.read_locations(spark, path)
+
+
+def _write_locations(rows: DataFrame, path: str) -> str:
+    shuffled = rows.select(*sorted(rows.columns, reverse=True))
+    shuffled.write.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+    return path
+
+
+def _whole_run(spark: SparkSession, sf_dir: str) -> pipeline.Warehouse:
+    warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"))
+    seed = _write_locations(bridge.locations(spark, sf_dir), scratch_path(spark, "locations"))
+    pipeline.run(warehouse, _landed(spark, sf_dir), seed, NOW)
+    return warehouse
+
+
+def pipeline_fct_daily(spark, sf_dir):
+    """Landing files through all stages of the run; the canonical fact as stored."""
+    warehouse = _whole_run(spark, sf_dir)
+    return spark.read.parquet(warehouse.path("gold", "fct_daily"))
+
+
+def pipeline_quality(spark, sf_dir):
+    """The quality fact of the run."""
+    warehouse = _whole_run(spark, sf_dir)
+    table = spark.read.parquet(warehouse.path("gold", "fct_daily_quality"))
+    return table.withColumn("completeness_score", F.col("completeness_score").cast("double"))
+
+
+def partial_rebuild(spark, sf_dir):
+    """Half the locations loaded and built, then the rest, then only the days that they touch."""
+    warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"))
+    seed = _write_locations(bridge.locations(spark, sf_dir), scratch_path(spark, "locations"))
+    later = F.expr("pmod(hash(location_id), 2) = 1")
+    sources = {
+        kind: materialize(rows(spark, sf_dir), "source")
+        for kind, rows in ((HOURLY, bridge.bronze_hourly), (DAILY, bridge.bronze_daily))
+    }
+    for kind, rows in sources.items():
+        load(rows.where(~later), warehouse.bronze(kind), kind)
+    pipeline.build_models(warehouse, seed)
+    touched = [load(rows.where(later), warehouse.bronze(kind), kind).dates
+               for kind, rows in sources.items()]
+    pipeline.build_models(warehouse, seed, touched[0] | touched[1])
+    return spark.read.parquet(warehouse.path("gold", "fct_daily"))
+
+
+def table_key_conflicts(spark, sf_dir):
+    """Keys that would break a table's uniqueness."""
+    return guards.repeated_keys(bridge.bronze_hourly(spark, sf_dir), HOURLY.keys)
+
+
+def empty_load(spark, sf_dir):
+    """A batch without rows changes nothing, whatever the mode."""
+    rows = bridge.bronze_hourly(spark, sf_dir)
+    return _loaded(spark, (rows, "upsert"), (rows.where("rain < -1"), "replace"))
+
+
 def parquet_partition_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "partitioned")
     write_partitioned(bridge.bronze_hourly(spark, sf_dir).drop("p_date"), path, "observed_at")
@@ -321,6 +430,7 @@ QUERIES = {
         hourly_enriched,
         daily_rollup,
         daily_enriched,
+        daily_enriched_off_midnight,
         fct_daily_api,
         fct_daily_hourly,
         fct_daily,
@@ -333,6 +443,14 @@ QUERIES = {
         json_props,
         landing_roundtrip,
         landing_roundtrip_daily,
+        landing_incremental,
+        quarantined_rows,
+        locations_csv,
+        pipeline_fct_daily,
+        pipeline_quality,
+        partial_rebuild,
+        table_key_conflicts,
+        empty_load,
         parquet_partition_roundtrip,
         union_by_name,
         load_replace,

@@ -1,7 +1,8 @@
 import json
+import os
 from datetime import date
 
-from rainfold.functions.dates import DateRange
+from rainfold.functions.dates import DateSet
 from rainfold.operators.tables import read_bronze
 from rainfold.plans import pipeline
 from rainfold.plans.pipeline import Warehouse
@@ -21,12 +22,13 @@ def test_only_new_files_are_loaded(spark, tmp_path):
     odd = document(day=3)
     odd["payload"]["hourly"]["time"][0] = "noon"
     land(landing, "one.jsonl", document(), document("b", day=2))
-    assert load_new_landing(warehouse, str(landing)) == DateRange(
-        date(2024, 1, 1), date(2024, 1, 2))
+    assert load_new_landing(warehouse, str(landing)) == DateSet(
+        frozenset([date(2024, 1, 1), date(2024, 1, 2)]))
+    pipeline._clear_pending(warehouse, None)
     assert load_new_landing(warehouse, str(landing)) is None
     land(landing, "two.jsonl", odd, document(day=2, warm=5.0))
-    assert load_new_landing(warehouse, str(landing), max_files_per_batch=1) == DateRange(
-        date(2024, 1, 2), date(2024, 1, 3))
+    assert load_new_landing(warehouse, str(landing), max_files_per_batch=1) == DateSet(
+        frozenset([date(2024, 1, 2), date(2024, 1, 3)]))
 
     batch = Warehouse(spark, str(tmp_path / "batch"))
     pipeline.flatten_landing(batch, str(landing))
@@ -54,3 +56,29 @@ def test_range_of_a_stream_load_drives_a_partial_rebuild(spark, tmp_path):
     fact = spark.read.parquet(warehouse.path("gold", "fct_daily"))
     assert records(fact, "dates", "temperature_2m_max") == [
         (date(2024, 1, 1), 5.75), (date(2024, 1, 2), 10.75)]
+
+
+def test_files_count_whatever_their_age_and_others_do_not(spark, tmp_path):
+    landing, warehouse = tmp_path / "landing", Warehouse(spark, str(tmp_path / "root"))
+    land(landing, "new.jsonl", document())
+    load_new_landing(warehouse, str(landing))
+    land(landing, "old.jsonl", document(day=2))
+    os.utime(landing / "old.jsonl", (1_500_000_000, 1_500_000_000))
+    land(landing, "half.jsonl.tmp", document(day=3))
+    waiting = load_new_landing(warehouse, str(landing))
+    assert waiting == DateSet(frozenset([date(2024, 1, 1), date(2024, 1, 2)]))
+
+
+def test_days_of_a_run_that_died_before_its_rebuild_come_back(spark, tmp_path):
+    landing, warehouse = tmp_path / "landing", Warehouse(spark, str(tmp_path / "root"))
+    seed = tmp_path / "seed.csv"
+    seed.write_text(
+        "location_id,name,state,country,latitude,longitude,timezone,is_active\n"
+        "a,A,S,X,1,2,UTC,true\n")
+    land(landing, "one.jsonl", document())
+    assert load_new_landing(warehouse, str(landing)) is not None  # and no rebuild
+    waiting = load_new_landing(warehouse, str(landing))
+    assert waiting == DateSet(frozenset([date(2024, 1, 1)]))
+    pipeline.build_models(warehouse, str(seed), waiting)
+    assert load_new_landing(warehouse, str(landing)) is None
+    assert spark.read.parquet(warehouse.path("gold", "fct_daily")).count() == 1

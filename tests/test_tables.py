@@ -78,7 +78,7 @@ def test_load_reports_duplicates(spark, path):
         row(2, 3.0))
     report = load(batch, path, HOURLY)
     assert (report.rows_read, report.rows_loaded, report.duplicates) == (3, 2, 1)
-    assert report.dates == DateRange(ts("2024-01-01").date(), ts("2024-01-01").date())
+    assert report.dates.days == {ts("2024-01-01").date()}
     assert contents(spark, path, "rain") == [(2.0,), (3.0,)]
 
 
@@ -190,8 +190,8 @@ def test_interrupted_swap_is_finished_by_the_next_load(spark, path, monkeypatch)
         finish = tables._finish_swap
         patch.setattr(
             tables, "_swap_in",
-            lambda merged, target: (patch.setattr(tables, "_finish_swap", die),
-                                    swap_in(merged, target)))
+            lambda *arguments: (patch.setattr(tables, "_finish_swap", die),
+                                swap_in(*arguments)))
         with pytest.raises(RuntimeError):
             load(hourly_rows(spark, row(2, 9.0)), path, HOURLY)
     assert tables._finish_swap is finish
@@ -226,3 +226,41 @@ def test_tables_are_queryable_by_name(spark, path):
     found = spark.sql("select rain from silver_t.readings where p_date >= date'2024-01-01'")
     assert records(found) == [(2.0,), (3.0,)]
     spark.sql("drop table silver_t.readings")
+
+
+def test_upsert_does_not_need_sparks_mark_of_success(spark, path):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        load(hourly_rows(spark, row(1, 1.0), row(2, 2.0)), path, HOURLY)
+        load(hourly_rows(spark, row(2, 8.0), row(3, 9.0)), path, HOURLY)
+        assert contents(spark, path, "rain") == [(1.0,), (8.0,), (9.0,)]
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_replace_names_old_days_too_and_rebuilds_drop_empty_days(spark, path):
+    load(hourly_rows(spark, row(1, 1.0), row(1, 2.0, day=2)), path, HOURLY)
+    report = load(hourly_rows(spark, row(1, 3.0, day=2)), path, HOURLY, "replace")
+    assert sorted(d.day for d in report.dates.days) == [1, 2]
+    target = path + "-model"
+    write_table(hourly_rows(spark, row(1, 1.0), row(1, 2.0, day=2)), target, "p_date")
+    now = tables.read_bronze(spark, path, HOURLY)
+    assert records(write_table(now, target, "p_date", report.dates), "rain") == [(3.0,)]
+
+
+def test_an_interrupted_swap_is_finished_by_the_next_reader(spark, path, monkeypatch):
+    load(hourly_rows(spark, row(1, 1.0)), path, HOURLY)
+    finish = tables._finish_swap
+    monkeypatch.setattr(tables, "_finish_swap", lambda *_: False)
+    with pytest.raises(RuntimeError):
+        load(hourly_rows(spark, row(1, 7.0)), path, HOURLY)
+    monkeypatch.setattr(tables, "_finish_swap", finish)
+    assert contents(spark, path, "rain") == [(7.0,)]
+
+
+def test_a_table_that_holds_a_key_twice_takes_no_load(spark, path):
+    load(hourly_rows(spark, row(1, 1.0)), path, HOURLY)
+    tables._write(hourly_rows(spark, row(1, 2.0)), path, "append", "p_date")
+    with pytest.raises(KeyConflict):
+        load(hourly_rows(spark, row(2, 3.0)), path, HOURLY)
