@@ -33,7 +33,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def pieces_of(column: pa.Array, limit: int = 8 * PIECE) -> Iterator[tuple[int, int]]:
+def pieces_of(column: pa.Array, limit: int = 2 * PIECE) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``limit`` bytes each; a longer text is a range of its own."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
     first, held = 0, 0

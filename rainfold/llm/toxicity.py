@@ -211,7 +211,7 @@ def _grouped_sums(labelled: DataFrame, of: Callable, schema: str, keys: list[str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last in pieces_of(batch.column("text"), 4 << 20):
+            for first, last in pieces_of(batch.column("text"), 1 << 20):
                 part = batch.slice(first, last - first)
                 labels = np.asarray(part.column("label"))
                 found = of(part.column("text"), labels)
@@ -228,7 +228,7 @@ def _restored_rows(labelled: DataFrame, characters: CharacterModel) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, str] = {}
         for batch in batches:
-            for first, last in pieces_of(batch.column("text"), 4 << 20):
+            for first, last in pieces_of(batch.column("text"), 1 << 20):
                 part = batch.slice(first, last - first)
                 text = restored_column(part.column("text"), characters, known)
                 yield pa.RecordBatch.from_arrays(
@@ -368,7 +368,7 @@ def score(text: Column, model: Model) -> Column:
         for part in parts:
             column = pa.array(part, pa.large_string(), from_pandas=True)
             out = np.zeros(len(column))
-            for first, last in pieces_of(column, 4 << 20):
+            for first, last in pieces_of(column, 1 << 20):
                 out[first:last] = model.sums(restored_column(column.slice(first, last - first), model.characters, known))
             yield pd.Series(model.curve(out))
 
