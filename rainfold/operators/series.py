@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rainfold.functions.parsing import iso_seconds, lenient_timestamp, lenient_utc_timestamp
+from rainfold.functions.parsing import (
+    ingestion_stamp,
+    iso_seconds,
+    lenient_timestamp,
+    lenient_utc_timestamp,
+)
 from rainfold.operators.latest import latest_by_key
 from rainfold.schemas import DAILY, DAILY_METRICS, HOURLY, HOURLY_METRICS, Readings
 
@@ -87,10 +92,13 @@ def pack_series(rows: DataFrame, kind: Readings) -> DataFrame:
     return packed.select("location_id", "month", "ingested_at", block.alias(kind.block))
 
 
-def landing_records(hourly: DataFrame, daily: DataFrame, locations: DataFrame) -> DataFrame:
+def landing_records(
+    hourly: DataFrame, daily: DataFrame, locations: DataFrame, stamped_now: bool = False
+) -> DataFrame:
     """Landing documents from hourly and daily rows, one per location and month.
 
-    A document has one ingestion stamp: the newest of the rows it holds.
+    A document has one ingestion stamp: the newest of the rows it holds, or the present moment
+    with ``stamped_now``, as for documents that are fetched just now.
     """
     blocks = pack_series(hourly, HOURLY).alias("h").join(
         pack_series(daily, DAILY).alias("d"), ["location_id", "month"], "full"
@@ -99,6 +107,7 @@ def landing_records(hourly: DataFrame, daily: DataFrame, locations: DataFrame) -
     start = F.date_format("month", "yyyy-MM-dd")
     end = F.date_format(F.last_day("month"), "yyyy-MM-dd")
     place = ("latitude", "longitude")
+    newest = F.greatest("h.ingested_at", "d.ingested_at")
     return described.select(
         "location_id",
         "name",
@@ -106,7 +115,7 @@ def landing_records(hourly: DataFrame, daily: DataFrame, locations: DataFrame) -
         "timezone",
         start.alias("start_date"),
         end.alias("end_date"),
-        iso_seconds(F.greatest("h.ingested_at", "d.ingested_at")).alias("ingested_at"),
+        iso_seconds(ingestion_stamp() if stamped_now else newest).alias("ingested_at"),
         F.struct(*place, "hourly", "daily").alias("payload"),
         F.struct(
             *place,

@@ -5,7 +5,7 @@ Fixed values throughout: which columns are keys, labels, ranges and limits.
 
 from __future__ import annotations
 
-from rainfold.functions.bands import BANDINGS, FLAGS, Banding
+from rainfold.functions.bands import FLAGS
 from rainfold.functions.reconciliation import (
     FEED_SOURCE,
     HOURLY_SOURCE,
@@ -78,18 +78,35 @@ def _flag_invariant(flag: str, metric: str) -> str:
     )
 
 
-def _band_invariant(column: str, banding: Banding) -> str:
+# Bounds and labels of the bands, stated apart from the code that makes the labels, so that a
+# wrong bound there breaks an invariant. Precipitation's first bound belongs to the second band.
+BANDS = {
+    "temp_bucket": ("temperature_2m", (0, 15, 25), ("freezing", "cold", "mild", "hot")),
+    "humidity_bucket": (
+        "relative_humidity_2m",
+        (30, 50, 60, 70),
+        ("dry", "mild", "moderately humid", "humid", "very humid"),
+    ),
+    "wind_bucket": ("wind_speed_10m", (19, 38, 61), ("light", "moderate", "strong", "gale")),
+    "precipitation_bucket": (
+        "precipitation",
+        (0.1, 2.5, 7.5, 30),
+        ("no precipitation", "very light", "light", "moderate", "heavy"),
+    ),
+}
+
+
+def _band_invariant(column: str) -> str:
     """Each label goes with exactly the values between its bounds."""
-    metric = banding.metric
+    metric, bounds, labels = BANDS[column]
     cases = [f"({metric} is null and {column} is null)"]
     floor = None
-    for position, label in enumerate(banding.labels):
+    for position, label in enumerate(labels):
         limits = [] if floor is None else [floor]
-        if position < len(banding.bounds):
-            bound = banding.bounds[position][0]
-            is_open = banding.open_first and position == 0
-            limits.append(f"{metric} {'<' if is_open else '<='} {bound}")
-            floor = f"{metric} {'>=' if is_open else '>'} {bound}"
+        if position < len(bounds):
+            is_open = metric == "precipitation" and position == 0
+            limits.append(f"{metric} {'<' if is_open else '<='} {bounds[position]}")
+            floor = f"{metric} {'>=' if is_open else '>'} {bounds[position]}"
         cases.append("(" + " and ".join([*limits, f"{column} = '{label}'"]) + ")")
     return " or ".join(cases)
 
@@ -117,11 +134,11 @@ def _staging_conditions() -> list[Check]:
 def _enriched_conditions() -> list[Check]:
     table = "hourly_enriched"
     labels = [
-        Check(table, ACCEPTED_VALUES, (column,), values=banding.labels)
-        for column, banding in BANDINGS.items()
+        Check(table, ACCEPTED_VALUES, (column,), values=labels)
+        for column, (_, _, labels) in BANDS.items()
     ]
     invariants = [_flag_invariant(flag, metric) for flag, metric in FLAGS.items()] + [
-        _band_invariant(column, banding) for column, banding in BANDINGS.items()
+        _band_invariant(column) for column in BANDS
     ]
     return labels + [Check(table, EXPRESSION, condition=c) for c in invariants]
 

@@ -2,15 +2,7 @@
 
 from __future__ import annotations
 
-from rainfold.operators.checks import (
-    ACCEPTED_VALUES,
-    COLUMN_EXPRESSION,
-    EXPRESSION,
-    NOT_NULL,
-    UNIQUE,
-    Check,
-)
-from rainfold.plans.declared_checks import declared_checks
+from rainfold.workload.expected_checks import EXPECTED
 
 _METRICS = (
     "temperature_2m, relative_humidity_2m, precipitation, rain, snowfall, snow_depth, "
@@ -226,28 +218,10 @@ def _with(query: str) -> str:
     return f"with {', '.join(steps)} {query}" if steps else query
 
 
-def _failures(check: Check) -> str:
-    column = check.columns[0] if check.columns else ""
-    keys = ", ".join(check.columns)
-    if check.kind == NOT_NULL:
-        source = f"from {check.table} where {column} is null"
-    elif check.kind == UNIQUE:
-        source = (
-            f"from (select {column} from {check.table} where {column} is not null "
-            f"group by 1 having count(*) > 1)"
-        )
-    elif check.kind == ACCEPTED_VALUES:
-        values = ", ".join(f"'{value}'" for value in check.values)
-        source = f"from {check.table} where {column} not in ({values})"
-    elif check.kind == EXPRESSION:
-        source = f"from {check.table} where not ({check.condition})"
-    elif check.kind == COLUMN_EXPRESSION:
-        source = f"from {check.table} where not ({column} {check.condition})"
-    else:
-        source = f"from (select {keys} from {check.table} group by all having count(*) > 1)"
-    name = check.name.replace("'", "''")
+def _failures(table: str, check: str, source: str) -> str:
+    name = check.replace("'", "''")
     return (
-        f"select '{check.table}' as \"table\", '{name}' as \"check\", count(*) as failures, "
+        f"select '{table}' as \"table\", '{name}' as \"check\", count(*) as failures, "
         f"if(count(*) = 0, 'pass', 'fail') as status {source}"
     )
 
@@ -393,6 +367,6 @@ def oracle_sql() -> dict[str, str]:
             )
         else:
             statements[name] = _with(query)
-    suite = " union all ".join(_failures(check) for check in declared_checks())
+    suite = " union all ".join(_failures(*expected) for expected in EXPECTED)
     statements["check_suite"] = _with(suite)
     return statements
