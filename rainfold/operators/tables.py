@@ -6,7 +6,9 @@ rewrites the dates its batch touches.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import date
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -96,9 +98,12 @@ def ensure_table(spark: SparkSession, path: str, kind: Readings) -> None:
 
 def register(
     spark: SparkSession, database: str, name: str, path: str, df: DataFrame,
-    partition: str | None = None,
+    partition: str | None = None, days: Iterable[date] | None = None,
 ) -> None:
-    """Make a table folder queryable as ``database.name``, creating the database if absent."""
+    """Make a table folder queryable as ``database.name``, creating the database if absent.
+
+    With ``days`` only their partitions are entered; else the folder's are listed.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     by = f"PARTITIONED BY (`{partition}`)" if partition else ""
@@ -106,7 +111,13 @@ def register(
         f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet {by} "
         f"LOCATION '{path}'"
     )
-    if partition:
+    if partition and days is not None:
+        for day in sorted(days):
+            spark.sql(
+                f"ALTER TABLE `{database}`.`{name}`"
+                f" ADD IF NOT EXISTS PARTITION (`{partition}` = DATE'{day}')"
+            )
+    elif partition:
         spark.catalog.recoverPartitions(f"`{database}`.`{name}`")
     spark.catalog.refreshTable(f"`{database}`.`{name}`")
 

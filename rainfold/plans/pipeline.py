@@ -205,7 +205,8 @@ def build_models(
         path = warehouse.path(layer, name)
         table = write_table(df, path, partition, dates if partition else None)
         if registered:
-            register(spark, layer, warehouse.aliases.get(name, name), path, table, partition)
+            days = dates.days if dates else None
+            register(spark, layer, warehouse.aliases.get(name, name), path, table, partition, days)
         return table
 
     hourly, daily = (read_bronze(spark, warehouse.bronze(kind), kind) for kind in KINDS)
