@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 import public_tokenizers
@@ -20,9 +19,9 @@ from rainfold.llm import (
     warc,
     wordpiece,
 )
+from rainfold.llm.storage import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 # The rows kept from fitting, the scores that predict, and about how many labelled
 # rows a model is fitted on at most.
@@ -38,9 +37,8 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables. Workers find this package where the driver found it."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the driver's tables."""
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Fixed value: rows in an Arrow batch. Texts are large rows; both sides of a worker hold whole batches.
+BATCH_ROWS = 1_000
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Bound the batches that go to Python; workers find this package where the driver found it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    return spark
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, or below the warehouse where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

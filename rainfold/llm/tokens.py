@@ -12,7 +12,6 @@ import json
 from functools import cache
 
 import tiktoken
-from tokenizers import Tokenizer
 
 # The split pattern of byte-level BPE, with and without look-ahead.
 _HEAD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|"
@@ -38,19 +37,26 @@ class Ids:
         self._specials = [token["content"] for token in described.get("added_tokens", [])]
         stand_in = _byte_characters()
         special = set(self._specials)
-        ranks = {
+        self._ranks = {
             bytes(stand_in[c] for c in piece): number
             for piece, number in described["model"]["vocab"].items()
             if piece not in special
         }
-        self._single, self._any = (
-            tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-            for name, pattern in (("single", _PATTERN_SINGLE_SPACES), ("any", _PATTERN))
-        )
-        self._exact: Tokenizer | None = None
+        self._built: dict[str, tiktoken.Encoding] = {}
+        self._exact = None
+
+    def _encoding(self, pattern: str) -> tiktoken.Encoding:
+        """Built on demand: most workers need one of the two."""
+        if pattern not in self._built:
+            self._built[pattern] = tiktoken.Encoding(
+                pattern, pat_str=pattern, mergeable_ranks=self._ranks, special_tokens={}
+            )
+        return self._built[pattern]
 
     def exact(self, text: str) -> list[int]:
         if self._exact is None:
+            from tokenizers import Tokenizer
+
             self._exact = Tokenizer.from_str(self._json)
         return self._exact.encode(text, add_special_tokens=False).ids
 
@@ -62,8 +68,8 @@ class Ids:
         if any(special in text for special in self._specials):
             return self.exact(text)
         if b"  " in plain.translate(_WHITE):
-            return self._any.encode_ordinary(text)
-        return self._single.encode_ordinary(text)
+            return self._encoding(_PATTERN).encode_ordinary(text)
+        return self._encoding(_PATTERN_SINGLE_SPACES).encode_ordinary(text)
 
 
 @cache
