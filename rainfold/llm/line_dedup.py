@@ -39,7 +39,7 @@ class Rule:
 
 def _key(line: str) -> str:
     """SQL for the key; lower() changes A-Z only where all characters are ASCII."""
-    key = f"btrim({line}, ' \\t\\n\\u000B\\f\\r')"
+    key = f"btrim({line}, ' \\t\\n\\u000B\\u000C\\r')"
     return (
         f"if(length({line}) = octet_length({line}), lower({key}), translate({key},"
         " 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"

@@ -52,6 +52,8 @@ def test_against_brute_force(documents):
         (11, ("long line number one of very many\n" * 3000) + LINE),
     ]
     rows += [(20 + i, "ÄÖÜ " * 12 + "a") for i in range(5)]
+    # Exactly long enough; letters that look like escapes of white space stay, white space goes.
+    rows += [(30 + i, "f" + "tnrvb" * 7 + "off" + "f" + "\f\v" * (i % 2)) for i in range(5)]
     docs = documents(*rows, extra=["row", "line", "rf_textual"])
     for rule in (Rule(), Rule(least_length=5, least_documents=2)):
         assert decided(docs, rule) == brute_force(rows, rule)
