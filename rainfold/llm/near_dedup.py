@@ -11,11 +11,19 @@ share few values, in a crowded one only those with the longest common prefix sta
 other. Neighbours across the edge of two partitions are found from the partitions' first and last
 rows.
 
-Every candidate pair is confirmed on the two full sets. It is done in two rounds, since in a group of
+Every candidate pair is confirmed on the two full sets. It is done in rounds, since in a group of
 copies most pairs are not needed to know the class: first each document's best pairs, then all pairs
-between different classes, and for each of them the pairs with the other class's centre, the member
-that agrees best with its neighbours. The centre links the documents of a group in which copies
-resemble their origin but not each other.
+between different classes, and for each of them the pairs with the other class's centres, the member
+that agrees best with its neighbours and the one with the most links. The centres link the documents
+of a group in which copies resemble their origin but not each other. Rounds go on until one finds no
+link.
+
+The rest is exact. Two similar sets have one of their first shingles in common, in any order that
+holds for all sets: of n shingles, that are the first n - ceil(similarity * n) + 1. The order puts
+shingles last that are frequent in a sample of the documents. All pairs of different classes that
+share such a shingle are counted, and confirmed if their sizes and the number of shared ones leave
+the similarity possible. Shingles within one class are dropped before; the pairs of a frequent one
+are dealt over tasks. So classes are those of an exhaustive search, up to collisions of 64-bit hashes.
 
 Nulls and oddities: a null text or one without words has an empty set and links with nothing. A null
 doc_id names no class: such a row links with nothing, its class is null and it is kept. Rows that
@@ -53,6 +61,13 @@ KEY_VALUES = 16
 NEIGHBOURS = 4
 LEAST_PREFIX = 2
 _BYTES = 2
+# Documents sampled for frequent shingles, how many of these are known, and the rows of a shingle that
+# one task pairs with all others. The first two affect speed only.
+SAMPLE = 5_000
+FREQUENT = 50_000
+SLICE = 2_000
+# Nodes whose sets are looked up by a broadcast.
+_FEW = 100_000
 
 
 @dataclass(frozen=True)
@@ -63,8 +78,50 @@ class Rule:
     percent: int = 80
 
 
-def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Set size, two hashes of the word sequence and the MinHash signature of each row."""
+def frequent_shingles(docs: DataFrame, rule: Rule) -> np.ndarray:
+    """The most frequent shingles of a sample, the less frequent first."""
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last in pieces_of(batch.column("text")):
+                words, _, _ = words_of(batch.column("text").slice(first, last - first))
+                shingles, bounds = shingles_of(words, rule.shingle)
+                for a, b in zip(bounds[:-1], bounds[1:]):
+                    part = pa.array(np.unique(shingles[a:b]).view(np.int64))
+                    yield pa.RecordBatch.from_arrays([part], names=["shingle"])
+
+    part = min(1.0, SAMPLE / max(1, docs.count()))
+    rows = (
+        docs.where(f"pmod(xxhash64(doc_id, text), 1048576) < {int(part * 1048576)}")
+        .select("text")
+        .mapInArrow(collect, "shingle long")
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"))
+        .where("n > 2")
+        .orderBy(F.desc("n"), "shingle")
+        .limit(FREQUENT)
+        .collect()
+    )
+    return np.array([r["shingle"] for r in reversed(rows)], dtype=np.int64).view(U64)
+
+
+def _first_shingles(sets: list[np.ndarray], frequent: np.ndarray, rule: Rule) -> list[bytes]:
+    """The first shingles of each set: of two similar sets they have one in common."""
+    by_value = np.argsort(frequent)
+    values = frequent[by_value]
+    found = []
+    for part in sets:
+        rank = np.zeros(len(part), dtype=np.int64)
+        if len(values):
+            at = np.minimum(np.searchsorted(values, part), len(values) - 1)
+            rank = np.where(values[at] == part, by_value[at] + 1, 0)
+        count = len(part) + (-rule.percent * len(part)) // 100 + 1 if len(part) else 0
+        found.append(part[np.argsort(rank, kind="stable")[:count]].tobytes())
+    return found
+
+
+def sketches(docs: DataFrame, rule: Rule, frequent: np.ndarray) -> DataFrame:
+    """Set size, two hashes of the word sequence, MinHash signature and first shingles of each row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = mix(np.arange(1, VALUES + 1, dtype=U64) * U64(0x9FB21C651E98DF25)) | U64(1)
@@ -74,10 +131,8 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
                 words, _, _ = words_of(part.column("text"))
                 shingles, bounds = shingles_of(words, rule.shingle)
                 low, high = sequence_hashes(words)
-                sizes = np.array(
-                    [len(np.unique(shingles[a:b])) for a, b in zip(bounds[:-1], bounds[1:])],
-                    dtype=np.int64,
-                )
+                sets = [np.unique(shingles[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+                sizes = np.array([len(x) for x in sets], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
@@ -85,12 +140,14 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
                         pa.array(low),
                         pa.array(high),
                         pa.array(_signatures(shingles, bounds, factors), pa.binary()),
+                        pa.array(_first_shingles(sets, frequent, rule), pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "low", "high", "signature"],
+                    names=["doc_id", "n_shingles", "low", "high", "signature", "leading"],
                 )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        sketch, "doc_id long, n_shingles long, low long, high long, signature binary"
+        sketch,
+        "doc_id long, n_shingles long, low long, high long, signature binary, leading binary",
     )
 
 
@@ -242,7 +299,9 @@ def _sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
                     names=["node", "set"],
                 )
 
-    wanted = nodes.select("node", "low").hint("shuffle_hash")
+    wanted = nodes.select("node", "low")
+    few = wanted.limit(_FEW + 1).count() <= _FEW
+    wanted = F.broadcast(wanted) if few else wanted.hint("shuffle_hash")
     return (
         docs.select(F.col("doc_id").cast("long").alias("node"), "text")
         .join(wanted, "node")
@@ -277,8 +336,10 @@ def _across(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def _centre_pairs(across: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """For each pair between classes: each node with the centre of the other's class."""
+def _centre_pairs(
+    across: DataFrame, pairs: DataFrame, classes: DataFrame, links: DataFrame
+) -> DataFrame:
+    """For each pair between classes: each node with the centres of the other's class."""
     ends = pairs.select(F.col("a").alias("node"), "agreed").unionByName(
         pairs.select(F.col("b").alias("node"), "agreed")
     )
@@ -286,23 +347,84 @@ def _centre_pairs(across: DataFrame, pairs: DataFrame, classes: DataFrame) -> Da
     fit = ends.groupBy("node").agg(
         ((F.sum("agreed") + 4 * 0.5) / (F.count("*") + 4)).alias("fit")
     )
-    centres = (
+    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(
+        F.count("*").cast("double").alias("fit")
+    )
+    centres = [
         fit.join(classes, "node")
         .groupBy("component")
         .agg(F.max(F.struct("fit", (-F.col("node")).alias("minus"))).alias("best"))
         .select("component", (-F.col("best.minus")).alias("centre"))
-    )
+        for fit in (fit, degree)
+    ]
     asked = across.select(F.col("a").alias("node"), F.col("class_b").alias("component")).unionByName(
         across.select(F.col("b").alias("node"), F.col("class_a").alias("component"))
     )
-    return asked.distinct().join(centres, "component").select(
+    return asked.distinct().join(centres[0].union(centres[1]), "component").select(
         F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
     )
 
 
+def _rest(nodes: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """All pairs of different classes that may be similar, by their first shingles and sizes."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [np.frombuffer(x, "<i8") for x in batch.column("leading").to_pylist()]
+            rows = pa.array(np.repeat(np.arange(len(keys)), [len(x) for x in keys]))
+            columns = [batch.column(c).take(rows) for c in ("node", "component", "n")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys)), *columns], names=["key", "node", "component", "n"]
+            )
+
+    of_class = classes.where("node <> component")
+    rows = nodes.join(of_class, "node", "left").selectExpr(
+        "node", "component", "cast(n_shingles as int) as n", "leading"
+    )
+    # Shingles of one class only find nothing new.
+    shared = stored(
+        rows.mapInArrow(spread, "key long, node long, component long, n int")
+        .selectExpr(
+            "*",
+            "min(coalesce(component, node)) over (partition by key) as least",
+            "max(coalesce(component, node)) over (partition by key) as most",
+            "count(*) over (partition by key) as rows",
+        )
+        .where("least <> most")
+        .selectExpr(
+            "key", "node", "coalesce(component, node) as class", "n",
+            f"cast(ceil(rows / {SLICE}) as int) as slices",
+        ),
+        "shared",
+    )
+    left = shared.selectExpr(
+        "key", "cast(pmod(xxhash64(node), slices) as int) as slice", "node as x", "class as class_x",
+        "n as n_x",
+    )
+    right = shared.selectExpr(
+        "key", "explode(sequence(0, slices - 1)) as slice", "node as y", "class as class_y", "n as n_y"
+    )
+    return (
+        left.join(right, ["key", "slice"])
+        .where("class_x <> class_y and (n_x < n_y or n_x = n_y and x < y)")
+        .where(f"100L * n_x >= {rule.percent}L * n_y")
+        .groupBy("x", "y", "n_x", "n_y")
+        .agg(F.count("*").alias("common"))
+        # Beyond the first shingles of one of the two, so many are left at most.
+        .withColumn("left", F.expr(f"greatest({', '.join(_beyond(n, rule) for n in ('n_x', 'n_y'))})"))
+        .where(f"(100L + {rule.percent}) * (common + left) >= {rule.percent}L * (n_x + n_y)")
+        .selectExpr("least(x, y) as a", "greatest(x, y) as b")
+    )
+
+
+def _beyond(n: str, rule: Rule) -> str:
+    """SQL for the number of shingles after the first ones."""
+    return f"({rule.percent}L * {n} + 99) div 100 - 1"
+
+
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs``."""
-    sketch = stored(sketches(docs, rule), "sketches")
+    sketch = stored(sketches(docs, rule, frequent_shingles(docs, rule)), "sketches")
     named = sketch.where("n_shingles > 0 and doc_id is not null")
     copies = stored(named.groupBy("low", "high").agg(F.min("doc_id").alias("node")), "copies")
     # A doc_id that stands for several texts is searched under one of them.
@@ -311,20 +433,36 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     )
     nodes = stored(
         named.withColumnRenamed("doc_id", "node")
-        .select("node", "low", "high", "signature")
+        .select("node", "low", "high", "signature", "leading", "n_shingles")
         .join(chosen, ["node", "low", "high"])
-        .dropDuplicates(["node"]),
+        .dropDuplicates(["node", "low", "high"]),
         "nodes",
     )
     pairs = stored(candidates(nodes), "pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = stored(_sets(docs, ends.join(nodes.select("node", "low"), "node"), rule), "sets")
-    first = stored(confirmed(_best(pairs, 2), sets, rule), "links")
-    classes = components.connected(first)
-    across = stored(_across(pairs, classes), "across")
-    rest = across.select("a", "b").unionByName(_centre_pairs(across, pairs, classes)).distinct()
-    second = confirmed(rest, sets, rule)
-    classes = components.connected(first.unionByName(second))
+    links = stored(confirmed(_best(pairs, 2), sets, rule), "links")
+    tried = None
+    while True:
+        classes = stored(components.connected(links), "classes")
+        across = stored(_across(pairs, classes), "across")
+        asked = across.select("a", "b").unionByName(_centre_pairs(across, pairs, classes, links))
+        asked = asked.distinct() if tried is None else asked.distinct().join(
+            tried, ["a", "b"], "left_anti"
+        )
+        asked = stored(asked, "asked")
+        new = stored(confirmed(asked, sets, rule), "links")
+        if new.isEmpty():
+            break
+        links = links.unionByName(new)
+        tried = asked if tried is None else tried.unionByName(asked)
+    rest = stored(_rest(nodes, classes, rule), "rest")
+    ends = rest.select(F.col("a").alias("node")).union(rest.select("b")).distinct()
+    more = ends.join(sets.select("node"), "node", "left_anti")
+    more = _sets(docs, stored(more.join(nodes.select("node", "low"), "node"), "more"), rule)
+    new = confirmed(rest, sets.unionByName(stored(more, "sets")), rule)
+    edges = classes.selectExpr("node as a", "component as b")
+    classes = components.connected(edges.unionByName(new))
     named_classes = copies.join(classes, "node", "left").select(
         "low", "high", F.coalesce("component", "node").alias("class")
     )

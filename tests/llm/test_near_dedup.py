@@ -1,6 +1,6 @@
 import random
 
-from rainfold.llm import components
+from rainfold.llm import components, near_dedup
 from rainfold.llm.near_dedup import Rule, drop_near_duplicates, near_duplicates
 from tests.llm.conftest import prose
 
@@ -82,3 +82,37 @@ def test_components_of_a_chain_and_a_star(spark):
     got = dict(tuple(r) for r in found.collect())
     assert got == {i: 0 for i in range(61)} | {100: 100} | {200 + i: 100 for i in range(40)}
     assert components.connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def star(start, copies, edits, words=150):
+    """An origin and copies with edits far from each other: near to the origin, not to one another."""
+    origin, rows = prose(start, words), [(start, prose(start, words))]
+    for i in range(copies):
+        text, rng = origin.split(), random.Random(start + i)
+        gap = words // edits
+        for k in range(edits):
+            text[k * gap + rng.randrange(2, gap - 2)] = f"edit{start}x{i}x{k}"
+        rows.append((start + 1 + i, " ".join(text)))
+    return rows
+
+
+def test_large_stars_around_one_origin(documents):
+    rows = star(10_000, 3_000, 3) + star(20_000, 400, 4)
+    rule = Rule(shingle=4, percent=80)
+    for i, edits in ((10_000, 3), (20_000, 4)):
+        sets = [shingles(dict(rows)[i + k], 4) for k in range(3)]
+        assert 100 * len(sets[0] & sets[1]) >= 80 * len(sets[0] | sets[1])
+        assert edits == 3 or 100 * len(sets[1] & sets[2]) < 80 * len(sets[1] | sets[2])
+    found = near_duplicates(documents(*rows), rule).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(i, i // 10_000 * 10_000) for i, _ in rows}
+
+
+def test_links_the_forest_does_not_see(documents, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LEAST_PREFIX", 17)  # no candidates at all
+    rows = [(i, prose(i, 60 + i)) for i in range(20)] + star(100, 30, 4, 160)
+    rows += [(200 + i, edited(prose(7, 40), i, i)) for i in range(8)]
+    rows += [(300, "one two"), (301, "a b c d e f g h i j"), (302, "a b c d e f g h i j k")]
+    for size, percent in ((4, 80), (3, 67), (2, 100)):
+        rule = Rule(shingle=size, percent=percent)
+        found = near_duplicates(documents(*rows), rule).collect()
+        assert sorted(tuple(r) for r in found) == brute_force(rows, rule)
