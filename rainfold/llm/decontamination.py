@@ -13,8 +13,10 @@ item's question and enough of its answer.
 The index is built in shards of items with a bounded size, each broadcast for one pass over the
 documents; a shard is a collection with its own BM25 statistics. One shard holds about 20,000 items.
 
-Nulls and oddities: null or empty texts have no passages. Items with a null or short text (fewer than
-``least_words`` words) cannot be recognised and are left out. Words are runs of ASCII letters, digits
+Items of fewer than ``least_words`` words are not in the lists: such an item is found where a document
+holds all its words, question and answer, in a row.
+
+Nulls and oddities: null or empty texts have no passages. Items without words are left out. Words are runs of ASCII letters, digits
 and all other characters, A-Z lower-cased. Repeated items and documents are each reported.
 """
 
@@ -81,6 +83,7 @@ class Index:
         sizes = whole.counts()
         order = [i for i in np.argsort(sizes, kind="stable") if sizes[i] >= rule.least_words]
         self.item_ids = [items[i][0] for i in order]
+        self._short_items(items, texts, sizes)
         self.longest = int(max((sizes[i] for i in order), default=1))
         self.runs = []
         for part in (1, 2):
@@ -98,6 +101,20 @@ class Index:
             )
         self._lists(items, order)
 
+    def _short_items(
+        self, items: list[tuple[int, str, str]], texts: list[str], sizes: np.ndarray
+    ) -> None:
+        """By word count: the hashes of short items' whole sequences, sorted, and their numbers."""
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in range(1, self.rule.least_words):
+            which = np.flatnonzero(sizes == size)
+            if len(which):
+                words, _, _ = words_of(pa.array([texts[i] for i in which], pa.string()), "letters")
+                hashes, _ = shingles_of(words, size)
+                by_hash = np.argsort(hashes, kind="stable")
+                self.short[size] = hashes[by_hash], len(self.item_ids) + by_hash
+                self.item_ids += [items[i][0] for i in which]
+
     def _lists(self, items: list[tuple[int, str, str]], order: list[int]) -> None:
         texts = [f"{items[i][1] or ''} {items[i][2] or ''}" for i in order]
         words, _, _ = words_of(pa.array(texts, pa.string()), "letters")
@@ -230,8 +247,26 @@ def _passages(words: Words, stride: int) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(1, -(-counts // stride) - 1) * (counts > 0), place // stride
 
 
+def _short_hits(words: Words, index: Index) -> Iterator[tuple[int, int, float, float, float]]:
+    """The same for items that are too short for the lists, once for each text and item."""
+    for size, (hashes, numbers) in index.short.items():
+        runs, bounds = shingles_of(words, size)
+        first = np.searchsorted(hashes, runs, "left")
+        many = np.searchsorted(hashes, runs, "right") - first
+        at = np.flatnonzero(many)
+        texts = np.searchsorted(bounds, at, "right") - 1
+        pairs = {
+            (t, int(numbers[k]))
+            for t, f, n in zip(texts.tolist(), first[at].tolist(), many[at].tolist())
+            for k in range(f, f + n)
+        }
+        for text, item in sorted(pairs):
+            yield text, item, 1.0, 1.0, 1.0
+
+
 def _hits(words: Words, index: Index) -> Iterator[tuple[int, int, float, float, float]]:
     """(text, item, score, question share, answer share) of confirmed passages."""
+    yield from _short_hits(words, index)
     stride = max(RUN, index.longest)
     passages, strides = _passages(words, stride)
     base = np.concatenate([[0], np.cumsum(passages)])
@@ -277,7 +312,7 @@ def _shards(items: DataFrame, rule: Rule) -> list[Index]:
         part = items.where(f"pmod(xxhash64(item_id, question), {number}) = {shard}")
         rows = sorted(tuple(r) for r in part.selectExpr("coalesce(item_id, -1)", "question", "answer").collect())
         shards.append(Index(rows, rule))
-    return [x for x in shards if len(x.terms)]
+    return [x for x in shards if x.item_ids]
 
 
 def contaminated(docs: DataFrame, items: DataFrame, rule: Rule = Rule()) -> DataFrame:

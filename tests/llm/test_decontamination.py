@@ -69,3 +69,18 @@ def test_search_equals_scoring_every_item():
                 score[item] = score.get(item, 0) + impact
         wanted = {i for i, s in score.items() if s >= 0.3 - 1e-9}
         assert {i for i, _ in index.search([number[t] for t in terms])} == wanted
+
+
+def test_short_items_are_found_whole(spark, documents):
+    bench = items(spark, (1, ITEM), (2, "Who rules? Queen Ama."), (3, "Alba"), (4, ""), (5, None),
+                  (6, "who rules QUEEN ama"))
+    docs = documents(
+        (1, prose(1, 300) + " who rules: queen Ama, " + prose(2, 300)),
+        (2, prose(3, 50) + " who rules the queen Ama " + prose(4, 50)),
+        (3, "Who rules? Queen Ama"), (4, "Who rules? Queen"), (5, "Ama"), (6, "to alba."), (7, ""),
+        (8, None), (9, ITEM),
+    )
+    found = {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()}
+    assert found == {(1, 2), (1, 6), (3, 2), (3, 6), (6, 3), (9, 1), (9, 3)}
+    alone = {(r.doc_id, r.item_id) for r in contaminated(docs, bench.where("item_id = 3")).collect()}
+    assert alone == {(6, 3), (9, 3)}
