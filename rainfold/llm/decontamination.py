@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rainfold.llm.hashing import U64, Words, pieces_of, shingles_of, words_of
-from rainfold.llm.storage import stored
+from rainfold.llm.storage import row_key, stored
 
 # Items in a block, words in a confirmed run, and the text in a shard of the index.
 BLOCK = 4
@@ -315,11 +315,13 @@ def _shards(items: DataFrame, rule: Rule) -> list[Index]:
     return [x for x in shards if x.item_ids]
 
 
-def contaminated(docs: DataFrame, items: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """doc_id and item_id of every document that holds an item, with the best passage's figures."""
+def _found(docs: DataFrame, items: DataFrame, rule: Rule) -> DataFrame:
+    """Each row's hits, with the two hashes of its text."""
     spark = docs.sparkSession
-    source = docs.select(F.col("doc_id").cast("long"), "text")
-    found = spark.createDataFrame([], _SCHEMA)
+    key = F.expr(row_key())
+    source = docs.select(F.col("doc_id").cast("long"), "text", *(key[c].alias(c) for c in ("a", "b")))
+    schema = f"{_SCHEMA}, a long, b long"
+    found = spark.createDataFrame([], schema)
     for index in _shards(items, rule):
         held = spark.sparkContext.broadcast(index)
 
@@ -329,19 +331,25 @@ def contaminated(docs: DataFrame, items: DataFrame, rule: Rule = Rule()) -> Data
                 for first, last in pieces_of(batch.column("text"), 2 << 20):
                     part = batch.slice(first, last - first)
                     words, _, _ = words_of(part.column("text"), "letters")
-                    ids = part.column("doc_id").to_pylist()
+                    ids, *keys = (part.column(c).to_pylist() for c in ("doc_id", "a", "b"))
                     rows = [
-                        (ids[t], index.item_ids[i], s, q, a) for t, i, s, q, a in _hits(words, index)
+                        (ids[t], index.item_ids[i], s, q, a, keys[0][t], keys[1][t])
+                        for t, i, s, q, a in _hits(words, index)
                     ]
-                    columns = list(zip(*rows)) or [[]] * 5
-                    kinds = [pa.int64()] * 2 + [pa.float64()] * 3
+                    columns = list(zip(*rows)) or [[]] * 7
+                    kinds = [pa.int64()] * 2 + [pa.float64()] * 3 + [pa.int64()] * 2
+                    names = ["doc_id", "item_id", "score", "question_share", "answer_share", "a", "b"]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(columns, kinds)],
-                        names=["doc_id", "item_id", "score", "question_share", "answer_share"],
+                        [pa.array(c, k) for c, k in zip(columns, kinds)], names=names
                     )
 
-        found = found.unionByName(source.mapInArrow(search, _SCHEMA))
-    return found.groupBy("doc_id", "item_id").agg(
+        found = found.unionByName(source.mapInArrow(search, schema))
+    return found
+
+
+def contaminated(docs: DataFrame, items: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """doc_id and item_id of every document that holds an item, with the best passage's figures."""
+    return _found(docs, items, rule).groupBy("doc_id", "item_id").agg(
         F.max("score").alias("score"),
         F.max("question_share").alias("question_share"),
         F.max("answer_share").alias("answer_share"),
@@ -349,7 +357,12 @@ def contaminated(docs: DataFrame, items: DataFrame, rule: Rule = Rule()) -> Data
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """``docs`` without those that hold an item; rows with a null doc_id are decided alone."""
-    hits = stored(contaminated(docs, items, rule), "contaminated")
-    gone = hits.select(F.col("doc_id").alias("rf_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("rf_gone"), "left_anti")
+    """``docs`` without the rows that hold an item.
+
+    Rows that repeat a doc_id are decided by their own text. A row with a null doc_id is kept, though
+    ``contaminated`` reports it.
+    """
+    hits = stored(_found(docs, items, rule).select("doc_id", "a", "b"), "contaminated")
+    gone = hits.distinct().selectExpr("doc_id as rf_gone", "struct(a, b) as rf_key")
+    same = (docs["doc_id"].cast("long") == F.col("rf_gone")) & (F.expr(row_key()) == F.col("rf_key"))
+    return docs.join(gone, same, "left_anti")

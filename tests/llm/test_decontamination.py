@@ -84,3 +84,12 @@ def test_short_items_are_found_whole(spark, documents):
     assert found == {(1, 2), (1, 6), (3, 2), (3, 6), (6, 3), (9, 1), (9, 3)}
     alone = {(r.doc_id, r.item_id) for r in contaminated(docs, bench.where("item_id = 3")).collect()}
     assert alone == {(6, 3), (9, 3)}
+
+
+def test_repeated_ids_are_decided_by_their_own_text(spark, documents):
+    bench = items(spark, (1, ITEM))
+    docs = documents((1, ITEM), (1, "a clean text"), (1, None), (2, "x " + ITEM), (3, "x"), extra=["a", "b"])
+    left = decontamination.without_contaminated(docs, bench)
+    assert left.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in left.collect()), key=repr)
+    assert found == [(1, "a clean text"), (1, None), (3, "x")]
