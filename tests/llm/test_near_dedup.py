@@ -108,7 +108,8 @@ def test_large_stars_around_one_origin(documents):
 
 
 def test_links_the_forest_does_not_see(documents, monkeypatch):
-    monkeypatch.setattr(near_dedup, "LEAST_PREFIX", 17)  # no candidates at all
+    forest = near_dedup.candidates
+    monkeypatch.setattr(near_dedup, "candidates", lambda nodes: forest(nodes).where("false"))
     rows = [(i, prose(i, 60 + i)) for i in range(20)] + star(100, 30, 4, 160)
     rows += [(200 + i, edited(prose(7, 40), i, i)) for i in range(8)]
     rows += [(300, "one two"), (301, "a b c d e f g h i j"), (302, "a b c d e f g h i j k")]
