@@ -83,4 +83,46 @@ select query_id, rank, vec_id, score from (
 ) where rank <= 5
 """
 
-ORACLE_SQL = {"op2_line_dedup": LINE_DEDUP, "op4_warc": WARC, "op5_chat": CHAT, "op7_top_k": TOP_K}
+_TERMS = (
+    r"regexp_extract_all(coalesce(text, ''),"
+    r" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+RANKED = f"""
+with documents_terms as (
+  select row_number() over () as row, doc_id, {_TERMS} as terms from documents
+), held as (
+  select row, doc_id, cast(len(terms) as bigint) as n, terms from documents_terms
+  where len(terms) > 0
+), totals as (
+  select count(*) as docs, cast(sum(n) as bigint) as length from held
+), counted as (
+  select row, translate(term, '{_UPPER}', '{_LOWER}') as term, count(*) as tf
+  from (select row, unnest(terms) as term from held) group by all
+), weights as (
+  select term, cast(floor(1000 * ln(cast(2 * any_value(docs) + 2 as double)
+           / cast(2 * count(*) + 1 as double))) as bigint) as w
+  from counted, totals group by term
+), asked as (
+  select distinct item_id, translate(unnest({_TERMS}), '{_UPPER}', '{_LOWER}') as term
+  from benchmark
+), scored as (
+  select item_id, row, any_value(doc_id) as doc_id, cast(sum(w * ((1000000000 * tf)
+           // (1000 * tf + 8 * (10 + (90 * n * docs) // length)))) as bigint) as score
+  from asked join counted using (term) join weights using (term) join held using (row), totals
+  group by item_id, row
+)
+select item_id, rank, doc_id, score from (
+  select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer)
+              as rank
+  from scored where score > 0
+) where rank <= 10
+"""
+
+ORACLE_SQL = {
+    "op2_line_dedup": LINE_DEDUP,
+    "op4_warc": WARC,
+    "op5_chat": CHAT,
+    "op7_top_k": TOP_K,
+    "op13_ranked_search": RANKED,
+}

@@ -14,6 +14,7 @@ from rainfold.llm import (
     near_dedup,
     nearest,
     packing,
+    pair_maxscore,
     quality,
     toxicity,
     warc,
@@ -126,6 +127,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_maxscore.rank_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
@@ -137,4 +144,5 @@ QUERIES: dict[str, Query] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
+    "op13_ranked_search": op13_ranked_search,
 }

@@ -28,13 +28,25 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` and read it back: cuts the lineage, survives lost executors."""
+def stored(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
+    """Write ``df`` and read it back: cuts the lineage, survives lost executors.
+
+    The table's path is added to ``paths`` for its later removal.
+    """
     path = shared_path(df.sparkSession, name)
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove intermediate tables that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def row_key(text: str = "text") -> str:
     """SQL for 128 bits that tell apart rows which repeat a doc_id with another text."""
     return f"struct(xxhash64({text}) as a, xxhash64({text}, length({text})) as b)"
