@@ -83,6 +83,35 @@ select query_id, rank, vec_id, score from (
 ) where rank <= 5
 """
 
+HARD_NEGATIVES = """
+with whole as (
+  select row_number() over () as row, vec_id,
+         case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.row as anchor, a.vec_id as anchor_id, x.row, x.vec_id, x.label = a.label as same,
+         coalesce(cast(list_sum(list_transform(list_zip(a.v, x.v), lambda p: p[1] * p[2]))
+           as bigint), 0) as score
+  from whole a join whole x on x.row <> a.row where a.vec_id % 100 = 0
+), positives as (
+  select *, row_number() over (partition by anchor order by score desc, vec_id) as place
+  from scored where same
+), ranked as (
+  select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id,
+         p.score as positive_score, n.score as negative_score,
+         cast(row_number() over (partition by p.anchor, p.row order by n.score desc, n.vec_id)
+           as integer) as rank
+  from positives p join scored n on n.anchor = p.anchor and not n.same
+    and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score
+  where p.place <= 5
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+from ranked where rank <= 5
+"""
+
 _TERMS = (
     r"regexp_extract_all(coalesce(text, ''),"
     r" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
@@ -124,5 +153,6 @@ ORACLE_SQL = {
     "op4_warc": WARC,
     "op5_chat": CHAT,
     "op7_top_k": TOP_K,
+    "op11_hard_negatives": HARD_NEGATIVES,
     "op13_ranked_search": RANKED,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rainfold.llm import (
     chat,
     decontamination,
+    hard_negatives,
     line_dedup,
     near_dedup,
     nearest,
@@ -127,6 +128,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = table(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id", "embedding", "if(vec_id % 7 = 0, (label + 1) % 10, label) as label"
+    )
+    return hard_negatives.hard_negatives(labelled, "vec_id % 100 = 0", k=5, least=80)
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_maxscore.rank_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10
@@ -144,5 +152,6 @@ QUERIES: dict[str, Query] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_ranked_search": op13_ranked_search,
 }
