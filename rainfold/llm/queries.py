@@ -16,6 +16,7 @@ from rainfold.llm import (
     nearest,
     packing,
     pair_maxscore,
+    pii,
     quality,
     toxicity,
     warc,
@@ -135,6 +136,24 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(labelled, "vec_id % 100 = 0", k=5, least=80)
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and ``base_sha256`` are those of the base spans; ``n_added`` counts the others."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.personal_data(docs, pii.fit(docs))
+    written = "s -> concat_ws(':', s.kind, s.start, s.end)"
+    return found.selectExpr(
+        "doc_id",
+        *[
+            f"cast(size(filter(spans, s -> s.base and s.kind = '{kind}')) as bigint) as n_{kind}"
+            for kind in pii.KINDS
+        ],
+        "cast(size(filter(spans, s -> not s.base)) as bigint) as n_added",
+        f"sha2(array_join(transform(filter(spans, s -> s.base), {written}), ','), 256)"
+        " as base_sha256",
+        f"array_join(transform(spans, {written}), ',') as spans",
+    )
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_maxscore.rank_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10
@@ -153,5 +172,6 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_personal_data": op12_personal_data,
     "op13_ranked_search": op13_ranked_search,
 }
