@@ -1,7 +1,7 @@
-"""Partitioned files, table materialization, and the three load modes.
+"""Partitioned tables and the three load modes.
 
-Tables are plain Parquet folders. A partition date is a function of the key, so an upsert only
-rewrites the dates its batch touches.
+Tables are snapshots of Parquet folders (``snapshots``). A partition date is a function of the key, so
+an upsert only rewrites the dates its batch touches.
 """
 
 from __future__ import annotations
@@ -10,14 +10,16 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rainfold.functions.dates import DateRange, DateSet
+from rainfold.operators import snapshots
 from rainfold.operators.guards import KeyConflict, require_columns, require_unique
 from rainfold.operators.latest import latest_by_key
 from rainfold.operators.series import with_partition_date
+from rainfold.operators.snapshots import Snapshot, read_snapshot, read_table
 from rainfold.schemas import DAILY, HOURLY, Readings
 from rainfold.session import hadoop_path, prepare, remove, scratch_path
 
@@ -34,19 +36,8 @@ def spread_by_date(df: DataFrame, column: str = PARTITION) -> DataFrame:
     writer sorts by date anyway; with the location added, file statistics let a reader skip
     most of a date when it asks for one location.
     """
-    return df.hint("rebalance", column).sortWithinPartitions(column, "location_id")
-
-
-def _write(df: DataFrame, path: str, mode: str, partition: str | None) -> None:
-    """``mode`` is a save mode, or ``dates`` to replace only the partitions ``df`` has."""
-    writer = df.write
-    if mode == "dates":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode(mode).option("partitionOverwriteMode", "static")
-    if partition:
-        writer = writer.partitionBy(partition)
-    writer.parquet(path)
+    order = [c for c in (column, "location_id") if c in df.columns]
+    return df.hint("rebalance", column).sortWithinPartitions(*order)
 
 
 def write_partitioned(rows: DataFrame, path: str, time_column: str) -> None:
@@ -58,7 +49,7 @@ def write_partitioned(rows: DataFrame, path: str, time_column: str) -> None:
     if time_column not in kinds:
         raise ValueError(f"time column must be one of {sorted(kinds)}, not {time_column!r}")
     dated = with_partition_date(rows, kinds[time_column])
-    _write(spread_by_date(dated), path, "overwrite", PARTITION)
+    snapshots.replace_table(spread_by_date(dated), path, PARTITION, keys=[])
 
 
 def write_table(
@@ -70,58 +61,83 @@ def write_table(
     """Rebuild a table, or with ``dates`` only its partitions of those days, and read it back.
 
     ``df`` must hold nothing outside ``dates``. A day of them that has no rows any more loses its
-    partition. A full rebuild is written beside the table and takes its place when it is complete.
+    partition. Readers see the whole rebuild or the table as it was.
     """
-    spark = df.sparkSession
-    if dates:
-        written = Observation()
-        seen = df.observe(written, F.collect_set(partition).alias("days"))
-        _write(spread_by_date(seen, partition), path, "dates", partition)
-        # Calendar days, not data: the loop is as long as the asked dates at most.
-        gone = sorted(dates.days - set(_observed(written, "days", [])))
-        remove(spark, *[f"{path.rstrip('/')}/{partition}={day}" for day in gone])
-    else:
-        _swap_in(spread_by_date(df, partition) if partition else df, path, partition, whole=True)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    spread = spread_by_date(df, partition) if partition else df
+    after = snapshots.replace_table(spread, path, partition, dates.days if dates else None)
+    return read_snapshot(df.sparkSession, path, after).select(*df.columns)
 
 
 def read_bronze(spark: SparkSession, path: str, kind: Readings) -> DataFrame:
-    """Bronze dataset with its fixed schema; the path must exist. Finishes an interrupted load."""
-    _finish_swap(spark, path)
+    """Bronze dataset with its schema; the path must exist.
+
+    A folder of plain Parquet files, partitioned by date, can be read as well.
+    """
+    if snapshots.current(spark, path) is not None:
+        return read_table(spark, path)
     return spark.read.schema(kind.schema).parquet(path)
 
 
-def ensure_table(spark: SparkSession, path: str, kind: Readings) -> None:
-    """Create an empty table unless the folder exists."""
-    _write(spark.createDataFrame([], kind.schema).coalesce(1), path, "ignore", PARTITION)
+def ensure_table(spark: SparkSession, path: str, kind: Readings) -> Snapshot:
+    """Create an empty table unless there is one; what the table holds."""
+    found = snapshots.current(spark, path)
+    if found is not None:
+        return found
+    at, files = hadoop_path(spark, path)
+    if files.exists(at) and any(
+        status.getPath().getName().startswith(f"{PARTITION}=") for status in files.listStatus(at)
+    ):
+        raise ValueError(f"{path} holds files that no load of this library wrote")
+    snapshots.publish(spark, path, Snapshot(kind.schema, keys=list(kind.keys)))
+    return snapshots.current(spark, path)
 
 
 def register(
-    spark: SparkSession, database: str, name: str, path: str, df: DataFrame,
-    partition: str | None = None, days: Iterable[date] | None = None,
-) -> None:
-    """Make a table folder queryable as ``database.name``, creating the database if absent.
+    spark: SparkSession, database: str, name: str, path: str, partition: str | None = None,
+    days: Iterable[date] | None = None,
+) -> None:
+    """Make a table queryable as ``database.name`` as it is now, creating the database if absent.
 
-    With ``days`` only their partitions are entered; else the folder's are listed.
+    With ``days`` only their partitions are entered anew; else all are. Rows without a partition value
+    are not seen by name.
     """
+    snapshot = snapshots.current(spark, path)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    by = f"PARTITIONED BY (`{partition}`)" if partition else ""
+    fields = [f for f in snapshot.schema if f.name != partition]
+    fields += [snapshot.schema[partition]] if partition else []
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    base = path.rstrip("/")
+    if not partition:
+        place = f"{base}/{snapshot.folders[0]}" if snapshot.folders else f"{base}/_empty"
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        spark.sql(
+            f"CREATE TABLE `{database}`.`{name}` ({columns}) USING parquet LOCATION '{place}'"
+        )
+        return
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet {by} "
-        f"LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet"
+        f" PARTITIONED BY (`{partition}`) LOCATION '{base}'"
     )
-    if partition and days is not None:
-        for day in sorted(days):
-            spark.sql(
-                f"ALTER TABLE `{database}`.`{name}`"
-                f" ADD IF NOT EXISTS PARTITION (`{partition}` = DATE'{day}')"
-            )
-    elif partition:
-        spark.catalog.recoverPartitions(f"`{database}`.`{name}`")
+    shown = spark.sql(f"SHOW PARTITIONS `{database}`.`{name}`").collect()
+    entered = {row[0] for row in shown}
+    for part in sorted(entered - set(snapshot.live)):
+        spark.sql(f"ALTER TABLE `{database}`.`{name}` DROP PARTITION ({_literal(part)})")
+    wanted = None if days is None else {snapshots.part_of(partition, day) for day in days}
+    for part, loads in snapshot.live.items():
+        if snapshots.NO_VALUE in part or wanted is not None and part not in wanted:
+            continue
+        place = f"{base}/{part}/{snapshots.LOAD}={loads[0]}"
+        spec = f"PARTITION ({_literal(part)})"
+        change = f"{spec} SET" if part in entered else f"ADD {spec}"
+        spark.sql(f"ALTER TABLE `{database}`.`{name}` {change} LOCATION '{place}'")
     spark.catalog.refreshTable(f"`{database}`.`{name}`")
 
 
+def _literal(part: str) -> str:
+    column, _, day = part.partition("=")
+    return f"`{column}` = DATE'{day}'"
+
+
 @dataclass(frozen=True)
 class LoadReport:
     mode: str
@@ -139,103 +155,174 @@ class LoadReport:
         return self.rows_loaded == 0
 
 
-def load(batch: DataFrame, path: str, kind: Readings, mode: str = "upsert") -> LoadReport:
+@dataclass(frozen=True)
+class Change:
+    """A load that is written but not yet seen by readers.
+
+    ``staged`` is the deduplicated batch; it and ``held`` last until ``finish``.
+    """
+
+    spark: SparkSession
+    path: str
+    kind: Readings
+    report: LoadReport
+    staged: DataFrame | None = None
+    before: Snapshot | None = None
+    after: Snapshot | None = None
+    held: tuple[str, ...] = ()
+
+    def publish(self) -> None:
+        """Show the load to readers that open the table from now on."""
+        if self.after is not None:
+            snapshots.publish(self.spark, self.path, self.after)
+
+    def finish(self) -> None:
+        """Remove the staged batch."""
+        remove(self.spark, *self.held)
+
+
+def load(
+    batch: DataFrame, path: str, kind: Readings, mode: str = "upsert", grow: bool = False
+) -> LoadReport:
     """Load a batch into the table at ``path``, newest row per key within the batch.
 
     ``replace`` rewrites the table. ``append`` adds rows and fails on a key the table has.
     ``upsert`` inserts new keys and overwrites the batch's columns of existing ones, whatever
-    their ingestion time; columns a narrower batch lacks keep their values. An empty batch
-    changes nothing. Keys with a null part never match.
+    their ingestion time; columns a narrower batch lacks keep their values. With ``grow`` columns
+    that the table lacks are added to it, else they are an error. An empty batch changes nothing.
+    Keys with a null part never match.
     """
+    change = prepare_load(batch, path, kind, mode, grow)
+    try:
+        change.publish()
+    finally:
+        change.finish()
+    return change.report
+
+
+def prepare_load(
+    batch: DataFrame, path: str, kind: Readings, mode: str = "upsert", grow: bool = False
+) -> Change:
+    """Write all of a load but what makes it seen; see ``load``."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     require_columns(batch, kind.keys, "batch")
-    unknown = sorted(set(batch.columns) - set(kind.schema.fieldNames()))
-    if unknown:
-        raise ValueError(f"batch has columns the table lacks: {unknown}")
-
     spark = prepare(batch.sparkSession)
-    _finish_swap(spark, path)
+    known = snapshots.current(spark, path)
+    schema = _grown(known.schema if known else kind.schema, batch.schema, grow)
     stage = scratch_path(spark, "stage")
     try:
-        return _load_staged(spark, batch, path, kind, mode, stage)
-    finally:
+        return _prepare_staged(spark, batch, path, kind, mode, schema, stage)
+    except BaseException:
         remove(spark, stage)
-
-
-def _load_staged(
-    spark: SparkSession, batch: DataFrame, path: str, kind: Readings, mode: str, stage: str
-) -> LoadReport:
-    staged, read = _stage(batch, kind, stage)
-    by_date = {r[PARTITION]: r["n"] for r in staged.groupBy(PARTITION).agg(F.count("*").alias("n")).collect()}
+        raise
+
+
+def _grown(schema: T.StructType, batch: T.StructType, grow: bool) -> T.StructType:
+    """The table's columns and, before the partition, those that the batch adds."""
+    types = {f.name: f.dataType for f in schema}
+    added = [f for f in batch if f.name not in types]
+    if added and not grow:
+        raise ValueError(f"batch has columns the table lacks: {sorted(f.name for f in added)}")
+    for f in batch:
+        if isinstance(f.dataType, T.StringType) and isinstance(types.get(f.name), T.DoubleType):
+            raise ValueError(f"column {f.name} of the table holds numbers, the batch brings text")
+    *fields, last = schema
+    return T.StructType([*fields, *[T.StructField(f.name, f.dataType) for f in added], last])
+
+
+def _prepare_staged(
+    spark: SparkSession, batch: DataFrame, path: str, kind: Readings, mode: str,
+    schema: T.StructType, stage: str,
+) -> Change:
+    staged = _stage(batch, kind, stage)
+    by_date = {
+        r[PARTITION]: r["n"]
+        for r in staged.groupBy(PARTITION).agg(F.count("*").alias("n")).collect()
+    }
     if None in by_date:
         raise ValueError(f"{by_date[None]} rows have no {kind.time_column}; quarantine them first")
-    rows = sum(by_date.values())
+    # A count of its own: what a task observes is counted again when the task is.
+    read, rows = batch.count(), sum(by_date.values())
     if not rows:
-        return LoadReport(mode, read, 0)
+        return Change(spark, path, kind, LoadReport(mode, read, 0), held=(stage,))
     dates = DateSet(frozenset(by_date))
-    ensure_table(spark, path, kind)
+    before = snapshots.swept(spark, path, ensure_table(spark, path, kind))
+    touched = before.parts(PARTITION, by_date)
     if mode == "replace":
         # Days that only the old table has lose their rows, so their models change too.
-        old = read_bronze(spark, path, kind).select(PARTITION).distinct().collect()
-        _swap_in(spread_by_date(_full_width(staged, kind)), path, PARTITION, whole=True)
-        dates |= DateSet(frozenset(r[PARTITION] for r in old))
-        return LoadReport(mode, read, rows, dates)
-    # The touched days as literals prune the scan before anything is joined.
-    current = read_bronze(spark, path, kind).where(dates.covers(F.col(PARTITION)))
-    if current.isEmpty():
-        # No stored row can share a key with the batch, so there is nothing to merge or refuse.
-        _write(spread_by_date(_full_width(staged, kind)), path, "append", PARTITION)
-        return LoadReport(mode, read, rows, dates)
-    require_unique(current, kind.keys, f"table {path}")
-    if mode == "append":
-        _append(staged, current, path, kind)
+        dates |= DateSet(frozenset(_days(before)))
+        content, replaced = staged, list(before.live)
     else:
-        _swap_in(spread_by_date(_merged(staged, current, kind)), path, PARTITION)
-    return LoadReport(mode, read, rows, dates)
+        _require_key(spark, path, before, kind)
+        # The touched days' folders are all that is read before anything is joined.
+        current = read_snapshot(spark, path, before, touched)
+        if not touched or mode == "append":
+            # An append adds folders; no stored row can share a key with a batch of new days.
+            if touched:
+                _refuse_known_keys(staged, current, path, kind)
+            content, replaced = staged, []
+        else:
+            content, replaced = _merged(staged, current, kind, schema), touched
+    name, written = snapshots.write_load(
+        spread_by_date(_full_width(content, schema)), path, PARTITION
+    )
+    after = snapshots.with_load(before, name, written, replaced, schema=schema, keys=list(kind.keys))
+    return Change(
+        spark, path, kind, LoadReport(mode, read, rows, dates), staged, before, after, (stage,)
+    )
 
 
-def _stage(batch: DataFrame, kind: Readings, path: str) -> tuple[DataFrame, int]:
-    """The deduplicated batch as a table in the shared folder, and how many rows were read for it.
+def _days(snapshot: Snapshot) -> list[date]:
+    texts = [part.partition("=")[2] for part in snapshot.live]
+    return [date.fromisoformat(text) for text in texts if text != snapshots.NO_VALUE]
 
-    The batch is computed once: the rows are counted as they pass.
-    """
-    read = Observation()
-    counted = batch.drop(PARTITION).observe(read, F.count(F.lit(1)).alias("rows"))
-    keyed = latest_by_key(counted, kind.keys, newest_first=["ingested_at"])
+
+def _require_key(spark: SparkSession, path: str, before: Snapshot, kind: Readings) -> None:
+    """Loads keep a table's key unique; only a table of other making is looked through, once."""
+    if before.keys != list(kind.keys):
+        require_unique(read_snapshot(spark, path, before), kind.keys, f"table {path}")
+
+
+def _stage(batch: DataFrame, kind: Readings, path: str) -> DataFrame:
+    """The deduplicated batch as a table in the shared folder."""
+    keyed = latest_by_key(batch.drop(PARTITION), kind.keys, newest_first=["ingested_at"])
     dated = with_partition_date(keyed, kind)
     dated.write.parquet(path)
-    return batch.sparkSession.read.schema(dated.schema).parquet(path), _observed(read, "rows", 0)
+    return batch.sparkSession.read.schema(dated.schema).parquet(path)
 
 
-def _full_width(rows: DataFrame, kind: Readings) -> DataFrame:
+def _full_width(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.select(
         *[
-            F.col(field.name) if field.name in rows.columns
+            F.col(f"`{field.name}`").cast(field.dataType).alias(field.name)
+            if field.name in rows.columns
             else F.lit(None).cast(field.dataType).alias(field.name)
-            for field in kind.schema
+            for field in schema
         ]
     )
 
 
-def _append(staged: DataFrame, current: DataFrame, path: str, kind: Readings) -> None:
+def _refuse_known_keys(staged: DataFrame, current: DataFrame, path: str, kind: Readings) -> None:
     clash = staged.join(current, list(kind.keys), "left_semi").select(*kind.keys).first()
     if clash is not None:
         raise KeyConflict(f"table {path} already has key {clash.asDict()}")
-    _write(spread_by_date(_full_width(staged, kind)), path, "append", PARTITION)
 
 
-def _merged(staged: DataFrame, current: DataFrame, kind: Readings) -> DataFrame:
+def _merged(
+    staged: DataFrame, current: DataFrame, kind: Readings, schema: T.StructType
+) -> DataFrame:
     """New content of the partitions the batch touches."""
     keys = list(kind.keys)
     brought = [c for c in staged.columns if c not in (*keys, PARTITION)]
+    current = _full_width(current, schema)
     if not brought:
         # Nothing but keys: existing rows stay as they are.
         added = staged.join(current, keys, "left_anti")
-        return current.unionByName(_full_width(added, kind)).select(*kind.schema.fieldNames())
-    if len(staged.columns) == len(kind.schema):
+        return current.unionByName(_full_width(added, schema))
+    if len(staged.columns) == len(schema):
         kept = current.join(staged, keys, "left_anti")
-        return kept.unionByName(staged).select(*kind.schema.fieldNames())
+        return kept.unionByName(_full_width(staged, schema))
     both = current.alias("t").join(
         staged.withColumn(_IN_BATCH, F.lit(True)).alias("b"), keys, "full"
     )
@@ -246,68 +333,12 @@ def _merged(staged: DataFrame, current: DataFrame, kind: Readings) -> DataFrame:
         if name == PARTITION:
             return F.coalesce(f"t.{name}", f"b.{name}").alias(name)
         if name in brought:
-            return F.when(F.col(_IN_BATCH), F.col(f"b.{name}")).otherwise(
-                F.col(f"t.{name}")
+            return F.when(F.col(_IN_BATCH), F.col(f"b.`{name}`")).otherwise(
+                F.col(f"t.`{name}`")
             ).alias(name)
-        return F.col(f"t.{name}")
+        return F.col(f"t.`{name}`")
 
-    return both.select(*[value(name) for name in kind.schema.fieldNames()])
-
-
-# Names that tell a complete copy of a whole table or of some partitions. Own files,
-# because a cluster may be set up not to write Spark's mark of success.
-_WHOLE, _PARTS = "_whole_table_complete", "_partitions_complete"
-
-
-def _observed(observation: Observation, name: str, without_rows):
-    """An observed figure; a plan that the optimizer found to have no rows reports none."""
-    try:
-        return observation.get.get(name, without_rows)
-    except Py4JJavaError:
-        return without_rows
-
-
-def _swap_path(path: str) -> str:
-    return f"{path.rstrip('/')}__swap"
-
-
-def _swap_in(content: DataFrame, path: str, partition: str | None, whole: bool = False) -> None:
-    """Replace a table, or the partitions of ``content``, from a complete copy beside it.
-
-    The copy is written and marked first, then moved, not written again. If the job dies in
-    between, the next reader or load finds the marked copy and goes on, so no row is lost.
-    """
-    spark = content.sparkSession
-    _write(content, _swap_path(path), "overwrite", partition)
-    mark, files = hadoop_path(spark, f"{_swap_path(path)}/{_WHOLE if whole else _PARTS}")
-    files.create(mark, True).close()
-    if not _finish_swap(spark, path):
-        raise RuntimeError(f"the copy beside {path} was not applied")
-
-
-def _finish_swap(spark: SparkSession, path: str) -> bool:
-    """Move a marked copy into place if there is one; doing it again changes nothing."""
-    swap, files = hadoop_path(spark, _swap_path(path))
-    whole, _ = hadoop_path(spark, f"{_swap_path(path)}/{_WHOLE}")
-    parts, _ = hadoop_path(spark, f"{_swap_path(path)}/{_PARTS}")
-    target, _ = hadoop_path(spark, path)
-    if files.exists(whole):
-        files.delete(target, True)
-        if not files.rename(swap, target):
-            raise RuntimeError(f"{swap} could not be moved to {path}")
-        files.delete(hadoop_path(spark, f"{path.rstrip('/')}/{_WHOLE}")[0], True)
-        return True
-    if not files.exists(parts):
-        return False
-    for part in files.listStatus(swap):
-        if part.isDirectory():
-            name = part.getPath().getName()
-            place, _ = hadoop_path(spark, f"{path.rstrip('/')}/{name}")
-            files.delete(place, True)
-            if not files.rename(part.getPath(), place):
-                raise RuntimeError(f"partition {name} of {path} could not be moved into place")
-    files.delete(swap, True)
-    return True
+    return both.select(*[value(name) for name in schema.fieldNames()])
 
 
 def require_table_keys(spark: SparkSession, path: str, kind: Readings) -> None:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,27 +79,42 @@ class Warehouse:
 def add_pending(warehouse: Warehouse, dates: DateSet) -> None:
     """Note days whose models have to be rebuilt, below the warehouse's root."""
     days = warehouse.spark.createDataFrame([(day,) for day in sorted(dates.days)], "day date")
-    days.coalesce(1).write.mode("append").parquet(warehouse.path("pending", "dates"))
+    days.coalesce(1).write.parquet(f"{warehouse.path('pending', 'dates')}/{uuid.uuid4().hex}")
 
 
-def pending_dates(warehouse: Warehouse) -> DateSet | None:
-    path = warehouse.path("pending", "dates")
-    at, files = hadoop_path(warehouse.spark, path)
+def _pending_notes(warehouse: Warehouse) -> list[str]:
+    """The folders of the notes that wait, one for each call of ``add_pending``."""
+    at, files = hadoop_path(warehouse.spark, warehouse.path("pending", "dates"))
     if not files.exists(at):
-        return None
-    days = warehouse.spark.read.schema("day date").parquet(path).distinct().collect()
-    return DateSet(frozenset(row["day"] for row in days)) if days else None
-
-
-def _clear_pending(warehouse: Warehouse, done: DateRange | DateSet | None) -> None:
-    """Forget the days that have been rebuilt; None stands for all."""
-    waiting = pending_dates(warehouse)
-    if waiting is None:
-        return
-    left = waiting.days - done.days if done else frozenset()
-    remove(warehouse.spark, warehouse.path("pending", "dates"))
+        return []
+    return sorted(status.getPath().toString() for status in files.listStatus(at))
+
+
+def _days_of(warehouse: Warehouse, notes: list[str]) -> frozenset[date]:
+    if not notes:
+        return frozenset()
+    rows = warehouse.spark.read.schema("day date").parquet(*notes).distinct().collect()
+    return frozenset(row["day"] for row in rows)
+
+
+def pending_dates(warehouse: Warehouse) -> DateSet | None:
+    days = _days_of(warehouse, _pending_notes(warehouse))
+    return DateSet(days) if days else None
+
+
+def _clear_pending(
+    warehouse: Warehouse, notes: list[str], done: DateRange | DateSet | None
+) -> None:
+    """Forget notes whose days have been rebuilt (None stands for all days).
+
+    Only the notes that were there when the rebuild began are looked at, and what they hold beyond
+    ``done`` is noted again before they go: neither a day that arrives meanwhile nor a crash here
+    loses one.
+    """
+    left = _days_of(warehouse, notes) - done.days if done else frozenset()
     if left:
         add_pending(warehouse, DateSet(left))
+    remove(warehouse.spark, *notes)
 
 
 def flatten_landing(warehouse: Warehouse, landing: str) -> dict[str, int]:
@@ -191,14 +208,17 @@ def build_models(
     dates: DateRange | DateSet | None = None,
     registered: bool = False,
     held: list[str] | None = None,
+    on_saved: Callable[[str], None] | None = None,
 ) -> dict[str, DataFrame]:
     """Build silver and gold tables from bronze, fully or only for ``dates``.
 
     With ``registered`` the tables are also entered in the session catalog, one database per
-    layer, and the staging models become temporary views. Days that waited for this rebuild are
+    layer, and the staging models become temporary views. Days that waited when the rebuild began are
     cleared. Paths of intermediate tables, which ``stg_daily`` still reads, are added to ``held``.
+    ``on_saved`` is told the name of each table that readers can see from now on.
     """
     spark = prepare(warehouse.spark)
+    notes = _pending_notes(warehouse)
 
     def save(name: str, df: DataFrame) -> DataFrame:
         layer, partition = TABLES[name]
@@ -206,7 +226,9 @@ def build_models(
         table = write_table(df, path, partition, dates if partition else None)
         if registered:
             days = dates.days if dates else None
-            register(spark, layer, warehouse.aliases.get(name, name), path, table, partition, days)
+            register(spark, layer, warehouse.aliases.get(name, name), path, partition, days)
+        if on_saved:
+            on_saved(name)
         return table
 
     hourly, daily = (read_bronze(spark, warehouse.bronze(kind), kind) for kind in KINDS)
@@ -216,7 +238,7 @@ def build_models(
             warehouse.aliases.get("stg_hourly", "stg_hourly")
         )
         stg_daily(daily).createOrReplaceTempView(warehouse.aliases.get("stg_daily", "stg_daily"))
-    _clear_pending(warehouse, dates)
+    _clear_pending(warehouse, notes, dates)
     return models
 
 

@@ -286,6 +286,17 @@ _QUERIES = {
     ).replace("p_date\n        from", "null::date as p_date\n        from")
     + " and hour(observed_at) = 5",
     "locations_csv": "select * from locations",
+    "load_beside_reader": " union all by name ".join(
+        f"select '{opened}' as opened, * from ({rows})"
+        for opened, rows in {
+            "before": "select * from stg_hourly",
+            "during": "select * from stg_hourly",
+            "after": _upserted("stg_hourly", "next_hour_latest"),
+        }.items()
+    ),
+    "pending_during_build": """
+        select distinct p_date as day from bronze_hourly
+        where substring(location_id, 5)::integer % 5 = 2 and day(p_date) % 4 = 1""",
     "table_key_conflicts": """
         select location_id, observed_at, count(*) as n
         from bronze_hourly where location_id is not null and observed_at is not null

@@ -19,8 +19,9 @@ from rainfold.operators.series import (
     split_unparsable,
     zip_series,
 )
+from rainfold.operators.snapshots import read_table
 from rainfold.operators.stack import stack_by_name
-from rainfold.operators.tables import load, read_bronze, write_partitioned
+from rainfold.operators.tables import load, prepare_load, read_bronze, write_partitioned
 from rainfold.plans import enriched, facts, pipeline, staging
 from rainfold.plans.declared_checks import declared_checks
 from rainfold.plans.pipeline import model_tables
@@ -250,13 +251,13 @@ def _whole_run(spark: SparkSession, sf_dir: str) -> pipeline.Warehouse:
 def pipeline_fct_daily(spark, sf_dir):
     """Landing files through all stages of the run; the canonical fact as stored."""
     warehouse = _whole_run(spark, sf_dir)
-    return spark.read.parquet(warehouse.path("gold", "fct_daily"))
+    return read_table(spark, warehouse.path("gold", "fct_daily"))
 
 
 def pipeline_quality(spark, sf_dir):
     """The quality fact of the run."""
     warehouse = _whole_run(spark, sf_dir)
-    table = spark.read.parquet(warehouse.path("gold", "fct_daily_quality"))
+    table = read_table(spark, warehouse.path("gold", "fct_daily_quality"))
     return table.withColumn("completeness_score", F.col("completeness_score").cast("double"))
 
 
@@ -275,7 +276,43 @@ def partial_rebuild(spark, sf_dir):
     touched = [load(rows.where(later), warehouse.bronze(kind), kind).dates
                for kind, rows in sources.items()]
     pipeline.build_models(warehouse, seed, touched[0] | touched[1])
-    return spark.read.parquet(warehouse.path("gold", "fct_daily"))
+    return read_table(spark, warehouse.path("gold", "fct_daily"))
+
+
+def load_beside_reader(spark, sf_dir):
+    """An upsert in its steps, with a reader that opened the table before, one that opens it while the
+    load is written, and one that opens it after; all read when the load is over."""
+    rows, path = bridge.bronze_hourly(spark, sf_dir), scratch_path(spark, "table")
+    load(rows, path, HOURLY)
+    readers = {"before": read_bronze(spark, path, HOURLY)}
+    change = prepare_load(_next_hour(rows), path, HOURLY)
+    readers["during"] = read_bronze(spark, path, HOURLY)
+    change.publish()
+    readers["after"] = read_bronze(spark, path, HOURLY)
+    change.finish()
+    return stack_by_name(
+        [rows.withColumn("opened", F.lit(opened)) for opened, rows in readers.items()]
+    )
+
+
+def pending_during_build(spark, sf_dir):
+    """Days that wait after a full build, while which one more batch was loaded."""
+    warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"))
+    seed = _write_locations(bridge.locations(spark, sf_dir), scratch_path(spark, "locations"))
+    hourly = materialize(bridge.bronze_hourly(spark, sf_dir), "source")
+    late = F.expr("substring(location_id, 5) % 5 = 2 and day(p_date) % 4 = 1")
+
+    def arrive(rows: DataFrame) -> None:
+        pipeline.add_pending(warehouse, load(rows, warehouse.bronze(HOURLY), HOURLY).dates)
+
+    arrive(hourly.where(~late))
+    load(bridge.bronze_daily(spark, sf_dir), warehouse.bronze(DAILY), DAILY)
+    pipeline.build_models(
+        warehouse, seed,
+        on_saved=lambda name: arrive(hourly.where(late)) if name == "hourly_enriched" else None,
+    )
+    days = sorted(pipeline.pending_dates(warehouse).days)
+    return spark.createDataFrame([(day,) for day in days], "day date")
 
 
 def table_key_conflicts(spark, sf_dir):
@@ -449,6 +486,8 @@ QUERIES = {
         pipeline_fct_daily,
         pipeline_quality,
         partial_rebuild,
+        load_beside_reader,
+        pending_during_build,
         table_key_conflicts,
         empty_load,
         parquet_partition_roundtrip,

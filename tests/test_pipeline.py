@@ -6,6 +6,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from rainfold.functions.dates import DateRange
+from rainfold.operators.snapshots import read_table
 from rainfold.plans import pipeline
 from rainfold.plans.pipeline import StaleSource, Warehouse
 from rainfold.schemas import DAILY, HOURLY
@@ -51,7 +52,7 @@ def place(spark, tmp_path):
                 self.warehouse, str(self.landing), str(self.seed), NOW, **more)
 
         def read(self, layer, name):
-            return spark.read.parquet(self.warehouse.path(layer, name))
+            return read_table(spark, self.warehouse.path(layer, name))
 
     place = Place()
     place.seed.write_text(SEED)
@@ -105,7 +106,7 @@ def test_stale_source_stops_before_models(place):
     place.land("one.jsonl", document(ingested="2023-11-01T00:00:00+00:00"))
     with pytest.raises(StaleSource):
         place.run()
-    with pytest.raises(PySparkException):
+    with pytest.raises(FileNotFoundError):
         place.read("gold", "fct_daily")
 
 

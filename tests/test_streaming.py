@@ -4,6 +4,7 @@ from datetime import date
 
 from rainfold.functions.dates import DateSet
 from rainfold.operators.tables import read_bronze
+from rainfold.operators.snapshots import read_table
 from rainfold.plans import pipeline
 from rainfold.plans.pipeline import Warehouse
 from rainfold.schemas import DAILY, HOURLY
@@ -24,7 +25,7 @@ def test_only_new_files_are_loaded(spark, tmp_path):
     land(landing, "one.jsonl", document(), document("b", day=2))
     assert load_new_landing(warehouse, str(landing)) == DateSet(
         frozenset([date(2024, 1, 1), date(2024, 1, 2)]))
-    pipeline._clear_pending(warehouse, None)
+    pipeline._clear_pending(warehouse, pipeline._pending_notes(warehouse), None)
     assert load_new_landing(warehouse, str(landing)) is None
     land(landing, "two.jsonl", odd, document(day=2, warm=5.0))
     assert load_new_landing(warehouse, str(landing), max_files_per_batch=1) == DateSet(
@@ -53,7 +54,7 @@ def test_range_of_a_stream_load_drives_a_partial_rebuild(spark, tmp_path):
     land(landing, "two.jsonl", document(day=2, warm=5.0))
     dates = load_new_landing(warehouse, str(landing))
     pipeline.build_models(warehouse, str(seed), dates)
-    fact = spark.read.parquet(warehouse.path("gold", "fct_daily"))
+    fact = read_table(spark, warehouse.path("gold", "fct_daily"))
     assert records(fact, "dates", "temperature_2m_max") == [
         (date(2024, 1, 1), 5.75), (date(2024, 1, 2), 10.75)]
 
@@ -81,4 +82,26 @@ def test_days_of_a_run_that_died_before_its_rebuild_come_back(spark, tmp_path):
     assert waiting == DateSet(frozenset([date(2024, 1, 1)]))
     pipeline.build_models(warehouse, str(seed), waiting)
     assert load_new_landing(warehouse, str(landing)) is None
-    assert spark.read.parquet(warehouse.path("gold", "fct_daily")).count() == 1
+    assert read_table(spark, warehouse.path("gold", "fct_daily")).count() == 1
+
+
+def test_days_that_arrive_during_a_build_stay_pending(spark, tmp_path):
+    landing, warehouse = tmp_path / "landing", Warehouse(spark, str(tmp_path / "root"))
+    seed = tmp_path / "seed.csv"
+    seed.write_text(
+        "location_id,name,state,country,latitude,longitude,timezone,is_active\n"
+        "a,A,S,X,1,2,UTC,true\n")
+    land(landing, "one.jsonl", document(), document(day=2))
+    dates = load_new_landing(warehouse, str(landing))
+
+    def arrive(name):
+        if name == "fct_daily":
+            pipeline.add_pending(warehouse, DateSet(frozenset([date(2024, 1, 2), date(2024, 1, 7)])))
+
+    pipeline.build_models(warehouse, str(seed), dates, on_saved=arrive)
+    assert pipeline.pending_dates(warehouse).days == {date(2024, 1, 2), date(2024, 1, 7)}
+    # A build of some days leaves the others, and a full one leaves none.
+    pipeline.build_models(warehouse, str(seed), DateSet(frozenset([date(2024, 1, 2)])))
+    assert pipeline.pending_dates(warehouse).days == {date(2024, 1, 7)}
+    pipeline.build_models(warehouse, str(seed))
+    assert pipeline.pending_dates(warehouse) is None
