@@ -24,7 +24,6 @@ class DateRange:
     def covers(self, column: Column) -> Column:
         return column.between(F.lit(self.start), F.lit(self.end))
 
-
     @property
     def days(self) -> frozenset[date]:
         count = (self.end - self.start).days + 1

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import partial
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,7 @@ from rainfold.plans.facts import (
 from rainfold.plans.staging import stg_daily, stg_hourly
 from rainfold.schemas import DAILY, HOURLY
 from rainfold.session import concurrently, hadoop_path, materialize, prepare, remove
-from rainfold.sources.landing import read_landing
+from rainfold.sources.landing import explain_malformed, read_landing
 from rainfold.sources.locations import read_locations
 
 KINDS = (HOURLY, DAILY)
@@ -121,18 +123,21 @@ def flatten_landing(warehouse: Warehouse, landing: str) -> dict[str, int]:
     """Landing documents to one partitioned dataset per kind of reading.
 
     The JSON is parsed once, before any dataset is replaced: a broken line leaves them as they
-    are. Rows whose time does not parse land in the partition without a date, which the load
+    are, and the error names its file and number. Rows whose time does not parse land in the partition without a date, which the load
     leaves out; their count per kind is returned.
     """
     spark = prepare(warehouse.spark)
     held: list[str] = []
-    records = materialize(read_landing(spark, landing), "landing", held)
 
     def write(kind) -> int:
         write_partitioned(explode_series(records, kind), warehouse.files(kind), kind.time_column)
         return bronze_files(warehouse, kind)[1].count()
 
     try:
+        try:
+            records = materialize(read_landing(spark, landing), "landing", held)
+        except (PySparkException, Py4JJavaError) as error:
+            raise explain_malformed(spark, landing, error) from error
         return concurrently(spark, {kind.block: partial(write, kind) for kind in KINDS})
     finally:
         remove(spark, *held)

@@ -66,16 +66,55 @@ def landing_stream(
     return reader.json(path)
 
 
-def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
-    """File and text of each line that does not parse, to find what made a read fail."""
-    require_landing(spark, path)
-    schema = T.StructType([*LANDING.fields, T.StructField(_CORRUPT, T.StringType())])
-    reader = _options(spark.read, schema, "PERMISSIVE")
-    lines = reader.option("columnNameOfCorruptRecord", _CORRUPT).json(path)
-    # A second column keeps the reader from pruning the parse away.
-    return lines.select(
-        F.col("_metadata.file_path").alias("file_path"), "location_id", _CORRUPT
-    ).where(F.col(_CORRUPT).isNotNull())
+class MalformedLanding(ValueError):
+    """A landing file holds a line that is no document."""
+
+
+def malformed_lines(
+    spark: SparkSession, path: str, schema: T.StructType = LANDING, files: str = LINE_FILES
+) -> DataFrame:
+    """File, number from 1 and text of each line that does not parse; blank lines count as lines.
+
+    A file is read in splits by many tasks. Each counts its split's lines and keeps the broken ones
+    with their place in it, in one aggregate, whose groups never meet outside a task. A running sum
+    over the splits of a file, a row each, then says how many lines lie before each.
+    """
+    with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    broken = F.from_json("value", with_corrupt, options)[_CORRUPT].isNotNull()
+    lines = (
+        spark.read.option("pathGlobFilter", files)
+        .option("recursiveFileLookup", True)
+        .text(path)
+        .select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("at"),
+            F.when(broken, F.col("value")).alias("broken"),
+        )
+    )
+    splits = lines.groupBy("file_path", "start").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.min("at").alias("first"),
+        F.expr("collect_list(if(broken is null, null, struct(at, broken)))").alias("found"),
+    )
+    before = (
+        "sum(lines) over (partition by file_path order by start"
+        " rows between unbounded preceding and 1 preceding)"
+    )
+    return (
+        splits.selectExpr("file_path", "first", "found", f"coalesce({before}, 0) as before")
+        .selectExpr("file_path", "first", "before", "inline(found)")
+        .selectExpr("file_path", "before + at - first + 1 as line", f"broken as {_CORRUPT}")
+    )
+
+
+def explain_malformed(spark: SparkSession, path: str, error: Exception) -> Exception:
+    """What to raise where reading landing files failed: the first broken line if there is one."""
+    found = malformed_lines(spark, path).orderBy("file_path", "line").first()
+    if found is None:
+        return error
+    return MalformedLanding(f"{found['file_path']} line {found['line']}: {found[_CORRUPT][:200]}")
 
 
 def write_landing(records: DataFrame, folder: str, start, end) -> str:

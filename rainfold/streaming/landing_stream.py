@@ -7,6 +7,7 @@ path as in the batch run.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 
 from rainfold.functions.dates import DateSet
@@ -14,7 +15,7 @@ from rainfold.operators.series import explode_series, split_unparsable
 from rainfold.operators.tables import load
 from rainfold.plans.pipeline import KINDS, Warehouse, add_pending, pending_dates
 from rainfold.session import materialize, prepare, remove
-from rainfold.sources.landing import landing_stream
+from rainfold.sources.landing import explain_malformed, landing_stream
 
 
 def load_new_landing(
@@ -24,10 +25,12 @@ def load_new_landing(
 
     Returns the days whose models wait for a rebuild, or None when there are none. They are stored
     with the warehouse before a batch counts as done, and ``build_models`` clears them, so days
-    of a run that died before its rebuild come back with the next one. A batch that is repeated after a failure gives the same tables:
-    its upserts write the same rows again, and its quarantine folder is overwritten.
+    of a run that died before its rebuild come back with the next one. A batch that is repeated after
+    a failure gives the same tables: its upserts write the same rows again, and its quarantine folder
+    is overwritten. A broken line stops the load with its file and number.
     """
     spark = prepare(warehouse.spark)
+
     def load_batch(documents: DataFrame, batch_id: int) -> None:
         held: list[str] = []
         records = materialize(documents, "landing", held)
@@ -47,5 +50,8 @@ def load_new_landing(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as error:
+        raise explain_malformed(spark, landing, error) from error
     return pending_dates(warehouse)

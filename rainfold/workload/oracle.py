@@ -285,6 +285,11 @@ _QUERIES = {
         "stg_hourly", "null::timestamp", "observed_at", _METRICS
     ).replace("p_date\n        from", "null::date as p_date\n        from")
     + " and hour(observed_at) = 5",
+    "malformed_line_numbers": """
+        select event_type as file, line, left(props, len(props) - 1) as malformed
+        from (select *, row_number() over (partition by event_type order by event_id) as line
+            from events)
+        where event_id % 37 = 0""",
     "locations_csv": "select * from locations",
     "load_beside_reader": " union all by name ".join(
         f"select '{opened}' as opened, * from ({rows})"

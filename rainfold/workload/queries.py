@@ -27,7 +27,7 @@ from rainfold.plans.declared_checks import declared_checks
 from rainfold.plans.pipeline import model_tables
 from rainfold.schemas import DAILY, HOURLY
 from rainfold.session import hadoop_path, materialize, scratch_path
-from rainfold.sources.landing import read_landing, write_landing
+from rainfold.sources.landing import malformed_lines, read_landing, write_landing
 from rainfold.sources import locations
 from rainfold.streaming.landing_stream import load_new_landing
 from rainfold.workload import bridge
@@ -226,6 +226,28 @@ def quarantined_rows(spark, sf_dir):
     return split_unparsable(rows)[1]
 
 
+def malformed_line_numbers(spark, sf_dir):
+    """Events' properties as lines of one file for each type, some cut short and some blank."""
+    path = scratch_path(spark, "lines")
+    cut = (
+        "case when event_id % 37 = 0 then substring(props, 1, length(props) - 1)"
+        " when event_id % 41 = 5 then ' ' else props end as value"
+    )
+    (
+        bridge.table(spark, sf_dir, "events")
+        .selectExpr("event_type", "event_id", cut)
+        .repartition("event_type")
+        .sortWithinPartitions("event_type", "event_id")
+        .select("event_type", "value")
+        .write.partitionBy("event_type")
+        .text(path)
+    )
+    found = malformed_lines(spark, path, files="*.txt")
+    return found.selectExpr(
+        "regexp_extract(file_path, 'event_type=([^/]+)', 1) as file", "line", "malformed"
+    )
+
+
 def locations_csv(spark, sf_dir):
     """The location list as a CSV whose columns are in another order."""
     path = scratch_path(spark, "locations")
@@ -482,6 +504,7 @@ QUERIES = {
         landing_roundtrip_daily,
         landing_incremental,
         quarantined_rows,
+        malformed_line_numbers,
         locations_csv,
         pipeline_fct_daily,
         pipeline_quality,

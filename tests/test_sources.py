@@ -1,4 +1,6 @@
+import gzip
 import json
+import random
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -99,7 +101,7 @@ def test_broken_line_fails_and_can_be_found(spark, tmp_path):
         read_landing(spark, str(tmp_path)).collect()
     broken = malformed_lines(spark, str(tmp_path)).collect()
     assert len(broken) == 1
-    assert broken[0]["file_path"].endswith("one.jsonl")
+    assert broken[0]["file_path"].endswith("one.jsonl") and broken[0]["line"] == 2
     assert broken[0]["malformed"].startswith('{"location_id":')
 
 
@@ -120,3 +122,27 @@ def test_windows_accumulate_and_a_window_is_overwritten(spark, tmp_path):
     write_landing(docs, out, "2024-01-01", "2024-01-07")
     write_landing(docs, out, "2024-01-08", "2024-01-14")
     assert read_landing(spark, out).count() == 2
+
+
+def test_line_numbers_over_many_splits(spark, tmp_path):
+    """Each file is cut into splits of 2,000 bytes, at places that have nothing to do with lines."""
+    wanted = set()
+    for name, lines, seed in (("a.jsonl", 900, 1), ("b.json", 3, 2), ("c.jsonl", 700, 3)):
+        rng, text = random.Random(seed), ""
+        for number in range(1, lines + 1):
+            line = rng.choice(["", "  ", document(), document(name="x" * rng.randrange(300)), "{oh", "nö }"])
+            text += line + rng.choice(["\n", "\r\n"])
+            if line in ("{oh", "nö }"):
+                wanted.add((name, number, line))
+        (tmp_path / name).write_text(text, newline="")
+    (tmp_path / "d.jsonl.gz").write_bytes(gzip.compress(b"{}\n\n[\n"))
+    (tmp_path / "e.jsonl").write_text("")
+    wanted.add(("d.jsonl.gz", 3, "["))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+        found = malformed_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {(r.file_path.split("/")[-1], r.line, r.malformed) for r in found} == wanted
+    assert len(found) == len(wanted)

@@ -2,12 +2,15 @@ import json
 import os
 from datetime import date
 
+import pytest
+
 from rainfold.functions.dates import DateSet
 from rainfold.operators.tables import read_bronze
 from rainfold.operators.snapshots import read_table
 from rainfold.plans import pipeline
 from rainfold.plans.pipeline import Warehouse
 from rainfold.schemas import DAILY, HOURLY
+from rainfold.sources.landing import MalformedLanding
 from rainfold.streaming.landing_stream import load_new_landing
 from tests.helpers import records
 from tests.test_pipeline import document
@@ -105,3 +108,11 @@ def test_days_that_arrive_during_a_build_stay_pending(spark, tmp_path):
     assert pipeline.pending_dates(warehouse).days == {date(2024, 1, 7)}
     pipeline.build_models(warehouse, str(seed))
     assert pipeline.pending_dates(warehouse) is None
+
+
+def test_a_broken_line_stops_the_load_with_its_number(spark, tmp_path):
+    landing, warehouse = tmp_path / "landing", Warehouse(spark, str(tmp_path / "root"))
+    land(landing, "one.jsonl", document())
+    (landing / "two.jsonl").write_text(json.dumps(document(day=2)) + "\n{half")
+    with pytest.raises(MalformedLanding, match="two.jsonl line 2: {half"):
+        load_new_landing(warehouse, str(landing))
