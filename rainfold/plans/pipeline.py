@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rainfold.functions.dates import DateRange, DateSet, resolve_range
 from rainfold.operators.checks import freshness, run_checks
+from rainfold.operators.open_series import explode_open, open_variables as variables_of
 from rainfold.operators.rollup import roll_up_to_days
 from rainfold.operators.series import explode_series, split_unparsable
 from rainfold.operators.tables import (
@@ -35,7 +36,7 @@ from rainfold.plans.facts import (
     fct_daily_quality,
 )
 from rainfold.plans.staging import stg_daily, stg_hourly
-from rainfold.schemas import DAILY, HOURLY
+from rainfold.schemas import DAILY, HOURLY, LANDING, OPEN_LANDING, Readings
 from rainfold.session import concurrently, hadoop_path, materialize, prepare, remove
 from rainfold.sources.landing import explain_malformed, read_landing
 from rainfold.sources.locations import read_locations
@@ -119,23 +120,35 @@ def _clear_pending(
     remove(warehouse.spark, *notes)
 
 
-def flatten_landing(warehouse: Warehouse, landing: str) -> dict[str, int]:
+def readings(records: DataFrame, kind: Readings, open_variables: bool) -> DataFrame:
+    """Rows of one kind: of the fixed metrics, or of all variables in ``OPEN_LANDING`` records."""
+    if not open_variables:
+        return explode_series(records, kind)
+    return explode_open(records, kind, variables_of(records, kind))
+
+
+def flatten_landing(
+    warehouse: Warehouse, landing: str, open_variables: bool = False
+) -> dict[str, int]:
     """Landing documents to one partitioned dataset per kind of reading.
 
     The JSON is parsed once, before any dataset is replaced: a broken line leaves them as they
     are, and the error names its file and number. Rows whose time does not parse land in the partition without a date, which the load
-    leaves out; their count per kind is returned.
+    leaves out; their count per kind is returned. With ``open_variables`` every key of a block
+    becomes a column, else those of the fixed metrics.
     """
     spark = prepare(warehouse.spark)
     held: list[str] = []
 
     def write(kind) -> int:
-        write_partitioned(explode_series(records, kind), warehouse.files(kind), kind.time_column)
+        rows = readings(records, kind, open_variables)
+        write_partitioned(rows, warehouse.files(kind), kind.time_column)
         return bronze_files(warehouse, kind)[1].count()
 
     try:
         try:
-            records = materialize(read_landing(spark, landing), "landing", held)
+            schema = OPEN_LANDING if open_variables else LANDING
+            records = materialize(read_landing(spark, landing, schema), "landing", held)
         except (PySparkException, Py4JJavaError) as error:
             raise explain_malformed(spark, landing, error) from error
         return concurrently(spark, {kind.block: partial(write, kind) for kind in KINDS})
@@ -148,11 +161,14 @@ def bronze_files(warehouse: Warehouse, kind) -> tuple[DataFrame, DataFrame]:
     return split_unparsable(read_bronze(warehouse.spark, warehouse.files(kind), kind))
 
 
-def load_bronze(warehouse: Warehouse, mode: str = "upsert") -> dict[str, LoadReport]:
+def load_bronze(
+    warehouse: Warehouse, mode: str = "upsert", open_variables: bool = False
+) -> dict[str, LoadReport]:
+    """Load the flattened datasets; with ``open_variables`` tables grow by the columns they lack."""
 
     def one(kind) -> LoadReport:
         usable, _ = bronze_files(warehouse, kind)
-        return load(usable, warehouse.bronze(kind), kind, mode)
+        return load(usable, warehouse.bronze(kind), kind, mode, grow=open_variables)
 
     return concurrently(
         prepare(warehouse.spark), {kind.block: partial(one, kind) for kind in KINDS}
@@ -256,6 +272,7 @@ def run(
     dates: DateRange | DateSet | None = None,
     lookback_days: int | None = None,
     registered: bool = False,
+    open_variables: bool = False,
 ) -> DataFrame:
     """Flatten, load, test freshness, build, check; returns the stored check report.
 
@@ -264,8 +281,8 @@ def run(
     A stale source stops the run before any model is built. Failed checks do not: the tables
     are already written, and the report says what is wrong with them.
     """
-    flatten_landing(warehouse, landing)
-    load_bronze(warehouse, mode)
+    flatten_landing(warehouse, landing, open_variables)
+    load_bronze(warehouse, mode, open_variables)
     stale = check_sources(warehouse, now).where(F.col("status") == "error").first()
     if stale is not None:
         raise StaleSource(f"source {stale['source']} was last loaded at {stale['max_loaded_at']}")

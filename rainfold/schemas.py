@@ -79,6 +79,22 @@ LANDING = T.StructType(
 )
 
 
+def _open(schema: T.StructType) -> T.StructType:
+    """The landing schema with each kind's block as a map of whatever it holds."""
+    block = T.MapType(T.StringType(), T.VariantType())
+    fields = []
+    for field in schema:
+        if field.name == "payload":
+            place = [f for f in field.dataType if not isinstance(f.dataType, T.StructType)]
+            held = T.StructType([*place, *_fields(["hourly", "daily"], block)])
+            field = T.StructField(field.name, held)
+        fields.append(field)
+    return T.StructType(fields)
+
+
+OPEN_LANDING = _open(LANDING)
+
+
 @dataclass(frozen=True)
 class Readings:
     """One kind of reading: its block in the landing record, its time column and its metrics.

@@ -43,24 +43,26 @@ def require_landing(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(f"no {LINE_FILES} file under {path}")
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
+def read_landing(spark: SparkSession, path: str, schema: T.StructType = LANDING) -> DataFrame:
     """All documents below ``path``. Blank lines are skipped, a broken line fails the job.
 
-    Keys the schema does not name are ignored, absent ones are null.
+    Keys the schema does not name are ignored, absent ones are null. ``OPEN_LANDING`` keeps every key
+    of a block.
     """
     require_landing(spark, path)
-    return _options(spark.read, LANDING, "FAILFAST").json(path)
+    return _options(spark.read, schema, "FAILFAST").json(path)
 
 
 def landing_stream(
-    spark: SparkSession, path: str, max_files_per_batch: int | None = None
-) -> DataFrame:
+    spark: SparkSession, path: str, max_files_per_batch: int | None = None,
+    schema: T.StructType = LANDING,
+) -> DataFrame:
     """The same documents as a stream of files, as strict about broken lines.
 
     Files are taken whatever their modification time, copies and backfills too. For that the
     stream remembers every landed file; moving loaded files away bounds that list.
     """
-    reader = _options(spark.readStream, LANDING, "FAILFAST").option("maxFileAge", ANY_AGE)
+    reader = _options(spark.readStream, schema, "FAILFAST").option("maxFileAge", ANY_AGE)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     return reader.json(path)

@@ -290,6 +290,16 @@ _QUERIES = {
         from (select *, row_number() over (partition by event_type order by event_id) as line
             from events)
         where event_id % 37 = 0""",
+    "open_variables": """
+        select location_id, observed_at, timestamp '2024-06-01' as ingested_at,
+            temperature_2m, if(day(p_date) <= 18, relative_humidity_2m, null)
+                as relative_humidity_2m,
+            null::double as precipitation, if(day(p_date) <= 18, rain, null) as rain,
+            null::double as snowfall, null::double as snow_depth,
+            if(day(p_date) >= 12, wind_speed_10m, null) as wind_speed_10m,
+            if(day(p_date) <= 18, wind_speed_10m * 2, null) as gusts,
+            case when day(p_date) >= 12 then if(rain > 0, 'wet', 'dry') end as sky, p_date
+        from stg_hourly""",
     "locations_csv": "select * from locations",
     "load_beside_reader": " union all by name ".join(
         f"select '{opened}' as opened, * from ({rows})"

@@ -16,6 +16,7 @@ from rainfold.operators.rollup import roll_up_to_days
 from rainfold.operators.series import (
     explode_series,
     landing_records,
+    pack_series,
     split_unparsable,
     zip_series,
 )
@@ -25,7 +26,7 @@ from rainfold.operators.tables import load, prepare_load, read_bronze, write_par
 from rainfold.plans import enriched, facts, pipeline, staging
 from rainfold.plans.declared_checks import declared_checks
 from rainfold.plans.pipeline import model_tables
-from rainfold.schemas import DAILY, HOURLY
+from rainfold.schemas import DAILY, HOURLY, Readings
 from rainfold.session import hadoop_path, materialize, scratch_path
 from rainfold.sources.landing import malformed_lines, read_landing, write_landing
 from rainfold.sources import locations
@@ -248,6 +249,30 @@ def malformed_line_numbers(spark, sf_dir):
     )
 
 
+def open_variables(spark, sf_dir):
+    """Two deliveries whose blocks hold other variables each, upserted into one table that grows."""
+    folder = scratch_path(spark, "landing")
+    warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"))
+    hourly = _hourly(spark, sf_dir).withColumns(
+        {"gusts": F.col("wind_speed_10m") * 2, "sky": F.expr("if(rain > 0, 'wet', 'dry')")}
+    )
+    deliveries = {
+        "day(p_date) <= 18": ("temperature_2m", "relative_humidity_2m", "rain", "gusts"),
+        "day(p_date) >= 12": ("temperature_2m", "wind_speed_10m", "sky"),
+    }
+    for days, variables in deliveries.items():
+        kind = Readings("hourly", "observed_at", variables)
+        blocks = pack_series(hourly.where(days), kind)
+        records = blocks.select(
+            "location_id",
+            F.lit("2024-06-01T00:00:00+00:00").alias("ingested_at"),
+            F.struct("hourly").alias("payload"),
+        )
+        write_landing(records, folder, len(variables), "2024-12-31")
+        load_new_landing(warehouse, folder, open_variables=True)
+    return read_bronze(spark, warehouse.bronze(HOURLY), HOURLY)
+
+
 def locations_csv(spark, sf_dir):
     """The location list as a CSV whose columns are in another order."""
     path = scratch_path(spark, "locations")
@@ -505,6 +530,7 @@ QUERIES = {
         landing_incremental,
         quarantined_rows,
         malformed_line_numbers,
+        open_variables,
         locations_csv,
         pipeline_fct_daily,
         pipeline_quality,
