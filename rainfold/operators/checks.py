@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainfold.operators.guards import repeated_keys
@@ -115,6 +115,54 @@ def _row_report(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     )
 
 
+def failures_by_date(rows: DataFrame, partition: str, checks: Iterable[Check]) -> DataFrame:
+    """Failures of each check on each date: ``table``, ``check``, ``failures`` and the date.
+
+    Sums over dates are the failures of the whole table, for checks that look at one row and for keys
+    that lie in one date. All row checks share one aggregate over one scan, whatever table they are
+    declared on.
+    """
+    checks = list(checks)
+    row_checks = [check for check in checks if not check.counts_keys]
+    found = []
+    if row_checks:
+        counts = rows.groupBy(partition).agg(
+            *[F.expr(f"count_if({check.violated})").alias(f"n{i}") for i, check in enumerate(row_checks)]
+        )
+        entries = ", ".join(
+            f"{_quoted(check.table)}, {_quoted(check.name)}, n{i}"
+            for i, check in enumerate(row_checks)
+        )
+        stacked = f"stack({len(row_checks)}, {entries}) as (`table`, `check`, failures)"
+        found.append(counts.selectExpr(stacked, partition))
+    for check in checks:
+        if check.counts_keys:
+            kept = rows.dropna(subset=list(check.columns)) if check.kind == UNIQUE else rows
+            keys = dict.fromkeys([partition, *check.columns])
+            repeats = repeated_keys(kept, keys).groupBy(partition).agg(F.count("*").alias("failures"))
+            found.append(
+                repeats.selectExpr(
+                    f"{_quoted(check.table)} as `table`", f"{_quoted(check.name)} as `check`",
+                    "failures", partition,
+                )
+            )
+    return reduce(DataFrame.unionByName, found)
+
+
+def report_of(spark: SparkSession, states: Iterable[DataFrame], checks: Iterable[Check]) -> DataFrame:
+    """The report of ``run_checks`` from stored failures by date."""
+    declared = spark.createDataFrame(
+        [(check.table, check.name, 0) for check in checks], "`table` string, `check` string, failures long"
+    )
+    parts = [state.select("table", "check", "failures") for state in states]
+    report = (
+        reduce(DataFrame.unionByName, [declared, *parts])
+        .groupBy("table", "check")
+        .agg(F.sum("failures").alias("failures"))
+    )
+    return report.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+
+
 # Ages at which a source counts as stale.
 WARN_AFTER = timedelta(days=7)
 ERROR_AFTER = timedelta(days=30)

@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainfold.functions.dates import DateRange, DateSet, resolve_range
-from rainfold.operators.checks import freshness, run_checks
+from rainfold.operators.checks import failures_by_date, freshness, report_of, run_checks
+from rainfold.operators.derived import follow
 from rainfold.operators.open_series import explode_open, open_variables as variables_of
 from rainfold.operators.rollup import roll_up_to_days
 from rainfold.operators.series import explode_series, split_unparsable
+from rainfold.operators.snapshots import read_table
 from rainfold.operators.tables import (
     LoadReport,
     load,
@@ -263,6 +265,43 @@ def build_models(
     return models
 
 
+# Stored table: the declared tables that its rows are checked as, and the columns these add to it.
+_CHECKED_AS = {
+    "hourly_enriched": (("hourly_enriched", "stg_hourly"), {}),
+    "daily_enriched": (
+        ("daily_enriched", "stg_daily"),
+        {"ingested_at": "daily_ingested_at", "p_date": "daily_p_date"},
+    ),
+}
+
+
+def check_models(warehouse: Warehouse) -> tuple[DataFrame, dict[str, set[date | None]]]:
+    """The check report of the stored tables, and the days of each that were looked at for it.
+
+    Failures are stored by check and date; only dates that changed since the last call are read. The
+    staged readings are checked on the tables that hold them. A table without dates is checked whole.
+    """
+    spark = prepare(warehouse.spark)
+    checks = declared_checks()
+    looked_at, states = {}, []
+    for name, (layer, partition) in TABLES.items():
+        path = warehouse.path(layer, name)
+        tables, columns = _CHECKED_AS.get(name, ((name,), {}))
+        own = [check for check in checks if check.table in tables]
+        if partition is None:
+            states.append(run_checks({name: read_table(spark, path)}, own))
+            continue
+
+        def failures(rows: DataFrame) -> DataFrame:
+            added = {new: F.col(old) for new, old in columns.items()}
+            return failures_by_date(rows.withColumns(added), partition, own)
+
+        state = warehouse.path("checks", f"failures_{name}")
+        looked_at[name] = follow(spark, path, state, partition, failures)
+        states.append(read_table(spark, state))
+    return report_of(spark, states, checks), looked_at
+
+
 def run(
     warehouse: Warehouse,
     landing: str,

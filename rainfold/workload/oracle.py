@@ -201,6 +201,17 @@ _STEPS = {
 }
 
 
+# The hourly table after the deliveries of the incremental queries.
+_STEPS["grown"] = """
+        select * from stg_hourly t where not exists (select 1 from some_days b
+            where b.location_id = t.location_id and b.observed_at = t.observed_at)
+        union all by name select * from some_days"""
+_STEPS["some_days"] = "select * from next_hour_latest where day(p_date) % 3 = 1"
+# A step is found by its name, and has to come after those it names.
+_STEPS["grown"] = _STEPS.pop("grown")
+_STEPS["grown_rollup"] = _STEPS["rollup"].replace("stg_hourly", "grown")
+
+
 def _with(query: str) -> str:
     """The steps a query names, directly or through other steps, in front of it."""
     needed: set[str] = set()
@@ -312,6 +323,21 @@ _QUERIES = {
     "pending_during_build": """
         select distinct p_date as day from bronze_hourly
         where substring(location_id, 5)::integer % 5 = 2 and day(p_date) % 4 = 1""",
+    "rollup_incremental": "select * from grown_rollup",
+    "column_statistics": " union all ".join(
+        f"""select '{name}' as "column", min({name})::varchar as least,
+            max({name})::varchar as most, count(*) filter ({name} is null) as nulls from grown"""
+        for name in ("location_id", *_METRICS.split(", "))
+    ),
+    "freshness_stored": """
+        select 'hourly' as source, max(ingested_at) as max_loaded_at,
+            case when timestamp '2024-02-10 12:00:00' - max(ingested_at) <= interval 7 day
+                then 'pass'
+                when timestamp '2024-02-10 12:00:00' - max(ingested_at) <= interval 30 day
+                then 'warn' else 'error' end as status
+        from grown""",
+    "duplicate_count_stored": """
+        select count(*) as rows_read, count(*) as rows_kept, 0::bigint as duplicates from grown""",
     "table_key_conflicts": """
         select location_id, observed_at, count(*) as n
         from bronze_hourly where location_id is not null and observed_at is not null
@@ -395,4 +421,5 @@ def oracle_sql() -> dict[str, str]:
             statements[name] = _with(query)
     suite = " union all ".join(_failures(*expected) for expected in EXPECTED)
     statements["check_suite"] = _with(suite)
+    statements["check_suite_incremental"] = statements["check_suite"]
     return statements

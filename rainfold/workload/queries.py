@@ -11,6 +11,7 @@ from rainfold.functions.bands import band_columns, flag_columns
 from rainfold.functions.dates import resolve_range
 from rainfold.operators import checks as c
 from rainfold.operators import guards, latest
+from rainfold.operators.daily_state import load_with_state, stored_rollup
 from rainfold.operators.latest import latest_by_key
 from rainfold.operators.rollup import roll_up_to_days
 from rainfold.operators.series import (
@@ -22,6 +23,7 @@ from rainfold.operators.series import (
 )
 from rainfold.operators.snapshots import read_table
 from rainfold.operators.stack import stack_by_name
+from rainfold.operators.statistics import column_figures, follow_figures, key_figures, newest
 from rainfold.operators.tables import load, prepare_load, read_bronze, write_partitioned
 from rainfold.plans import enriched, facts, pipeline, staging
 from rainfold.plans.declared_checks import declared_checks
@@ -362,6 +364,68 @@ def pending_during_build(spark, sf_dir):
     return spark.createDataFrame([(day,) for day in days], "day date")
 
 
+def rollup_incremental(spark, sf_dir):
+    """The rollup as three deliveries leave it: some locations, then the others, then later readings
+    of some days, which overwrite hours and bring new ones."""
+    table, state = scratch_path(spark, "table"), scratch_path(spark, "state")
+    rows = bridge.bronze_hourly(spark, sf_dir)
+    some = F.expr("substring(location_id, 5) % 2 = 0")
+    load_with_state(rows.where(some), table, state, "append")
+    load_with_state(rows.where(~some), table, state, "append")
+    load_with_state(_next_hour(rows).where("day(p_date) % 3 = 1"), table, state)
+    return stored_rollup(spark, state)
+
+
+def _two_builds(spark: SparkSession, sf_dir: str, between) -> pipeline.Warehouse:
+    """A warehouse whose models were built twice, the second time for the days of a later load."""
+    warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"))
+    seed = _write_locations(bridge.locations(spark, sf_dir), scratch_path(spark, "locations"))
+    late = F.expr("substring(location_id, 5) % 4 = 3 and day(p_date) % 3 = 1")
+    for part, dates in ((~late, False), (late, True)):
+        touched = [
+            load(rows(spark, sf_dir).where(part), warehouse.bronze(kind), kind).dates
+            for kind, rows in ((HOURLY, bridge.bronze_hourly), (DAILY, bridge.bronze_daily))
+        ]
+        pipeline.build_models(warehouse, seed, touched[0] | touched[1] if dates else None)
+        between(warehouse)
+    return warehouse
+
+
+def check_suite_incremental(spark, sf_dir):
+    """All declared checks after a full and a partial build; the second time on changed days only."""
+    reports = []
+    _two_builds(spark, sf_dir, lambda warehouse: reports.append(pipeline.check_models(warehouse)[0]))
+    return reports[-1]
+
+
+def _followed_figures(spark: SparkSession, sf_dir: str) -> str:
+    """Stored figures of the hourly table after two loads."""
+    table, figures = scratch_path(spark, "table"), scratch_path(spark, "figures")
+    rows = bridge.bronze_hourly(spark, sf_dir)
+    for batch in (rows, _next_hour(rows).where("day(p_date) % 3 = 1")):
+        load(batch, table, HOURLY)
+        follow_figures(spark, table, figures, HOURLY)
+    return figures
+
+
+def column_statistics(spark, sf_dir):
+    """Least, largest and absent values of each column, from stored figures of each date."""
+    return column_figures(spark, _followed_figures(spark, sf_dir), HOURLY).where(
+        "column not in ('observed_at', 'ingested_at')"
+    )
+
+
+def freshness_stored(spark, sf_dir):
+    """The freshness rule on stored figures."""
+    figures = _followed_figures(spark, sf_dir)
+    return c.freshness({"hourly": newest(spark, figures)}, NOW)
+
+
+def duplicate_count_stored(spark, sf_dir):
+    """Rows, keys and repeats of a loaded table from stored figures."""
+    return key_figures(spark, _followed_figures(spark, sf_dir))
+
+
 def table_key_conflicts(spark, sf_dir):
     """Keys that would break a table's uniqueness."""
     return guards.repeated_keys(bridge.bronze_hourly(spark, sf_dir), HOURLY.keys)
@@ -536,6 +600,11 @@ QUERIES = {
         pipeline_quality,
         partial_rebuild,
         load_beside_reader,
+        rollup_incremental,
+        check_suite_incremental,
+        column_statistics,
+        freshness_stored,
+        duplicate_count_stored,
         pending_during_build,
         table_key_conflicts,
         empty_load,
