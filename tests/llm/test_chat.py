@@ -1,4 +1,6 @@
-from rainfold.llm import chat
+import time
+
+from rainfold.llm import chat, queries
 
 
 def rows(spark, *found):
@@ -33,3 +35,23 @@ def test_empty_table_and_plan(spark):
     assert read(frame.where("false")) == {}
     plan = chat.parsed(chat.formatted(frame))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_has_no_python_rows(spark):
+    plan = queries.op5_chat(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "ExistingRDD"))
+
+
+def test_a_conversation_of_many_turns(spark):
+    """Linear work: 30,000 turns, in runs of up to three."""
+    n = 30_000
+    frame = spark.range(n).selectExpr(
+        "7L as conv_id", "id as turn", "if(id % 5 < 3, 'assistant', 'user') as role",
+        "concat('text <|', id) as text",
+    )
+    started = time.perf_counter()
+    [r] = chat.formatted(frame).collect()
+    assert time.perf_counter() - started < 30
+    assert r.formatted.count(chat.START) == 2 * n // 5
+    spans = [r.formatted[s.start : s.end] for s in r.loss_spans]
+    assert spans == [f"text <\\|{i}" for i in range(n) if i % 5 < 3]
