@@ -65,19 +65,19 @@ from placed group by conv_id
 
 TOP_K = """
 with whole as (
-  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint))
-           as v
+  select row_number() over () as row, vec_id,
+         list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
   from embeddings
   where embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
-  select q.vec_id as query_id, x.vec_id,
+  select q.row, q.vec_id as query_id, x.vec_id,
          cast(list_sum(list_transform(list_zip(q.v, x.v), lambda p: p[1] * p[2])) as bigint) as score
-  from whole q join whole x on x.vec_id <> q.vec_id
+  from whole q join whole x on x.row <> q.row
   where q.vec_id % 50 = 0
 )
 select query_id, rank, vec_id, score from (
-  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer)
+  select *, cast(row_number() over (partition by row order by score desc, vec_id) as integer)
               as rank
   from scored
 ) where rank <= 5
