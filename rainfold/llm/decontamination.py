@@ -7,17 +7,18 @@ of two strides of words, each as long as the longest item, so that every run of
 some passage. All items above the threshold are retrieved. Whole batches of passages are first held
 against the blocks' bounds: the most frequent terms can together give an item of a block no more than
 a share known from the items, so the block's largest impacts for the passage's other terms have to
-make up the rest. Passages that reach it in any block go through the lists by block-max WAND. A hit is confirmed on word trigrams: the passage has to hold enough of the
-item's question and enough of its answer.
+make up the rest. Passages that reach it in any block go through the lists by block-max WAND. A hit
+is confirmed on word trigrams: the passage has to hold enough of the item's question and enough of its
+answer. A part of an item that is too short for a trigram is confirmed on the item's pairs of
+neighbouring words that touch it, or on its word where the item has no other. Of a document's passages
+the best figures for each item are reported.
 
 The index is built in shards of items with a bounded size, each broadcast for one pass over the
 documents; a shard is a collection with its own BM25 statistics. One shard holds about 20,000 items.
 
-Items of fewer than ``least_words`` words are not in the lists: such an item is found where a document
-holds all its words, question and answer, in a row.
-
-Nulls and oddities: null or empty texts have no passages. Items without words are left out. Words are runs of ASCII letters, digits
-and all other characters, A-Z lower-cased. Repeated items and documents are each reported.
+Nulls and oddities: null or empty texts have no passages. Items without words are left out. Words are
+runs of ASCII letters, digits and all other characters, A-Z lower-cased. Repeated items and documents
+are each reported.
 """
 
 from __future__ import annotations
@@ -49,7 +50,6 @@ class Rule:
     score: float = 0.5
     question: float = 0.5
     answer: float = 0.5
-    least_words: int = 8
 
 
 def questions_and_answers(benchmark: DataFrame) -> DataFrame:
@@ -81,40 +81,29 @@ class Index:
         texts = [f"{q or ''} {a or ''}" for _, q, a in items]
         whole, _, _ = words_of(pa.array(texts, pa.string()), "letters")
         sizes = whole.counts()
-        order = [i for i in np.argsort(sizes, kind="stable") if sizes[i] >= rule.least_words]
+        order = [i for i in np.argsort(sizes, kind="stable") if sizes[i]]
         self.item_ids = [items[i][0] for i in order]
-        self._short_items(items, texts, sizes)
         self.longest = int(max((sizes[i] for i in order), default=1))
         self.runs = []
+        pairs, pair_bounds = shingles_of(whole, 2)
         for part in (1, 2):
             texts = pa.array([items[i][part] or "" for i in order], pa.string())
             words, _, _ = words_of(texts, "letters")
             hashes, bounds = shingles_of(words, RUN)
-            # A part that is too short for a run is confirmed by its words.
-            self.runs.append(
-                [
-                    np.unique(hashes[a:b] if d - c >= RUN else words.hashes[c:d])
-                    for a, b, c, d in zip(
-                        bounds[:-1], bounds[1:], words.bounds[:-1], words.bounds[1:]
-                    )
-                ]
-            )
+            found = []
+            for k, i in enumerate(order):
+                size = int(words.bounds[k + 1] - words.bounds[k])
+                if size >= RUN:
+                    found.append(np.unique(hashes[bounds[k] : bounds[k + 1]]))
+                    continue
+                own = pairs[pair_bounds[i] : pair_bounds[i + 1]]
+                if sizes[i] == 1:
+                    own = whole.hashes[whole.bounds[i] : whole.bounds[i + 1]]
+                touching = own[:size] if part == 1 else own[len(own) - min(size, len(own)) :]
+                found.append(np.unique(touching))
+            self.runs.append(found)
         self._lists(items, order)
 
-    def _short_items(
-        self, items: list[tuple[int, str, str]], texts: list[str], sizes: np.ndarray
-    ) -> None:
-        """By word count: the hashes of short items' whole sequences, sorted, and their numbers."""
-        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for size in range(1, self.rule.least_words):
-            which = np.flatnonzero(sizes == size)
-            if len(which):
-                words, _, _ = words_of(pa.array([texts[i] for i in which], pa.string()), "letters")
-                hashes, _ = shingles_of(words, size)
-                by_hash = np.argsort(hashes, kind="stable")
-                self.short[size] = hashes[by_hash], len(self.item_ids) + by_hash
-                self.item_ids += [items[i][0] for i in which]
-
     def _lists(self, items: list[tuple[int, str, str]], order: list[int]) -> None:
         texts = [f"{items[i][1] or ''} {items[i][2] or ''}" for i in order]
         words, _, _ = words_of(pa.array(texts, pa.string()), "letters")
@@ -168,14 +157,14 @@ class Index:
         self.blocks = np.array([b for x in lists for b, _ in x], dtype=np.int64)
         self.bounds = np.array([m for x in lists for _, m in x], dtype=float)
 
-    def hopeful(self, passage: np.ndarray, term: np.ndarray, passages: int) -> np.ndarray:
+    def hopeful(self, passage: np.ndarray, term: np.ndarray) -> np.ndarray:
         """The passages that reach what some block needs. Pairs of passages and their rare terms."""
         first, n = self.block_edges[term], np.diff(self.block_edges)[term]
         at = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         blocks = len(self.needed)
-        cell = np.repeat(passage, n) * blocks + self.blocks[at]
-        sums = np.bincount(cell, self.bounds[at], passages * blocks).reshape(passages, blocks)
-        return np.flatnonzero((sums >= self.needed).any(axis=1))
+        cells, own = np.unique(np.repeat(passage, n) * blocks + self.blocks[at], return_inverse=True)
+        reached = np.bincount(own, self.bounds[at], len(cells)) >= self.needed[cells % blocks]
+        return np.unique(cells[reached] // blocks)
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """The term of each word, -1 for words that no item has."""
@@ -247,26 +236,8 @@ def _passages(words: Words, stride: int) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(1, -(-counts // stride) - 1) * (counts > 0), place // stride
 
 
-def _short_hits(words: Words, index: Index) -> Iterator[tuple[int, int, float, float, float]]:
-    """The same for items that are too short for the lists, once for each text and item."""
-    for size, (hashes, numbers) in index.short.items():
-        runs, bounds = shingles_of(words, size)
-        first = np.searchsorted(hashes, runs, "left")
-        many = np.searchsorted(hashes, runs, "right") - first
-        at = np.flatnonzero(many)
-        texts = np.searchsorted(bounds, at, "right") - 1
-        pairs = {
-            (t, int(numbers[k]))
-            for t, f, n in zip(texts.tolist(), first[at].tolist(), many[at].tolist())
-            for k in range(f, f + n)
-        }
-        for text, item in sorted(pairs):
-            yield text, item, 1.0, 1.0, 1.0
-
-
 def _hits(words: Words, index: Index) -> Iterator[tuple[int, int, float, float, float]]:
     """(text, item, score, question share, answer share) of confirmed passages."""
-    yield from _short_hits(words, index)
     stride = max(RUN, index.longest)
     passages, strides = _passages(words, stride)
     base = np.concatenate([[0], np.cumsum(passages)])
@@ -284,7 +255,7 @@ def _hits(words: Words, index: Index) -> Iterator[tuple[int, int, float, float,
     if not len(keys):
         return
     passage, term = keys // len(index.terms), keys % len(index.terms)
-    for p in index.hopeful(passage, term, int(base[-1])).tolist():
+    for p in index.hopeful(passage, term).tolist():
         text = int(np.searchsorted(base, p, "right")) - 1
         first = int(words.bounds[text]) + (p - int(base[text])) * stride
         last = min(first + 2 * stride, int(words.bounds[text + 1]))
@@ -293,7 +264,8 @@ def _hits(words: Words, index: Index) -> Iterator[tuple[int, int, float, float,
         if not hits:
             continue
         window = Words(words.hashes[first:last], None, None, np.array([0, last - first]))
-        runs = np.unique(np.concatenate([shingles_of(window, RUN)[0], window.hashes]))
+        shingles = [shingles_of(window, size)[0] for size in (RUN, 2)]
+        runs = np.unique(np.concatenate([*shingles, window.hashes]))
         for item, score in hits:
             question, answer = index.confirm(item, runs)
             if question >= index.rule.question and answer >= index.rule.answer:
@@ -359,10 +331,9 @@ def contaminated(docs: DataFrame, items: DataFrame, rule: Rule = Rule()) -> Data
 def without_contaminated(docs: DataFrame, items: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs`` without the rows that hold an item.
 
-    Rows that repeat a doc_id are decided by their own text. A row with a null doc_id is kept, though
-    ``contaminated`` reports it.
+    Rows that repeat a doc_id, and those with a null one, are decided by their own text.
     """
     hits = stored(_found(docs, items, rule).select("doc_id", "a", "b"), "contaminated")
     gone = hits.distinct().selectExpr("doc_id as rf_gone", "struct(a, b) as rf_key")
-    same = (docs["doc_id"].cast("long") == F.col("rf_gone")) & (F.expr(row_key()) == F.col("rf_key"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("rf_gone")) & (F.expr(row_key()) == F.col("rf_key"))
     return docs.join(gone, same, "left_anti")

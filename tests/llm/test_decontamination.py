@@ -38,7 +38,8 @@ def test_hidden_items_are_found_and_clean_documents_stay(spark, documents):
     assert found == {(1, 1), (3, 1), (None, 1), (7, 2), (8, 2)}
     left = decontamination.without_contaminated(docs, bench)
     assert left.columns == docs.columns
-    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 2, 4, 5, 6]
+    # The row with a null id holds an item as well.
+    assert sorted(r.doc_id for r in left.collect()) == [2, 4, 5, 6]
 
 
 def test_empty_tables(spark, documents):
@@ -71,17 +72,18 @@ def test_search_equals_scoring_every_item():
         assert {i for i, _ in index.search([number[t] for t in terms])} == wanted
 
 
-def test_short_items_are_found_whole(spark, documents):
+def test_short_items_follow_the_same_rule(spark, documents):
+    """Half of the pairs of words that touch the question, and half of those that touch the answer."""
     bench = items(spark, (1, ITEM), (2, "Who rules? Queen Ama."), (3, "Alba"), (4, ""), (5, None),
                   (6, "who rules QUEEN ama"))
     docs = documents(
         (1, prose(1, 300) + " who rules: queen Ama, " + prose(2, 300)),
         (2, prose(3, 50) + " who rules the queen Ama " + prose(4, 50)),
         (3, "Who rules? Queen Ama"), (4, "Who rules? Queen"), (5, "Ama"), (6, "to alba."), (7, ""),
-        (8, None), (9, ITEM),
+        (8, None), (9, ITEM), (10, "Ama rules, who Queen?"), (11, "who rules here"),
     )
     found = {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()}
-    assert found == {(1, 2), (1, 6), (3, 2), (3, 6), (6, 3), (9, 1), (9, 3)}
+    assert found == {(d, i) for d in (1, 2, 3, 4) for i in (2, 6)} | {(6, 3), (9, 1), (9, 3)}
     alone = {(r.doc_id, r.item_id) for r in contaminated(docs, bench.where("item_id = 3")).collect()}
     assert alone == {(6, 3), (9, 3)}
 
@@ -93,3 +95,10 @@ def test_repeated_ids_are_decided_by_their_own_text(spark, documents):
     assert left.columns == docs.columns
     found = sorted(((r.doc_id, r.text) for r in left.collect()), key=repr)
     assert found == [(1, "a clean text"), (1, None), (3, "x")]
+
+
+def test_a_null_id_is_decided_by_its_own_text(spark, documents):
+    bench = items(spark, (1, ITEM))
+    docs = documents((None, ITEM), (None, "a clean text"), (None, None), (None, "x " + ITEM))
+    left = decontamination.without_contaminated(docs, bench).collect()
+    assert sorted((r.text for r in left), key=repr) == ["a clean text", None]
