@@ -14,17 +14,19 @@ def latest_by_key(
     df: DataFrame,
     keys: Iterable[str],
     newest_first: Iterable[str] = ("ingested_at", "p_date"),
+    within: Iterable[str] = (),
 ) -> DataFrame:
     """Keep one row per key: the newest by ``newest_first``, where a null counts as newest.
 
     Order columns the frame does not have are skipped. A hash of the row settles ties, so a
     rerun returns the same rows. Spark plans rank-one filters as a group limit on both sides of
-    the shuffle: each task passes on one row per key, however many copies a key has.
+    the shuffle: each task passes on one row per key, however many copies a key has. ``within`` names
+    functions of the key that rows are already partitioned by.
     """
     keys = list(keys)
     order = [f"`{name}` desc nulls first" for name in newest_first if name in df.columns]
     order.append(f"xxhash64({_listed([c for c in df.columns if c not in keys] or keys)})")
-    rank = f"row_number() over (partition by {_listed(keys)} order by {', '.join(order)})"
+    rank = f"row_number() over (partition by {_listed([*within, *keys])} order by {', '.join(order)})"
     return df.selectExpr("*", f"{rank} as {_RANK}").where(f"{_RANK} = 1").drop(_RANK)
 
 

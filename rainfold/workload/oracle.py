@@ -346,6 +346,7 @@ _QUERIES = {
     "fct_daily_api": "select * from fct_daily_api",
     "fct_daily_hourly": "select * from fct_daily_hourly",
     "fct_daily": "select * from fct_daily",
+    "fct_daily_bucketed": "select * from fct_daily",
     "fct_daily_ranged": """
         select * from fct_daily where dates between date '2024-01-13' and date '2024-01-20'""",
     "fct_daily_quality": "select * from fct_daily_quality",

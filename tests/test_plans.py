@@ -1,15 +1,18 @@
 """Physical plans keep the shape that scales."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from rainfold.functions.dates import DateRange
 from rainfold.operators.rollup import roll_up_to_days
 from rainfold.operators.tables import read_bronze, write_partitioned
+from rainfold.plans import colocated
+from rainfold.plans.colocated import save_bucketed
 from rainfold.plans.enriched import hourly_enriched, pair_daily
 from rainfold.plans.facts import fct_daily, fct_daily_quality
 from rainfold.plans.staging import stg_daily, stg_hourly
 from rainfold.schemas import DAILY, HOURLY
-from tests.helpers import daily_rows, hourly_rows, ts
+from tests.helpers import daily_rows, hourly_rows, records, ts
 
 
 def plan(df) -> str:
@@ -71,3 +74,32 @@ def test_no_python_in_plans(bronze):
     text = plan(fct_daily_quality(pairs(bronze)))
     assert "Python" not in text and "Arrow" not in text
     assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_bucketed_tables_need_no_exchange(spark, bronze):
+    """From bronze to fact, whatever the sizes; a hot location spreads over its days."""
+    hourly, daily = bronze
+    many = spark.range(40_000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('l', id % 700)) as location_id",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, cast(id % 4000 as int)) as observed_at",
+        "timestamp_ntz'2024-03-01' as ingested_at", "double(id % 7) as rain",
+    )
+    rows = hourly.unionByName(many.withColumn("p_date", F.to_date("observed_at")), True)
+    save_bucketed(rows, "bucketed_h", 16)
+    save_bucketed(daily, "bucketed_d", 16)
+    broadcasts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        paired = colocated.pair_daily(spark, "bucketed_h", "bucketed_d")
+        for fact in (fct_daily, fct_daily_quality):
+            text = plan(fact(paired))
+            assert "Exchange" not in text and text.count("FullOuter") == 1
+        plain = pairs((rows, daily))
+        assert records(fct_daily(paired)) == records(fct_daily(plain))
+        files = spark.table("bucketed_h").groupBy(F.input_file_name()).count()
+        most = files.agg({"count": "max"}).first()[0]
+        assert most < 2.5 * 40_000 / 16
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
+        for table in ("bucketed_h", "bucketed_d"):
+            spark.sql(f"drop table {table}")
