@@ -128,8 +128,6 @@ class Tagger:
     def _way_back(self, back: np.ndarray, kept: dict) -> dict:
         """Gradients of the recurrent part from those of the tags' scores."""
         w, (windows, steps, _) = self.weights, back.shape
-        both = kept["both"].reshape(-1, 2 * STATE)
-        flat = back.reshape(-1, back.shape[-1])
         onto = (back @ w["out"].T).transpose(1, 0, 2)
         onto = np.stack([onto[..., :STATE], onto[::-1, ..., STATE:]], axis=1)
         inner = w["inner"][:, VECTOR:].transpose(0, 2, 1)
@@ -154,13 +152,14 @@ class Tagger:
             state = np.matmul(shaped[t], inner)
         shaped = shaped.transpose(1, 2, 0, 3)
         inputs = np.concatenate([kept["inputs"], kept["states"][:-1].transpose(1, 2, 0, 3)], axis=-1)
-        deep = shaped.reshape(2, -1, 4 * STATE)
-        gradient = np.matmul(inputs.reshape(2, -1, VECTOR + STATE).transpose(0, 2, 1), deep)
+        # A product for each window is small enough to stay in one thread.
+        gradient = np.matmul(inputs.transpose(0, 1, 3, 2), shaped).sum(axis=1)
         onto = np.matmul(shaped, w["inner"][:, None, :VECTOR].transpose(0, 1, 3, 2))
         vectors = np.zeros_like(w["vectors"])
         np.add.at(vectors, kept["ids"], onto[0] + onto[1][:, ::-1])
-        return {"vectors": vectors, "inner": gradient, "bias": deep.sum(axis=1),
-                "out": both.T @ flat, "out_bias": flat.sum(axis=0)}
+        out = np.matmul(kept["both"].transpose(0, 2, 1), back).sum(axis=0)
+        return {"vectors": vectors, "inner": gradient, "bias": shaped.sum(axis=(1, 2)),
+                "out": out, "out_bias": back.sum(axis=(0, 1))}
 
     def fit(self, ids: np.ndarray, tags: np.ndarray, steps: int = STEPS) -> Tagger:
         """Adam with a rate that falls to zero, on windows in a fixed random order."""
