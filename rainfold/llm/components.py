@@ -1,8 +1,8 @@
 """Connected components of a graph that is spread over the cluster.
 
-Two steps alternate until the edges stay the same: every node's larger neighbours are linked to its
-smallest one, then its smaller neighbours and itself. The graph ends as stars around the smallest
-node of each component, after a number of rounds that grows with the logarithm of the node count.
+Two steps alternate until the edges are stars: every node's larger neighbours are linked to its
+smallest one, then its smaller neighbours and itself. The stars stand around the smallest node of each
+component, after a number of rounds that grows with the logarithm of the node count.
 Before that each task joins the edges it holds by union-find, which leaves one edge for each node at
 most and shortens paths.
 """
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from rainfold.llm.storage import stored
+from rainfold.llm.storage import discard, stored
 
 
 def _locally_joined(edges: DataFrame) -> DataFrame:
@@ -52,20 +52,33 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node either has edges to it only or is the larger node of one edge."""
+    ends = edges.selectExpr("u as node", "1 as larger", "0 as smaller").unionByName(
+        edges.selectExpr("v as node", "0 as larger", "1 as smaller")
+    )
+    counted = ends.groupBy("node").agg(F.sum("larger").alias("x"), F.max("smaller").alias("y"))
+    return counted.where("x + y > 1").isEmpty()
+
 
+def connected(links: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """node and component (its smallest node) for each node of ``links`` (long a, long b).
 
-def connected(links: DataFrame) -> DataFrame:
-    """node and component (its smallest node) for each node of ``links`` (long a, long b)."""
+    The result's table is added to ``paths``; those of the steps before are removed.
+    """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    edges = stored(_locally_joined(edges.where("u <> v")).distinct(), "stars")
-    mark = _mark(edges)
-    while mark[0]:
-        edges = stored(_small_star(_large_star(edges)), "stars")
-        before, mark = mark, _mark(edges)
-        if mark == before:
-            break
+    steps: list[str] = []
+    edges = stored(_locally_joined(edges.where("u <> v")).distinct(), "stars", steps)
+    while not _are_stars(edges):
+        edges = stored(_small_star(_large_star(edges)), "stars", steps)
+        discard(links.sparkSession, *steps[:-1])
+    if paths is not None:
+        paths.append(steps[-1])
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def as_links(classes: DataFrame) -> DataFrame:
+    """Links that give the classes again: each node with its component's smallest one."""
+    return classes.select(F.col("node").alias("a"), F.col("component").alias("b"))

@@ -11,24 +11,30 @@ share few values, in a crowded one only those with the longest common prefix sta
 other. Neighbours across the edge of two partitions are found from the partitions' first and last
 rows.
 
-Every candidate pair is confirmed on the two full sets. It is done in rounds, since in a group of
-copies most pairs are not needed to know the class: first each document's best pairs, then all pairs
-between different classes, and for each of them the pairs with the other class's centres, the member
-that agrees best with its neighbours and the one with the most links. The centres link the documents
-of a group in which copies resemble their origin but not each other. Rounds go on until one finds no
-link.
-
-The rest is exact. Two similar sets have one of their first shingles in common, in any order that
-holds for all sets: of n shingles, that are the first n - ceil(similarity * n) + 1. The order puts
-shingles last that are frequent in a sample of the documents. All pairs of different classes that
-share such a shingle are counted, and confirmed if their sizes and the number of shared ones leave
-the similarity possible. Shingles within one class are dropped before; the pairs of a frequent one
-are dealt over tasks. So classes are those of an exhaustive search, up to collisions of 64-bit hashes.
-
-Nulls and oddities: a null text or one without words has an empty set and links with nothing. A null
-doc_id names no class: such a row links with nothing, its class is null and it is kept. Rows that
-repeat a doc_id stand for one document: each row gets the class of its own text, and if their texts
-differ, one of them (the smallest by hash) stands for the document in the search.
+Every candidate pair whose keys agree often enough is confirmed on the two full sets. It is done in
+rounds, since in a group of copies most pairs are not needed to know the class: first each document's
+best pairs, then all pairs between different classes, and for each of them the pairs with the other
+class's centres, the member that agrees best with its neighbours and the one with the most links. The
+centres link the documents of a group in which copies resemble their origin but not each other. A round
+goes on with the pairs that are still between classes, until one finds no link.
+
+A window of ``NEIGHBOURS`` that is full leaves neighbours out. Documents with a full window are crowded,
+and a link that no round could see has a crowded document at both ends. These are completed exactly:
+two similar sets of n shingles have one of the first n - ceil(similarity * n) + 1 shingles of each in
+common, in any order that holds for all sets. The order puts shingles first that occur in one class
+only, which cannot link two classes, and then the others by the number of crowded documents that hold
+them. A document takes part with those of its first shingles that lie in several classes: none, if its
+own class's shingles fill them. The pairs of a frequent shingle are dealt over tasks, and pairs of
+different classes are confirmed on full sets if their sizes fit and enough shingles follow the common
+one in both.
+
+What remains is chance: two documents at the least similarity share ``LEAST_PREFIX`` values in some tree
+but for one case in ten million, and 64-bit hashes may collide.
+
+Nulls and oddities: null and empty texts and texts without words have no shingles and are linked with
+nothing. Rows with a null doc_id are linked with nothing either and have a null class. Rows that repeat
+a doc_id with other texts are searched under each of them, and are linked with each other; ids
+below 2^62 are presumed.
 """
 
 from __future__ import annotations
@@ -51,23 +57,23 @@ from rainfold.llm.hashing import (
     shingles_of,
     words_of,
 )
-from rainfold.llm.storage import stored
+from rainfold.llm.storage import discard, stored
 
-# Signature values, trees, values in a tree's key, neighbours on each side, and the
-# values that a candidate must share at the front of the key.
+# Signature values, trees, values in a tree's key, neighbours on each side, the values
+# that a candidate must share at the front of the key, and those of the whole key that must agree: two
+# similar documents that share the front fall short of these once in a million.
 VALUES = 64
 TREES = 16
 KEY_VALUES = 16
-NEIGHBOURS = 4
+NEIGHBOURS = 2
 LEAST_PREFIX = 2
+LEAST_AGREED = 6
 _BYTES = 2
-# Documents sampled for frequent shingles, how many of these are known, and the rows of a shingle that
-# one task pairs with all others. The first two affect speed only.
-SAMPLE = 5_000
-FREQUENT = 50_000
+# The rows of a shingle that one task pairs with all others, and nodes whose sets are
+# looked up by a broadcast.
 SLICE = 2_000
-# Nodes whose sets are looked up by a broadcast.
 _FEW = 100_000
+_CROWDED = -2
 
 
 @dataclass(frozen=True)
@@ -78,50 +84,8 @@ class Rule:
     percent: int = 80
 
 
-def frequent_shingles(docs: DataFrame, rule: Rule) -> np.ndarray:
-    """The most frequent shingles of a sample, the less frequent first."""
-
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, last in pieces_of(batch.column("text")):
-                words, _, _ = words_of(batch.column("text").slice(first, last - first))
-                shingles, bounds = shingles_of(words, rule.shingle)
-                for a, b in zip(bounds[:-1], bounds[1:]):
-                    part = pa.array(np.unique(shingles[a:b]).view(np.int64))
-                    yield pa.RecordBatch.from_arrays([part], names=["shingle"])
-
-    part = min(1.0, SAMPLE / max(1, docs.count()))
-    rows = (
-        docs.where(f"pmod(xxhash64(doc_id, text), 1048576) < {int(part * 1048576)}")
-        .select("text")
-        .mapInArrow(collect, "shingle long")
-        .groupBy("shingle")
-        .agg(F.count("*").alias("n"))
-        .where("n > 2")
-        .orderBy(F.desc("n"), "shingle")
-        .limit(FREQUENT)
-        .collect()
-    )
-    return np.array([r["shingle"] for r in reversed(rows)], dtype=np.int64).view(U64)
-
-
-def _first_shingles(sets: list[np.ndarray], frequent: np.ndarray, rule: Rule) -> list[bytes]:
-    """The first shingles of each set: of two similar sets they have one in common."""
-    by_value = np.argsort(frequent)
-    values = frequent[by_value]
-    found = []
-    for part in sets:
-        rank = np.zeros(len(part), dtype=np.int64)
-        if len(values):
-            at = np.minimum(np.searchsorted(values, part), len(values) - 1)
-            rank = np.where(values[at] == part, by_value[at] + 1, 0)
-        count = len(part) + (-rule.percent * len(part)) // 100 + 1 if len(part) else 0
-        found.append(part[np.argsort(rank, kind="stable")[:count]].tobytes())
-    return found
-
-
-def sketches(docs: DataFrame, rule: Rule, frequent: np.ndarray) -> DataFrame:
-    """Set size, two hashes of the word sequence, MinHash signature and first shingles of each row."""
+def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
+    """Set size, two hashes of the word sequence, and MinHash signature of each row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = mix(np.arange(1, VALUES + 1, dtype=U64) * U64(0x9FB21C651E98DF25)) | U64(1)
@@ -131,23 +95,21 @@ def sketches(docs: DataFrame, rule: Rule, frequent: np.ndarray) -> DataFrame:
                 words, _, _ = words_of(part.column("text"))
                 shingles, bounds = shingles_of(words, rule.shingle)
                 low, high = sequence_hashes(words)
-                sets = [np.unique(shingles[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-                sizes = np.array([len(x) for x in sets], dtype=np.int64)
+                sizes = [len(np.unique(shingles[a:b])) for a, b in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
-                        pa.array(sizes),
+                        pa.array(sizes, pa.int64()),
                         pa.array(low),
                         pa.array(high),
                         pa.array(_signatures(shingles, bounds, factors), pa.binary()),
-                        pa.array(_first_shingles(sets, frequent, rule), pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "low", "high", "signature", "leading"],
+                    names=["doc_id", "n_shingles", "low", "high", "signature"],
                 )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         sketch,
-        "doc_id long, n_shingles long, low long, high long, signature binary, leading binary",
+        "doc_id long, n_shingles long, low long, high long, signature binary",
     )
 
 
@@ -181,26 +143,33 @@ def _keys(nodes: DataFrame) -> DataFrame:
 
 
 def _neighbour_pairs(keys: np.ndarray, nodes: np.ndarray, fresh: int) -> pd.DataFrame:
-    """Pairs of rows at most NEIGHBOURS apart, of which the later is at or after row ``fresh``."""
-    found = []
+    """Pairs of rows at most NEIGHBOURS apart, of which the later is at or after row ``fresh``.
+
+    Rows whose window is full come as pairs with ``_CROWDED``.
+    """
+    found = [pd.DataFrame({"a": [], "b": [], "agreed": []}, dtype="int64")]
     for gap in range(1, NEIGHBOURS + 1):
         later = np.arange(max(fresh, gap), len(keys))
         if not len(later):
             continue
         same = keys[later] == keys[later - gap]
-        tree = same[:, 0]
         values = same[:, 1:].reshape(len(later), KEY_VALUES, _BYTES).all(axis=2)
-        take = tree & values[:, :LEAST_PREFIX].all(axis=1) & (nodes[later] != nodes[later - gap])
+        near = same[:, 0] & values[:, :LEAST_PREFIX].all(axis=1)
+        agreed = values.sum(axis=1)
+        take = near & (agreed >= LEAST_AGREED) & (nodes[later] != nodes[later - gap])
         a, b = nodes[later - gap][take], nodes[later][take]
-        agreed = values[take].sum(axis=1)
-        found.append(pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "agreed": agreed}))
-    if not found:
-        return pd.DataFrame({"a": [], "b": [], "agreed": []}).astype("int64")
-    return pd.concat(found).astype("int64")
+        found.append(
+            pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "agreed": agreed[take]})
+        )
+        if gap == NEIGHBOURS:
+            full = np.unique(np.concatenate([nodes[later][near], nodes[later - gap][near]]))
+            found.append(pd.DataFrame({"a": full, "b": _CROWDED, "agreed": -1}))
+    return pd.concat(found)
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs of nodes (a < b) that are neighbours in a tree: how well their keys agree (0 to 1)."""
+def candidates(nodes: DataFrame, paths: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Pairs of nodes (a < b) that are neighbours in a tree, with how well their keys agree (0 to 1),
+    and the crowded nodes."""
     width = 1 + KEY_VALUES * _BYTES
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,6 +199,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
         .sortWithinPartitions("key", "node")
         .mapInPandas(scan, "a long, b long, agreed long, key binary"),
         "forest",
+        paths,
     )
     inner = found.where("key is null").select("a", "b", "agreed")
 
@@ -252,11 +222,14 @@ def candidates(nodes: DataFrame) -> DataFrame:
         .sortWithinPartitions("key", "a")
         .mapInPandas(scan_edges, "a long, b long, agreed long")
     )
-    return (
-        inner.unionByName(edges)
+    every = inner.unionByName(edges)
+    pairs = (
+        every.where(f"b <> {_CROWDED}")
         .groupBy("a", "b")
         .agg((F.avg("agreed") / KEY_VALUES).alias("agreed"))
     )
+    crowded = every.where(f"b = {_CROWDED}").select(F.col("a").alias("node")).distinct()
+    return stored(pairs, "pairs", paths), stored(crowded, "crowded", paths)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -283,7 +256,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """The shingle set of each of ``nodes`` (with the hash of its text's words), as sorted values."""
+    """The shingle set of each of ``nodes`` (with its doc_id and low), as sorted values."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,12 +272,12 @@ def _sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
                     names=["node", "set"],
                 )
 
-    wanted = nodes.select("node", "low")
+    wanted = nodes.select("node", "doc_id", "low")
     few = wanted.limit(_FEW + 1).count() <= _FEW
     wanted = F.broadcast(wanted) if few else wanted.hint("shuffle_hash")
     return (
-        docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-        .join(wanted, "node")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        .join(wanted, "doc_id")
         .mapInArrow(collect, "node long, set binary")
         .dropDuplicates(["node"])
     )
@@ -328,7 +301,8 @@ def _across(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     of_a = classes.select(F.col("node").alias("a"), F.col("component").alias("class_a"))
     of_b = classes.select(F.col("node").alias("b"), F.col("component").alias("class_b"))
     return (
-        pairs.join(of_a, "a", "left")
+        pairs.select("a", "b")
+        .join(of_a, "a", "left")
         .join(of_b, "b", "left")
         .withColumn("class_a", F.coalesce("class_a", "a"))
         .withColumn("class_b", F.coalesce("class_b", "b"))
@@ -365,119 +339,171 @@ def _centre_pairs(
     )
 
 
-def _rest(nodes: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """All pairs of different classes that may be similar, by their first shingles and sizes."""
+def _rest(crowded: DataFrame, sets: DataFrame, classes: DataFrame, rule: Rule, paths: list[str]):
+    """All pairs of crowded nodes of different classes that may be similar, by their first shingles."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [np.frombuffer(x, "<i8") for x in batch.column("leading").to_pylist()]
-            rows = pa.array(np.repeat(np.arange(len(keys)), [len(x) for x in keys]))
-            columns = [batch.column(c).take(rows) for c in ("node", "component", "n")]
+            shingles = [np.frombuffer(x, "<i8") for x in batch.column("set").to_pylist()]
+            sizes = np.array([len(x) for x in shingles], dtype=np.int64)
+            rows = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            columns = [batch.column(c).take(rows) for c in ("node", "class")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys)), *columns], names=["key", "node", "component", "n"]
+                [
+                    pa.array(np.concatenate([np.zeros(0, np.int64), *shingles])),
+                    *columns,
+                    pa.array(np.repeat(sizes, sizes)),
+                ],
+                names=["shingle", "node", "class", "n"],
             )
 
-    of_class = classes.where("node <> component")
-    rows = nodes.join(of_class, "node", "left").selectExpr(
-        "node", "component", "cast(n_shingles as int) as n", "leading"
+    classed = (
+        sets.join(crowded, "node", "left_semi")
+        .join(classes, "node", "left")
+        .selectExpr("node", "coalesce(component, node) as class", "set")
     )
-    # Shingles of one class only find nothing new.
-    shared = stored(
-        rows.mapInArrow(spread, "key long, node long, component long, n int")
+    rows = classed.mapInArrow(spread, "shingle long, node long, class long, n long")
+    shared = (
+        rows.groupBy("shingle")
+        .agg(F.count("*").alias("held"), F.min("class").alias("x"), F.max("class").alias("y"))
+        .where("x <> y")
+        .select("shingle", "held")
+    )
+    # Of n shingles the first n - ceil(similarity * n) + 1 count; those of one class come before.
+    first = stored(
+        rows.join(stored(shared, "shared", paths), "shingle")
         .selectExpr(
             "*",
-            "min(coalesce(component, node)) over (partition by key) as least",
-            "max(coalesce(component, node)) over (partition by key) as most",
-            "count(*) over (partition by key) as rows",
+            "row_number() over (partition by node order by held, shingle) as place",
+            "count(*) over (partition by node) as many",
         )
-        .where("least <> most")
+        .where(f"place <= n - ({rule.percent} * n + 99) div 100 + 1 - (n - many)")
         .selectExpr(
-            "key", "node", "coalesce(component, node) as class", "n",
-            f"cast(ceil(rows / {SLICE}) as int) as slices",
+            "shingle", "node", "class", "n", "n - many + place as place",
+            f"cast(ceil(held / {SLICE}) as int) as slices",
         ),
-        "shared",
+        "first",
+        paths,
     )
-    left = shared.selectExpr(
-        "key", "cast(pmod(xxhash64(node), slices) as int) as slice", "node as x", "class as class_x",
-        "n as n_x",
+    # The smaller set of a pair needs its first n - ceil(2 s / (1 + s) * n) + 1 shingles only.
+    both = 100 + rule.percent
+    left = first.where(f"place <= n - ({2 * rule.percent} * n + {both - 1}) div {both} + 1").selectExpr(
+        "shingle", "cast(pmod(xxhash64(node), slices) as int) as slice", "node as x",
+        "class as class_x", "n as n_x", "place as place_x",
     )
-    right = shared.selectExpr(
-        "key", "explode(sequence(0, slices - 1)) as slice", "node as y", "class as class_y", "n as n_y"
-    )
+    right = first.selectExpr(
+        "shingle", "explode(sequence(0, slices - 1)) as slice", "node as y", "class as class_y",
+        "n as n_y", "place as place_y",
+    )
+    # If this is a pair's first common shingle, so many more can follow on both sides at most.
+    follow = "least(n_x - place_x, n_y - place_y)"
     return (
-        left.join(right, ["key", "slice"])
+        left.join(right, ["shingle", "slice"])
         .where("class_x <> class_y and (n_x < n_y or n_x = n_y and x < y)")
-        .where(f"100L * n_x >= {rule.percent}L * n_y")
-        .groupBy("x", "y", "n_x", "n_y")
-        .agg(F.count("*").alias("common"))
-        # Beyond the first shingles of one of the two, so many are left at most.
-        .withColumn("left", F.expr(f"greatest({', '.join(_beyond(n, rule) for n in ('n_x', 'n_y'))})"))
-        .where(f"(100L + {rule.percent}) * (common + left) >= {rule.percent}L * (n_x + n_y)")
+        .where(f"100 * n_x >= {rule.percent} * n_y")
+        .where(f"{both} * (1 + {follow}) >= {rule.percent} * (n_x + n_y)")
         .selectExpr("least(x, y) as a", "greatest(x, y) as b")
+        .distinct()
     )
 
 
-def _beyond(n: str, rule: Rule) -> str:
-    """SQL for the number of shingles after the first ones."""
-    return f"({rule.percent}L * {n} + 99) div 100 - 1"
-
-
-def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of ``docs``."""
-    sketch = stored(sketches(docs, rule, frequent_shingles(docs, rule)), "sketches")
-    named = sketch.where("n_shingles > 0 and doc_id is not null")
-    copies = stored(named.groupBy("low", "high").agg(F.min("doc_id").alias("node")), "copies")
-    # A doc_id that stands for several texts is searched under one of them.
-    chosen = copies.groupBy("node").agg(F.min(F.struct("low", "high")).alias("x")).select(
-        "node", "x.low", "x.high"
+def _nodes(named: DataFrame, paths: list[str]) -> tuple[DataFrame, DataFrame]:
+    """One node for each text, known by the smallest doc_id that holds it; and links between the
+    nodes of a doc_id that holds several texts, of which all but one are known by a number of their own.
+    """
+    texts = named.groupBy("low", "high").agg(F.min("doc_id").alias("doc_id"))
+    numbered = texts.selectExpr(
+        "*", "row_number() over (partition by doc_id order by low, high) as place"
     )
+    own = f"(xxhash64(low, high, doc_id) & {2**62 - 1}L) | {2**62}L"
     nodes = stored(
-        named.withColumnRenamed("doc_id", "node")
-        .select("node", "low", "high", "signature", "leading", "n_shingles")
-        .join(chosen, ["node", "low", "high"])
-        .dropDuplicates(["node", "low", "high"]),
-        "nodes",
+        numbered.selectExpr("low", "high", "doc_id", f"if(place = 1, doc_id, {own}) as node"),
+        "texts",
+        paths,
     )
-    pairs = stored(candidates(nodes), "pairs")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = stored(_sets(docs, ends.join(nodes.select("node", "low"), "node"), rule), "sets")
-    links = stored(confirmed(_best(pairs, 2), sets, rule), "links")
-    tried = None
+    held = named.select("doc_id", "low", "high").distinct().join(
+        nodes.select("low", "high", "node"), ["low", "high"]
+    )
+    # A doc_id with one text adds nothing.
+    links = (
+        held.groupBy("doc_id")
+        .agg(F.min("node").alias("a"), F.max("node").alias("most"))
+        .where("a <> most")
+        .select("doc_id", "a")
+        .join(held, "doc_id")
+        .where("a <> node")
+        .select("a", F.col("node").alias("b"))
+    )
+    return nodes, stored(links, "same-id", paths)
+
+
+def _linked(
+    docs: DataFrame, nodes: DataFrame, signed: DataFrame, given: DataFrame, rule: Rule,
+    paths: list[str],
+) -> DataFrame:
+    """The class of every node that is linked with another."""
+    spark = docs.sparkSession
+    pairs, crowded = candidates(signed, paths)
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowded).distinct()
+    sets = stored(_sets(docs, nodes.join(ends, "node"), rule), "sets", paths)
+    links = stored(confirmed(_best(pairs, 2), sets, rule), "links", paths)
+    classes = components.connected(links.unionByName(given), paths)
+    across, tried, left = pairs, None, []
     while True:
-        classes = stored(components.connected(links), "classes")
-        across = stored(_across(pairs, classes), "across")
+        round_: list[str] = []
+        across = stored(_across(across, classes), "across", round_)
         asked = across.select("a", "b").unionByName(_centre_pairs(across, pairs, classes, links))
-        asked = asked.distinct() if tried is None else asked.distinct().join(
-            tried, ["a", "b"], "left_anti"
-        )
-        asked = stored(asked, "asked")
-        new = stored(confirmed(asked, sets, rule), "links")
+        asked = asked.distinct()
+        if tried is not None:
+            asked = asked.join(tried, ["a", "b"], "left_anti")
+        asked = stored(asked, "asked", paths)
+        new = stored(confirmed(asked, sets, rule), "links", paths)
+        discard(spark, *left)
+        left = round_
         if new.isEmpty():
             break
         links = links.unionByName(new)
+        classes = components.connected(components.as_links(classes).unionByName(new), paths)
         tried = asked if tried is None else tried.unionByName(asked)
-    rest = stored(_rest(nodes, classes, rule), "rest")
-    ends = rest.select(F.col("a").alias("node")).union(rest.select("b")).distinct()
-    more = ends.join(sets.select("node"), "node", "left_anti")
-    more = _sets(docs, stored(more.join(nodes.select("node", "low"), "node"), "more"), rule)
-    new = confirmed(rest, sets.unionByName(stored(more, "sets")), rule)
-    edges = classes.selectExpr("node as a", "component as b")
-    classes = components.connected(edges.unionByName(new))
-    named_classes = copies.join(classes, "node", "left").select(
+    discard(spark, *left)
+    rest = stored(_rest(crowded, sets, classes, rule, paths), "rest", paths)
+    new = stored(confirmed(rest, sets, rule), "links", paths)
+    if new.isEmpty():
+        return classes
+    return components.connected(components.as_links(classes).unionByName(new), paths)
+
+
+def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each row of ``docs``."""
+    paths: list[str] = []
+    sketch = stored(sketches(docs, rule), "sketches", paths)
+    named = sketch.where("n_shingles > 0 and doc_id is not null")
+    nodes, given = _nodes(named, paths)
+    signed = (
+        named.join(nodes, ["doc_id", "low", "high"])
+        .select("node", "signature")
+        .dropDuplicates(["node"])
+    )
+    classes = _linked(docs, nodes, signed, given, rule, paths)
+    named_classes = nodes.join(classes, "node", "left").select(
         "low", "high", F.coalesce("component", "node").alias("class")
     )
-    return (
+    found = (
         sketch.select("doc_id", "n_shingles", "low", "high")
         .join(named_classes, ["low", "high"], "left")
         .select(
             "doc_id",
             "n_shingles",
-            F.expr("case when doc_id is not null then coalesce(class, doc_id) end").alias(
-                "component_id"
-            ),
+            F.expr(
+                "case when doc_id is null then null when n_shingles = 0 then doc_id"
+                " else coalesce(class, doc_id) end"
+            ).alias("component_id"),
         )
         .withColumn("kept", F.expr("doc_id <=> component_id"))
     )
+    found = stored(found, "near-duplicates")
+    discard(docs.sparkSession, *paths)
+    return found
 
 
 def drop_near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:

@@ -64,6 +64,18 @@ def test_null_and_repeated_ids(documents):
     )
 
 
+def test_each_text_of_a_repeated_id_is_searched(documents):
+    texts = [prose(40 + i, 90) for i in range(4)]
+    near = [edited(t, 9, 1) for t in texts]
+    # 5 joins what is near to any of its texts; 20 and 21 share one more text with each other.
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[2]), (9, texts[1]), (12, near[1]), (3, near[2]),
+            (30, near[0]), (20, texts[3]), (21, texts[3]), (20, prose(77, 50)), (5, "")]
+    found = {(r.doc_id, r.n_shingles > 0, r.component_id) for r in near_duplicates(documents(*rows)).collect()}
+    assert found == {(i, True, 3) for i in (3, 5, 9, 12, 30)} | {
+        (20, True, 20), (21, True, 20), (5, False, 5),
+    }
+
+
 def test_stage_keeps_one_of_each_group(documents):
     a = prose(1, 80)
     docs = documents((4, a), (2, a), (7, edited(a, 1, 1)), (8, prose(2, 80)), (None, a), (9, None))
@@ -108,8 +120,13 @@ def test_large_stars_around_one_origin(documents):
 
 
 def test_links_the_forest_does_not_see(documents, monkeypatch):
+    """The exact completion alone: no pairs from the forest, and all nodes crowded."""
     forest = near_dedup.candidates
-    monkeypatch.setattr(near_dedup, "candidates", lambda nodes: forest(nodes).where("false"))
+
+    def blind(nodes, paths):
+        return forest(nodes, paths)[0].where("false"), nodes.select("node")
+
+    monkeypatch.setattr(near_dedup, "candidates", blind)
     rows = [(i, prose(i, 60 + i)) for i in range(20)] + star(100, 30, 4, 160)
     rows += [(200 + i, edited(prose(7, 40), i, i)) for i in range(8)]
     rows += [(300, "one two"), (301, "a b c d e f g h i j"), (302, "a b c d e f g h i j k")]
