@@ -290,6 +290,37 @@ _QUERIES = {
     "daily_enriched_off_midnight": "select * from late_enriched",
     "pipeline_fct_daily": "select * from fct_daily",
     "pipeline_quality": "select * from fct_daily_quality",
+    "tables_by_name": """
+        select f.location_id, f.dates, any_value(f.temperature_2m_max) as temperature_2m_max,
+            any_value(l.location_name) as location_name, any_value(l.is_active) as is_active,
+            count(h.observed_at) as hours
+        from fct_daily f join dim_locations l on l.location_id = f.location_id
+            left join stg_hourly h on h.location_id = f.location_id and h.p_date = f.dates
+        group by f.location_id, f.dates""",
+    "guard_verdicts": """
+        select * from (values
+            ('locations as they are', 'pass'),
+            ('locations without two columns',
+                'location list lacks columns: [''state'', ''timezone'']'),
+            ('no location is active',
+                'no active location; set is_active to true in at least one row'),
+            ('batch without a key column', 'batch lacks columns: [''observed_at'']'),
+            ('batch with an unknown column', 'batch has columns the table lacks: [''sleet'']'),
+            ('partitioned by a metric',
+                'time column must be one of [''date'', ''observed_at''], not ''rain'''),
+            ('one bound of a range', 'give both start and end of a fixed range, or neither'),
+            ('series of equal length', 'pass'),
+            ('landing without files', 'no *.{json,jsonl,json.gz,jsonl.gz} file under')
+        ) as v(guarded, outcome)
+        union all select 'an active location without a place',
+            if(count(*) > 0, 'an active location lacks its latitude or longitude', 'pass')
+        from locations where state = 'R1' and lower(trim(is_active)) in ('true', '1', 'yes', 't')
+        union all select 'rows without a time', count(distinct location_id)
+            || ' rows have no observed_at; quarantine them first'
+        from bronze_hourly where rain > 1
+        union all select 'series one value short', 'series value has ' || (max(len(embedding)) - 1)
+            || ' values for ' || max(len(embedding)) || ' times'
+        from embeddings""",
     "partial_rebuild": "select * from fct_daily",
     "landing_incremental": _packed("stg_hourly", "observed_at", "observed_at", _METRICS),
     "quarantined_rows": _packed(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import date, datetime
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -321,6 +324,81 @@ def pipeline_quality(spark, sf_dir):
     return table.withColumn("completeness_score", F.col("completeness_score").cast("double"))
 
 
+def tables_by_name(spark, sf_dir):
+    """The run's tables in the catalog, one of them under another name, and a staging view, in SQL."""
+    warehouse = pipeline.Warehouse(
+        spark, scratch_path(spark, "warehouse"), {"fct_daily": "daily_canonical"}
+    )
+    seed = _write_locations(bridge.locations(spark, sf_dir), scratch_path(spark, "locations"))
+    for kind, rows in ((HOURLY, bridge.bronze_hourly), (DAILY, bridge.bronze_daily)):
+        load(rows(spark, sf_dir), warehouse.bronze(kind), kind)
+    pipeline.build_models(warehouse, seed, registered=True)
+    return spark.sql(
+        "select f.location_id, f.dates, f.temperature_2m_max, l.location_name, l.is_active,"
+        " count(h.observed_at) as hours"
+        " from gold.daily_canonical f join gold.dim_locations l on l.location_id = f.location_id"
+        " left join stg_hourly h on h.location_id = f.location_id and h.p_date = f.dates"
+        " group by all"
+    )
+
+
+def _outcome(guard) -> str:
+    """What a guard says: the error's text without paths, or that it let the rows pass."""
+    try:
+        guard()
+    except (ValueError, FileNotFoundError, PySparkException, Py4JJavaError) as error:
+        text = re.sub(r"(?s)^.*USER_RAISED_EXCEPTION\] ", "", str(error))
+        return re.sub(r"\s+SQLSTATE.*|\s+/\S+", "", text.split("\n")[0])
+    return "pass"
+
+
+def guard_verdicts(spark, sf_dir):
+    """What each guard says to the driver's tables as they are, and with one thing broken in them."""
+    places = bridge.locations(spark, sf_dir)
+    hourly = materialize(bridge.bronze_hourly(spark, sf_dir), "source")
+    vectors = bridge.table(spark, sf_dir, "embeddings")
+    table = scratch_path(spark, "table")
+    load(hourly, table, HOURLY)
+
+    def zipped(size: Column) -> Column:
+        values = {"value": F.slice(F.col("embedding").cast("array<double>"), F.lit(1), size)}
+        return zip_series(F.sequence(F.lit(1), F.size("embedding")), values)
+
+    def csv(rows: DataFrame) -> DataFrame:
+        return locations.read_locations(spark, _write_locations(rows, scratch_path(spark, "csv")))
+
+    unplaced = places.withColumn("latitude", F.expr("if(state = 'R1', null, latitude)"))
+    cases = {
+        "locations as they are": lambda: locations.active_locations(csv(places)),
+        "locations without two columns": lambda: csv(places.drop("state", "timezone")),
+        "no location is active": lambda: locations.active_locations(
+            places.withColumn("is_active", F.lit("no"))
+        ),
+        "an active location without a place": lambda: locations.active_locations(unplaced),
+        "batch without a key column": lambda: load(hourly.drop("observed_at"), table, HOURLY),
+        "batch with an unknown column": lambda: load(
+            hourly.withColumn("sleet", F.col("rain")), table, HOURLY
+        ),
+        "rows without a time": lambda: load(
+            hourly.withColumn("observed_at", F.expr("if(rain > 1, null, observed_at)")),
+            scratch_path(spark, "table"), HOURLY,
+        ),
+        "partitioned by a metric": lambda: write_partitioned(
+            hourly, scratch_path(spark, "partitioned"), "rain"
+        ),
+        "one bound of a range": lambda: resolve_range(date(2024, 1, 25), 7, start="2024-01-01"),
+        "series of equal length": lambda: vectors.select(
+            F.inline(zipped(F.size("embedding")))
+        ).count(),
+        "series one value short": lambda: vectors.select(
+            F.max(F.size(zipped(F.size("embedding") - 1)))
+        ).collect(),
+        "landing without files": lambda: read_landing(spark, table),
+    }
+    found = [(case, _outcome(guard)) for case, guard in cases.items()]
+    return spark.createDataFrame(found, "guarded string, outcome string")
+
+
 def partial_rebuild(spark, sf_dir):
     """Half the locations loaded and built, then the rest, then only the days that they touch."""
     warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"))
@@ -610,6 +688,8 @@ QUERIES = {
         locations_csv,
         pipeline_fct_daily,
         pipeline_quality,
+        tables_by_name,
+        guard_verdicts,
         partial_rebuild,
         load_beside_reader,
         rollup_incremental,
