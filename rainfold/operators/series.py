@@ -69,14 +69,14 @@ def split_unparsable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where(usable), rows.where(~usable)
 
 
-def pack_series(rows: DataFrame, kind: Readings) -> DataFrame:
+def pack_series(rows: DataFrame, kind: Readings, unique: bool = False) -> DataFrame:
     """Rows to one block of parallel arrays per location and calendar month, in time order.
 
     The newest row per key goes in, so the month bounds the array length: neither copies of a
-    key nor a location with a long history make a group grow. Rows that are already unique by
-    key keep their partitioning and are not shuffled again for it.
+    key nor a location with a long history make a group grow. Rows that are ``unique`` by key
+    already are not looked through for copies again.
     """
-    rows = latest_by_key(rows, kind.keys)
+    rows = rows if unique else latest_by_key(rows, kind.keys)
     month = F.trunc("p_date", "month")
     time_format = "yyyy-MM-dd" if kind.block == "daily" else "yyyy-MM-dd'T'HH:mm"
     entry = F.struct(
@@ -93,15 +93,17 @@ def pack_series(rows: DataFrame, kind: Readings) -> DataFrame:
 
 
 def landing_records(
-    hourly: DataFrame, daily: DataFrame, locations: DataFrame, stamped_now: bool = False
-) -> DataFrame:
+    hourly: DataFrame, daily: DataFrame, locations: DataFrame, stamped_now: bool = False,
+    unique: bool = False,
+) -> DataFrame:
     """Landing documents from hourly and daily rows, one per location and month.
 
     A document has one ingestion stamp: the newest of the rows it holds, or the present moment
-    with ``stamped_now``, as for documents that are fetched just now.
+    with ``stamped_now``, as for documents that are fetched just now. ``unique`` says that both hold
+    each key once.
     """
-    blocks = pack_series(hourly, HOURLY).alias("h").join(
-        pack_series(daily, DAILY).alias("d"), ["location_id", "month"], "full"
+    blocks = pack_series(hourly, HOURLY, unique).alias("h").join(
+        pack_series(daily, DAILY, unique).alias("d"), ["location_id", "month"], "full"
     )
     described = blocks.join(locations, "location_id", "left")
     start = F.date_format("month", "yyyy-MM-dd")

@@ -1,13 +1,13 @@
 """Partitioned tables and the three load modes.
 
 Tables are snapshots of Parquet folders (``snapshots``). A partition date is a function of the key, so
-an upsert only rewrites the dates its batch touches.
+an upsert only rewrites the dates on which its batch has keys of stored rows, and adds to others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace as changed
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +25,8 @@ from rainfold.session import hadoop_path, prepare, remove, scratch_path
 
 PARTITION = "p_date"
 MODES = ("replace", "append", "upsert")
+# Fixed value: an upsert writes a date as one load again that has been added to this often.
+MOST_LOADS = 8
 _IN_BATCH = "_in_batch"
 
 
@@ -159,7 +161,8 @@ class LoadReport:
 class Change:
     """A load that is written but not yet seen by readers.
 
-    ``staged`` is the deduplicated batch; it and ``held`` last until ``finish``.
+    ``staged`` is the deduplicated batch, which may be the load itself; it and ``held`` last until
+    ``finish``.
     """
 
     spark: SparkSession
@@ -210,12 +213,45 @@ def prepare_load(
     spark = prepare(batch.sparkSession)
     known = snapshots.current(spark, path)
     schema = _grown(known.schema if known else kind.schema, batch.schema, grow)
-    stage = scratch_path(spark, "stage")
-    try:
-        return _prepare_staged(spark, batch, path, kind, mode, schema, stage)
-    except BaseException:
-        remove(spark, stage)
-        raise
+    by_date = _rows_by_date(batch, kind)
+    read = sum(by_date.values())
+    if not read:
+        return Change(spark, path, kind, LoadReport(mode, 0, 0))
+    before = snapshots.swept(spark, path, ensure_table(spark, path, kind))
+    if mode != "replace":
+        _require_key(spark, path, before, kind)
+        if before.parts(PARTITION, by_date):
+            stage = scratch_path(spark, "stage")
+            try:
+                return _prepare_staged(
+                    spark, batch, path, kind, mode, schema, stage, before, by_date
+                )
+            except BaseException:
+                remove(spark, stage)
+                raise
+    # No stored row stays on the batch's days, so its rows are written once, as what they will be.
+    name, written = snapshots.write_load(
+        spread_by_date(_full_width(_newest(batch, kind), schema)), path, PARTITION
+    )
+    replaced = list(before.live) if mode == "replace" else []
+    after = snapshots.with_load(before, name, written, replaced, schema=schema, keys=list(kind.keys))
+    loaded = read_snapshot(spark, path, changed(after, live=dict.fromkeys(written, [name])))
+    # Days that only the old table has lose their rows, so their models change too.
+    dates = DateSet(frozenset([*by_date, *(_days(before) if mode == "replace" else ())]))
+    report = LoadReport(mode, read, loaded.count(), dates)
+    return Change(spark, path, kind, report, loaded, before, after)
+
+
+def _rows_by_date(batch: DataFrame, kind: Readings) -> dict[date, int]:
+    """Rows of each day of a batch, repeats of a key included. They are counted in a job of its own:
+    what a task observes is counted again when the task is."""
+    times = with_partition_date(batch.select(*kind.keys), kind)
+    counted = times.groupBy(PARTITION).agg(F.count("*").alias("n")).collect()
+    by_date = {r[PARTITION]: r["n"] for r in counted}
+    if None in by_date:
+        timeless = times.where(F.col(PARTITION).isNull()).select(*kind.keys).distinct().count()
+        raise ValueError(f"{timeless} rows have no {kind.time_column}; quarantine them first")
+    return by_date
 
 
 def _grown(schema: T.StructType, batch: T.StructType, grow: bool) -> T.StructType:
@@ -233,44 +269,40 @@ def _grown(schema: T.StructType, batch: T.StructType, grow: bool) -> T.StructTyp
 
 def _prepare_staged(
     spark: SparkSession, batch: DataFrame, path: str, kind: Readings, mode: str,
-    schema: T.StructType, stage: str,
+    schema: T.StructType, stage: str, before: Snapshot, by_date: dict[date, int],
 ) -> Change:
+    """A load of days that the table has rows of."""
     staged = _stage(batch, kind, stage)
-    by_date = {
-        r[PARTITION]: r["n"]
-        for r in staged.groupBy(PARTITION).agg(F.count("*").alias("n")).collect()
-    }
-    if None in by_date:
-        raise ValueError(f"{by_date[None]} rows have no {kind.time_column}; quarantine them first")
-    # A count of its own: what a task observes is counted again when the task is.
-    read, rows = batch.count(), sum(by_date.values())
-    if not rows:
-        return Change(spark, path, kind, LoadReport(mode, read, 0), held=(stage,))
-    dates = DateSet(frozenset(by_date))
-    before = snapshots.swept(spark, path, ensure_table(spark, path, kind))
     touched = before.parts(PARTITION, by_date)
-    if mode == "replace":
-        # Days that only the old table has lose their rows, so their models change too.
-        dates |= DateSet(frozenset(_days(before)))
-        content, replaced = staged, list(before.live)
+    # The touched days' folders are all that is read before anything is joined.
+    current = read_snapshot(spark, path, before, touched)
+    if mode == "append":
+        _refuse_known_keys(staged, current, path, kind)
+        rewritten = []
     else:
-        _require_key(spark, path, before, kind)
-        # The touched days' folders are all that is read before anything is joined.
-        current = read_snapshot(spark, path, before, touched)
-        if not touched or mode == "append":
-            # An append adds folders; no stored row can share a key with a batch of new days.
-            if touched:
-                _refuse_known_keys(staged, current, path, kind)
-            content, replaced = staged, []
-        else:
-            content, replaced = _merged(staged, current, kind, schema), touched
+        known = before.parts(PARTITION, _days_of_known_keys(staged, current, kind))
+        rewritten = [p for p in touched if p in known or len(before.live[p]) >= MOST_LOADS]
+    # Days on which no stored row changes get a folder more; no stored row of theirs is moved.
+    content = staged
+    if rewritten:
+        content = _merged(staged, read_snapshot(spark, path, before, rewritten), kind, schema)
     name, written = snapshots.write_load(
         spread_by_date(_full_width(content, schema)), path, PARTITION
     )
-    after = snapshots.with_load(before, name, written, replaced, schema=schema, keys=list(kind.keys))
-    return Change(
-        spark, path, kind, LoadReport(mode, read, rows, dates), staged, before, after, (stage,)
+    after = snapshots.with_load(
+        before, name, written, rewritten, schema=schema, keys=list(kind.keys)
+    )
+    report = LoadReport(
+        mode, sum(by_date.values()), staged.count(), DateSet(frozenset(by_date))
     )
+    return Change(spark, path, kind, report, staged, before, after, (stage,))
+
+
+def _days_of_known_keys(staged: DataFrame, current: DataFrame, kind: Readings) -> list[date]:
+    """The days on which the batch has a key that the table has, from the keys alone."""
+    keys = list(kind.keys)
+    known = current.select(*keys, PARTITION).join(staged.select(*keys), keys, "left_semi")
+    return [row[PARTITION] for row in known.select(PARTITION).distinct().collect()]
 
 
 def _days(snapshot: Snapshot) -> list[date]:
@@ -284,10 +316,14 @@ def _require_key(spark: SparkSession, path: str, before: Snapshot, kind: Reading
         require_unique(read_snapshot(spark, path, before), kind.keys, f"table {path}")
 
 
+def _newest(batch: DataFrame, kind: Readings) -> DataFrame:
+    keyed = latest_by_key(batch.drop(PARTITION), kind.keys, newest_first=["ingested_at"])
+    return with_partition_date(keyed, kind)
+
+
 def _stage(batch: DataFrame, kind: Readings, path: str) -> DataFrame:
     """The deduplicated batch as a table in the shared folder."""
-    keyed = latest_by_key(batch.drop(PARTITION), kind.keys, newest_first=["ingested_at"])
-    dated = with_partition_date(keyed, kind)
+    dated = _newest(batch, kind)
     dated.write.parquet(path)
     return batch.sparkSession.read.schema(dated.schema).parquet(path)
 

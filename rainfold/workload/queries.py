@@ -189,11 +189,13 @@ def json_props(spark, sf_dir):
     return parsed.select("event_id", "parsed.k", F.to_json("parsed").alias("json"))
 
 
-def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _records(spark: SparkSession, sf_dir: str, places: str = "true") -> DataFrame:
+    """Landing documents of some locations, which are chosen before anything is packed or joined."""
     return landing_records(
-        _hourly(spark, sf_dir),
-        _daily(spark, sf_dir).withColumnRenamed("dates", "date"),
+        _hourly(spark, sf_dir).where(places),
+        _daily(spark, sf_dir).withColumnRenamed("dates", "date").where(places),
         bridge.locations(spark, sf_dir),
+        unique=True,
     )
 
 
@@ -219,11 +221,12 @@ def landing_incremental(spark, sf_dir):
     """Documents in two deliveries, of which the later one's files bear an older time."""
     folder = scratch_path(spark, "landing")
     warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"))
-    records = _records(spark, sf_dir)
-    second = F.expr("pmod(hash(location_id), 2) = 1")
-    write_landing(records.where(~second), folder, "2024-01-01", "2024-06-30")
+    first, second = (
+        _records(spark, sf_dir, f"pmod(hash(location_id), 2) = {half}") for half in (0, 1)
+    )
+    write_landing(first, folder, "2024-01-01", "2024-06-30")
     load_new_landing(warehouse, folder)
-    late = write_landing(records.where(second), folder, "2024-07-01", "2024-12-31")
+    late = write_landing(second, folder, "2024-07-01", "2024-12-31")
     at, files = hadoop_path(spark, late)
     for file in files.listStatus(at):
         # Four hundred days back, in milliseconds.

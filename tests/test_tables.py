@@ -303,3 +303,31 @@ def test_replace_names_old_days_too_and_rebuilds_drop_empty_days(spark, path):
     write_table(hourly_rows(spark, row(1, 1.0), row(1, 2.0, day=2)), target, "p_date")
     now = tables.read_bronze(spark, path, HOURLY)
     assert records(write_table(now, target, "p_date", report.dates), "rain") == [(3.0,)]
+
+
+def test_an_upsert_moves_stored_rows_only_where_it_overwrites_some(spark, path, monkeypatch):
+    load(hourly_rows(spark, row(1, 1.0), row(1, 2.0, day=2), row(1, 3.0, day=3)), path, HOURLY)
+    before = current(spark, path).live
+    new = [row(2, 4.0), row(1, 9.0, day=2), row(2, 5.0, day=2), row(1, 6.0, day=3, location_id=None)]
+    report = load(hourly_rows(spark, *new, row(2, 0.0, ingested_at="2023-01-01")), path, HOURLY)
+    assert (report.rows_read, report.rows_loaded, len(report.dates.days)) == (5, 4, 3)
+    after = current(spark, path).live
+    kept = {part[-2:]: after[part][0] == before[part][0] for part in before}
+    assert kept == {"01": True, "02": False, "03": True}
+    assert sorted(len(loads) for loads in after.values()) == [1, 2, 2]
+    assert contents(spark, path, "rain") == [(1.0,), (3.0,), (4.0,), (5.0,), (6.0,), (9.0,)]
+    monkeypatch.setattr(tables, "MOST_LOADS", 2)
+    load(hourly_rows(spark, row(5, 7.0)).select(*HOURLY.keys, "rain"), path, HOURLY)
+    assert len(current(spark, path).live["p_date=2024-01-01"]) == 1
+    assert contents(spark, path, "rain")[:3] == [(1.0,), (3.0,), (4.0,)]
+    assert read_bronze(spark, path, HOURLY).count() == 7
+
+
+def test_a_load_of_new_days_is_written_once(spark, path, monkeypatch):
+    monkeypatch.setattr(tables, "_stage", None)
+    load(hourly_rows(spark, row(1, 1.0), row(1, 2.0)), path, HOURLY)
+    load(hourly_rows(spark, row(1, 3.0, day=2)).select(*HOURLY.keys, "rain"), path, HOURLY, "append")
+    load(hourly_rows(spark, row(1, 4.0, day=3)), path, HOURLY, "upsert")
+    assert read_bronze(spark, path, HOURLY).count() == 3
+    load(hourly_rows(spark, row(1, 5.0), row(1, 6.0)), path, HOURLY, "replace")
+    assert read_bronze(spark, path, HOURLY).count() == 1
