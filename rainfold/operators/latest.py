@@ -30,6 +30,17 @@ def latest_by_key(
     return df.selectExpr("*", f"{rank} as {_RANK}").where(f"{_RANK} = 1").drop(_RANK)
 
 
+def latest_of_loaded(df: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """``latest_by_key`` for rows of a table that loads made.
+
+    They hold each key once, but for keys with a null part: these never match, so each load may have
+    added one. Only such rows are shuffled.
+    """
+    keys = list(keys)
+    whole = " and ".join(f"`{name}` is not null" for name in keys)
+    return df.where(whole).unionAll(latest_by_key(df.where(f"not ({whole})"), keys))
+
+
 def _listed(names: Iterable[str]) -> str:
     return ", ".join(f"`{name}`" for name in names)
 

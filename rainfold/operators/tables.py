@@ -38,8 +38,12 @@ def spread_by_date(df: DataFrame, column: str = PARTITION) -> DataFrame:
     writer sorts by date anyway; with the location added, file statistics let a reader skip
     most of a date when it asks for one location.
     """
+    return _sorted_by_date(df.hint("rebalance", column), column)
+
+
+def _sorted_by_date(df: DataFrame, column: str) -> DataFrame:
     order = [c for c in (column, "location_id") if c in df.columns]
-    return df.hint("rebalance", column).sortWithinPartitions(*order)
+    return df.sortWithinPartitions(*order)
 
 
 def write_partitioned(rows: DataFrame, path: str, time_column: str) -> None:
@@ -59,13 +63,17 @@ def write_table(
     path: str,
     partition: str | None = None,
     dates: DateRange | DateSet | None = None,
+    stored_by_date: bool = False,
 ) -> DataFrame:
     """Rebuild a table, or with ``dates`` only its partitions of those days, and read it back.
 
     ``df`` must hold nothing outside ``dates``. A day of them that has no rows any more loses its
-    partition. Readers see the whole rebuild or the table as it was.
+    partition. Readers see the whole rebuild or the table as it was. With ``stored_by_date`` the rows
+    come from files of one day each without a shuffle: every task has few days as they are.
     """
-    spread = spread_by_date(df, partition) if partition else df
+    spread = df
+    if partition:
+        spread = (_sorted_by_date if stored_by_date else spread_by_date)(df, partition)
     after = snapshots.replace_table(spread, path, partition, dates.days if dates else None)
     return read_snapshot(df.sparkSession, path, after).select(*df.columns)
 
@@ -80,6 +88,12 @@ def read_bronze(spark: SparkSession, path: str, kind: Readings) -> DataFrame:
     return spark.read.schema(kind.schema).parquet(path)
 
 
+def holds_keys_once(spark: SparkSession, path: str, kind: Readings) -> bool:
+    """Whether loads made the table, which keep its key unique; see ``latest_of_loaded``."""
+    found = snapshots.current(spark, path)
+    return found is not None and found.keys == list(kind.keys)
+
+
 def ensure_table(spark: SparkSession, path: str, kind: Readings) -> Snapshot:
     """Create an empty table unless there is one; what the table holds."""
     found = snapshots.current(spark, path)

@@ -22,9 +22,11 @@ from rainfold.operators.series import explode_series, split_unparsable
 from rainfold.operators.snapshots import read_table
 from rainfold.operators.tables import (
     LoadReport,
+    holds_keys_once,
     load,
     read_bronze,
     register,
+    spread_by_date,
     write_partitioned,
     write_table,
 )
@@ -191,18 +193,23 @@ def model_tables(
     save,
     dates: DateRange | DateSet | None = None,
     held: list[str] | None = None,
+    loaded: tuple[Readings, ...] = (),
 ) -> dict[str, DataFrame]:
     """All models by name. ``save(name, df)`` materializes a table and returns what to read.
 
     The hourly table is saved before the rollup reads it. Rollup and feed are paired once, and
-    every daily table is a projection of the pairs.
+    every daily table is a projection of the pairs, which are stored by day: that is the one shuffle
+    by date for all of them. ``loaded`` names the kinds whose rows come from a table that loads made.
     """
-    staged_hourly, staged_daily = stg_hourly(hourly, dates), stg_daily(daily, dates)
+    staged_hourly = stg_hourly(hourly, dates, HOURLY in loaded)
+    staged_daily = stg_daily(daily, dates, DAILY in loaded)
     enriched = save("hourly_enriched", hourly_enriched(staged_hourly))
     if dates is not None:
         enriched = enriched.where(dates.covers(F.col("p_date")))
-    rollup = materialize(roll_up_to_days(enriched), "rollup", held)
-    pairs = materialize(pair_daily(staged_daily, rollup), "pairs", held)
+    rollup = spread_by_date(roll_up_to_days(enriched), "dates")
+    rollup = materialize(rollup, "rollup", held, by="dates")
+    pairs = spread_by_date(pair_daily(staged_daily, rollup), "day")
+    pairs = materialize(pairs, "pairs", held, by="day")
     fed = pairs.where("in_feed")
     tables = {
         "daily_enriched": daily_enriched(pairs),
@@ -243,10 +250,14 @@ def build_models(
     spark = prepare(warehouse.spark)
     notes = _pending_notes(warehouse)
 
+    loaded = tuple(k for k in KINDS if holds_keys_once(spark, warehouse.bronze(k), k))
+
     def save(name: str, df: DataFrame) -> DataFrame:
         layer, partition = TABLES[name]
         path = warehouse.path(layer, name)
-        table = write_table(df, path, partition, dates if partition else None)
+        # Loaded readings and pairs are stored by date; readings of other making are shuffled.
+        stored = name != "hourly_enriched" or HOURLY in loaded
+        table = write_table(df, path, partition, dates if partition else None, stored)
         if registered:
             days = dates.days if dates else None
             register(spark, layer, warehouse.aliases.get(name, name), path, partition, days)
@@ -255,12 +266,15 @@ def build_models(
         return table
 
     hourly, daily = (read_bronze(spark, warehouse.bronze(kind), kind) for kind in KINDS)
-    models = model_tables(hourly, daily, read_locations(spark, locations_csv), save, dates, held)
+    models = model_tables(
+        hourly, daily, read_locations(spark, locations_csv), save, dates, held, loaded
+    )
     if registered:
-        stg_hourly(hourly).createOrReplaceTempView(
-            warehouse.aliases.get("stg_hourly", "stg_hourly")
-        )
-        stg_daily(daily).createOrReplaceTempView(warehouse.aliases.get("stg_daily", "stg_daily"))
+        for name, staged in (
+            ("stg_hourly", stg_hourly(hourly, loaded=HOURLY in loaded)),
+            ("stg_daily", stg_daily(daily, loaded=DAILY in loaded)),
+        ):
+            staged.createOrReplaceTempView(warehouse.aliases.get(name, name))
     _clear_pending(warehouse, notes, dates)
     return models
 

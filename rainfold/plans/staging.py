@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rainfold.functions.dates import DateRange
-from rainfold.operators.latest import latest_by_key
+from rainfold.operators.latest import latest_by_key, latest_of_loaded
 from rainfold.schemas import DAILY, HOURLY, Readings
 
 
@@ -32,11 +32,17 @@ def typed(bronze: DataFrame, kind: Readings, dates: DateRange | None = None) ->
     )
 
 
-def stg_hourly(bronze: DataFrame, dates: DateRange | None = None) -> DataFrame:
-    """One row per (location_id, observed_at)."""
-    return latest_by_key(typed(bronze, HOURLY, dates), ["location_id", "observed_at"])
+def stg_hourly(
+    bronze: DataFrame, dates: DateRange | None = None, loaded: bool = False
+) -> DataFrame:
+    """One row per (location_id, observed_at); ``loaded`` says that loads made the table."""
+    newest = latest_of_loaded if loaded else latest_by_key
+    return newest(typed(bronze, HOURLY, dates), ["location_id", "observed_at"])
 
 
-def stg_daily(bronze: DataFrame, dates: DateRange | None = None) -> DataFrame:
-    """One row per (location_id, dates)."""
-    return latest_by_key(typed(bronze, DAILY, dates), ["location_id", "dates"])
+def stg_daily(
+    bronze: DataFrame, dates: DateRange | None = None, loaded: bool = False
+) -> DataFrame:
+    """One row per (location_id, dates); ``loaded`` says that loads made the table."""
+    newest = latest_of_loaded if loaded else latest_by_key
+    return newest(typed(bronze, DAILY, dates), ["location_id", "dates"])

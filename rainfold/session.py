@@ -50,17 +50,20 @@ def remove(spark: SparkSession, *paths: str) -> None:
         files.delete(at, True)
 
 
-def materialize(df: DataFrame, name: str, held: list[str] | None = None) -> DataFrame:
+def materialize(
+    df: DataFrame, name: str, held: list[str] | None = None, by: str | None = None
+) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several outputs need the same rows: it survives lost executors and, unlike a
-    cache, takes no executor memory. The path is added to ``held`` for its later removal.
+    cache, takes no executor memory. The path is added to ``held`` for its later removal. ``by`` names
+    a column whose values get a folder each.
     """
     path = scratch_path(df.sparkSession, name)
     if held is not None:
         held.append(path)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*[by] if by else []).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def concurrently(spark: SparkSession, jobs: dict[str, Callable[[], T]]) -> dict[str, T]:

@@ -75,3 +75,14 @@ def test_daily_dedup(spark):
         {"date": "2024-01-01", "ingested_at": "2024-01-03", "rain_sum": 2.0},
     )
     assert records(stg_daily(rows), "rain_sum") == [(2.0,)]
+
+
+def test_loaded_rows_are_looked_through_for_copies_without_a_whole_key_only(spark):
+    nameless = {"observed_at": "2024-01-01T02:00", "location_id": None}
+    rows = hourly_rows(
+        spark, {"observed_at": "2024-01-01T01:00", "rain": 1.0},
+        nameless | {"rain": 2.0, "ingested_at": "2024-02-02"},
+        nameless | {"rain": 3.0, "ingested_at": "2024-02-03"},
+    )
+    assert records(stg_hourly(rows, loaded=True), "rain") == [(1.0,), (3.0,)]
+    assert records(stg_hourly(rows, loaded=True)) == records(stg_hourly(rows))

@@ -171,3 +171,30 @@ def test_daily_only_and_hourly_only_documents(place):
     assert records(place.read("gold", "fct_daily"), "dates", "temperature_source") == [
         (date(2024, 1, 1), "api_daily"), (date(2024, 1, 2), "hourly_derived")]
     assert DAILY.keys == ("location_id", "date")
+
+
+def test_daily_tables_are_written_from_pairs_stored_by_day(place, spark, monkeypatch):
+    """Only what is not stored by date is shuffled by date: the rollup and the pairs."""
+    place.land("one.jsonl", document(), document("b", day=2), document(day=3))
+    pipeline.flatten_landing(place.warehouse, str(place.landing))
+    pipeline.load_bronze(place.warehouse)
+    written = {}
+
+    def write(df, path, partition=None, dates=None, stored_by_date=False):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        # What is left is the dedup of rows without a location.
+        exchanges = text.count("Exchange hashpartitioning") + text.count("Exchange rebalance")
+        written[path.split("/")[-1]] = exchanges, stored_by_date
+        return write_table(df, path, partition, dates, stored_by_date)
+
+    write_table = pipeline.write_table
+    monkeypatch.setattr(pipeline, "write_table", write)
+    pipeline.build_models(place.warehouse, str(place.seed))
+    daily = {name: found for name, found in written.items() if name != "hourly_enriched"}
+    assert set(daily.values()) == {(0, True)}
+    assert written["hourly_enriched"] == (1, True)
+    for name, (layer, partition) in pipeline.TABLES.items():
+        if partition:
+            table = place.read(layer, name)
+            files = [f.split(f"{partition}=")[1].split("/")[0] for f in table.inputFiles()]
+            assert len(files) == len(set(files)) == 3
