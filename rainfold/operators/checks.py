@@ -135,17 +135,18 @@ def failures_by_date(rows: DataFrame, partition: str, checks: Iterable[Check]) -
         )
         stacked = f"stack({len(row_checks)}, {entries}) as (`table`, `check`, failures)"
         found.append(counts.selectExpr(stacked, partition))
+    # Tables that are checked on the same rows have their keys counted once.
+    by_key: dict[tuple, list[Check]] = {}
     for check in checks:
         if check.counts_keys:
-            kept = rows.dropna(subset=list(check.columns)) if check.kind == UNIQUE else rows
-            keys = dict.fromkeys([partition, *check.columns])
-            repeats = repeated_keys(kept, keys).groupBy(partition).agg(F.count("*").alias("failures"))
-            found.append(
-                repeats.selectExpr(
-                    f"{_quoted(check.table)} as `table`", f"{_quoted(check.name)} as `check`",
-                    "failures", partition,
-                )
-            )
+            by_key.setdefault((check.kind, check.columns), []).append(check)
+    for (kind, columns), same in by_key.items():
+        kept = rows.dropna(subset=list(columns)) if kind == UNIQUE else rows
+        keys = dict.fromkeys([partition, *columns])
+        repeats = repeated_keys(kept, keys).groupBy(partition).agg(F.count("*").alias("failures"))
+        entries = ", ".join(f"{_quoted(check.table)}, {_quoted(check.name)}" for check in same)
+        stacked = f"stack({len(same)}, {entries}) as (`table`, `check`)"
+        found.append(repeats.selectExpr(stacked, "failures", partition))
     return reduce(DataFrame.unionByName, found)
 
 

@@ -294,25 +294,35 @@ def check_models(warehouse: Warehouse) -> tuple[DataFrame, dict[str, set[date |
 
     Failures are stored by check and date; only dates that changed since the last call are read. The
     staged readings are checked on the tables that hold them. A table without dates is checked whole.
+    Tables are checked side by side.
     """
     spark = prepare(warehouse.spark)
     checks = declared_checks()
-    looked_at, states = {}, []
-    for name, (layer, partition) in TABLES.items():
-        path = warehouse.path(layer, name)
-        tables, columns = _CHECKED_AS.get(name, ((name,), {}))
-        own = [check for check in checks if check.table in tables]
-        if partition is None:
-            states.append(run_checks({name: read_table(spark, path)}, own))
-            continue
+    own = {
+        name: [check for check in checks if check.table in _CHECKED_AS.get(name, ((name,),))[0]]
+        for name in TABLES
+    }
+
+    def state(name: str) -> str:
+        return warehouse.path("checks", f"failures_{name}")
+
+    def followed(name: str) -> set[date | None]:
+        layer, partition = TABLES[name]
+        columns = _CHECKED_AS.get(name, ((), {}))[1]
 
         def failures(rows: DataFrame) -> DataFrame:
             added = {new: F.col(old) for new, old in columns.items()}
-            return failures_by_date(rows.withColumns(added), partition, own)
+            return failures_by_date(rows.withColumns(added), partition, own[name])
+
+        return follow(spark, warehouse.path(layer, name), state(name), partition, failures)
 
-        state = warehouse.path("checks", f"failures_{name}")
-        looked_at[name] = follow(spark, path, state, partition, failures)
-        states.append(read_table(spark, state))
+    dated = [name for name, (_, partition) in TABLES.items() if partition]
+    looked_at = concurrently(spark, {name: partial(followed, name) for name in dated})
+    states = [
+        read_table(spark, state(name)) if name in looked_at
+        else run_checks({name: read_table(spark, warehouse.path(layer, name))}, own[name])
+        for name, (layer, _) in TABLES.items()
+    ]
     return report_of(spark, states, checks), looked_at
 
 

@@ -84,3 +84,12 @@ def test_empty_source_is_an_error(spark):
     empty = hourly_rows(spark, {"observed_at": "2024-01-01"}).limit(0)
     assert records(freshness({"s": empty}, datetime(2024, 1, 1)), "max_loaded_at", "status") == [
         (None, "error")]
+
+
+def test_keys_of_tables_that_share_rows_are_counted_once(spark):
+    rows = hourly_rows(spark, *[{"observed_at": "2024-01-01T01:00"}] * 2, {"observed_at": "2024-01-02"})
+    keys = ("location_id", "observed_at")
+    declared = [Check(table, c.UNIQUE_COMBINATION, keys) for table in ("stored", "staged")]
+    found = c.failures_by_date(rows, "p_date", declared)
+    assert records(found, "table", "failures") == [("staged", 1), ("stored", 1)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("count(1)") == 2
