@@ -67,8 +67,8 @@ def write_table(
 ) -> DataFrame:
     """Rebuild a table, or with ``dates`` only its partitions of those days, and read it back.
 
-    ``df`` must hold nothing outside ``dates``. A day of them that has no rows any more loses its
-    partition. Readers see the whole rebuild or the table as it was. With ``stored_by_date`` the rows
+    A day of ``dates`` that has no rows any more loses its partition; rows of ``df`` on other days are
+    added to what these have. Readers see the whole rebuild or the table as it was. With ``stored_by_date`` the rows
     come from files of one day each without a shuffle: every task has few days as they are.
     """
     spread = df

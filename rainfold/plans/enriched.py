@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rainfold.functions.bands import band_columns, flag_columns
 from rainfold.schemas import DAILY_METRICS
@@ -35,17 +36,34 @@ def hourly_enriched(staged: DataFrame) -> DataFrame:
     return staged.select("*", *band_columns(), *flag_columns())
 
 
-def pair_daily(daily: DataFrame, rollup: DataFrame, how: str = "full") -> DataFrame:
+def pair_daily(
+    daily: DataFrame, rollup: DataFrame, how: str = "full", marked: bool = False
+) -> DataFrame:
     """The daily feed and the rollup side by side, matched on location and day.
 
     Every daily table is a projection of this one join. ``day`` is the date of either side,
-    ``dates`` the feed's own timestamp, and ``in_feed`` marks rows the feed has.
+    ``dates`` the feed's own timestamp, and ``in_feed`` marks rows the feed has. With ``marked`` there is
+    what ``rollup_of_pairs`` needs; it takes no shuffle of its own, since the join groups alike.
     """
     feed = daily.withColumnsRenamed(_LINEAGE).selectExpr(
         "*", "to_date(dates) as day", "true as in_feed"
     )
     hours = rollup.withColumnRenamed("dates", "day")
-    return feed.join(hours, ["location_id", "day"], how)
+    if not marked:
+        return feed.join(hours, ["location_id", "day"], how)
+    first = "row_number() over (partition by location_id, day order by dates) = 1 as first_of_day"
+    pairs = feed.selectExpr("*", first).join(
+        hours.selectExpr("*", "true as in_hours"), ["location_id", "day"], how
+    )
+    in_rollup = F.expr("in_hours is not null and coalesce(first_of_day, true)")
+    return pairs.withColumn("in_rollup", in_rollup).drop("first_of_day", "in_hours")
+
+
+def rollup_of_pairs(pairs: DataFrame) -> DataFrame:
+    """The rollup that marked pairs were made of, each of its rows once, however many rows of the feed
+    it is paired with."""
+    kept = pairs.where("in_rollup").withColumn("dates", F.col("day"))
+    return kept.select("location_id", "dates", *_FROM_HOURLY)
 
 
 # SQL: the feed's row bears its day at midnight, as the rollup does; only such rows compare.

@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainfold.functions.dates import DateRange, DateSet, resolve_range
+from rainfold.operators import snapshots
 from rainfold.operators.checks import failures_by_date, freshness, report_of, run_checks
 from rainfold.operators.derived import follow
 from rainfold.operators.open_series import explode_open, open_variables as variables_of
 from rainfold.operators.rollup import roll_up_to_days
 from rainfold.operators.series import explode_series, split_unparsable
-from rainfold.operators.snapshots import read_table
+from rainfold.operators.snapshots import Snapshot, read_snapshot, read_table
 from rainfold.operators.tables import (
     LoadReport,
     holds_keys_once,
@@ -30,8 +31,14 @@ from rainfold.operators.tables import (
     write_partitioned,
     write_table,
 )
+from rainfold.plans.additions import Tables, days_to_add, note_built
 from rainfold.plans.declared_checks import declared_checks
-from rainfold.plans.enriched import daily_enriched, hourly_enriched, pair_daily
+from rainfold.plans.enriched import (
+    daily_enriched,
+    hourly_enriched,
+    pair_daily,
+    rollup_of_pairs,
+)
 from rainfold.plans.facts import (
     dim_locations,
     fct_daily,
@@ -197,36 +204,39 @@ def model_tables(
 ) -> dict[str, DataFrame]:
     """All models by name. ``save(name, df)`` materializes a table and returns what to read.
 
-    The hourly table is saved before the rollup reads it. Rollup and feed are paired once, and
-    every daily table is a projection of the pairs, which are stored by day: that is the one shuffle
-    by date for all of them. ``loaded`` names the kinds whose rows come from a table that loads made.
+    The rollup reads the hourly table as it was saved, or rows that loads made where they lie. Rollup
+    and feed are paired once, and every daily table is a projection of the pairs, which are stored by
+    day: that is the one shuffle by date for all of them. ``loaded`` names the kinds whose rows come
+    from a table that loads made.
     """
     staged_hourly = stg_hourly(hourly, dates, HOURLY in loaded)
     staged_daily = stg_daily(daily, dates, DAILY in loaded)
     enriched = save("hourly_enriched", hourly_enriched(staged_hourly))
     if dates is not None:
         enriched = enriched.where(dates.covers(F.col("p_date")))
-    rollup = spread_by_date(roll_up_to_days(enriched), "dates")
-    rollup = materialize(rollup, "rollup", held, by="dates")
-    pairs = spread_by_date(pair_daily(staged_daily, rollup), "day")
+    rollup = roll_up_to_days(staged_hourly if HOURLY in loaded else enriched)
+    pairs = spread_by_date(pair_daily(staged_daily, rollup, marked=True), "day")
     pairs = materialize(pairs, "pairs", held, by="day")
     fed = pairs.where("in_feed")
     tables = {
         "daily_enriched": daily_enriched(pairs),
         "dim_locations": dim_locations(locations),
         "fct_daily_api": fct_daily_api(fed),
-        "fct_daily_hourly": fct_daily_hourly(rollup),
+        "fct_daily_hourly": fct_daily_hourly(rollup_of_pairs(pairs)),
         "fct_daily": fct_daily(pairs),
         "fct_daily_quality": fct_daily_quality(pairs),
     }
     saved = concurrently(
         enriched.sparkSession, {name: partial(save, name, df) for name, df in tables.items()}
     )
+    days = saved["daily_enriched"]
+    if dates is not None:
+        days = days.where(dates.covers(F.col("daily_p_date")))
     return saved | {
         "hourly_enriched": enriched,
-        # The staged hourly readings are the stored table without its labels.
+        # The staged readings are the stored tables without what these add.
         "stg_hourly": enriched.select(*staged_hourly.columns),
-        "stg_daily": fed.withColumnsRenamed(
+        "stg_daily": days.withColumnsRenamed(
             {"daily_ingested_at": "ingested_at", "daily_p_date": "p_date"}
         ).select(*staged_daily.columns),
     }
@@ -244,20 +254,31 @@ def build_models(
 
     With ``registered`` the tables are also entered in the session catalog, one database per
     layer, and the staging models become temporary views. Days that waited when the rebuild began are
-    cleared. Paths of intermediate tables, which ``stg_daily`` still reads, are added to ``held``.
+    cleared. Paths of intermediate tables are added to ``held``.
     ``on_saved`` is told the name of each table that readers can see from now on.
+
+    Days of ``dates`` to which loads have only brought locations that they lacked are added to, from
+    these loads alone; a catalog table, which has a folder a day, is not.
     """
     spark = prepare(warehouse.spark)
     notes = _pending_notes(warehouse)
 
     loaded = tuple(k for k in KINDS if holds_keys_once(spark, warehouse.bronze(k), k))
+    sources = {k: snapshots.current(spark, warehouse.bronze(k)) for k in loaded}
+    read, replaced = dict(sources), dates
+    if dates is not None and loaded == KINDS and not registered:
+        added_to, left = days_to_add(
+            spark, _tables(warehouse, sources), dates.days, warehouse.path("gold", "fct_daily")
+        )
+        read = {k: left[warehouse.bronze(k)] for k in loaded}
+        replaced = DateSet(dates.days - added_to.days)
 
     def save(name: str, df: DataFrame) -> DataFrame:
         layer, partition = TABLES[name]
         path = warehouse.path(layer, name)
         # Loaded readings and pairs are stored by date; readings of other making are shuffled.
         stored = name != "hourly_enriched" or HOURLY in loaded
-        table = write_table(df, path, partition, dates if partition else None, stored)
+        table = write_table(df, path, partition, replaced if partition else None, stored)
         if registered:
             days = dates.days if dates else None
             register(spark, layer, warehouse.aliases.get(name, name), path, partition, days)
@@ -265,7 +286,11 @@ def build_models(
             on_saved(name)
         return table
 
-    hourly, daily = (read_bronze(spark, warehouse.bronze(kind), kind) for kind in KINDS)
+    hourly, daily = (
+        read_snapshot(spark, warehouse.bronze(kind), read[kind]) if kind in loaded
+        else read_bronze(spark, warehouse.bronze(kind), kind)
+        for kind in KINDS
+    )
     models = model_tables(
         hourly, daily, read_locations(spark, locations_csv), save, dates, held, loaded
     )
@@ -275,10 +300,23 @@ def build_models(
             ("stg_daily", stg_daily(daily, loaded=DAILY in loaded)),
         ):
             staged.createOrReplaceTempView(warehouse.aliases.get(name, name))
+    if loaded == KINDS:
+        note_built(spark, _tables(warehouse, sources), dates.days if dates else None)
     _clear_pending(warehouse, notes, dates)
     return models
 
 
+def _tables(warehouse: Warehouse, sources: dict[Readings, Snapshot]) -> Tables:
+    """The bronze tables as the build reads them, and the dated models as they are now."""
+    spark = warehouse.spark
+    models = [warehouse.path(layer, name) for name, (layer, dated) in TABLES.items() if dated]
+    return Tables(
+        warehouse.path("built", "days"),
+        {warehouse.bronze(kind): snapshot for kind, snapshot in sources.items()},
+        {path: snapshots.current(spark, path) for path in models},
+    )
+
+
 # Stored table: the declared tables that its rows are checked as, and the columns these add to it.
 _CHECKED_AS = {
     "hourly_enriched": (("hourly_enriched", "stg_hourly"), {}),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from datetime import date, datetime
+from functools import partial
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainfold.functions.bands import band_columns, flag_columns
-from rainfold.functions.dates import resolve_range
+from rainfold.functions.dates import DateSet, resolve_range
 from rainfold.operators import checks as c
 from rainfold.operators import guards, latest
 from rainfold.operators.daily_state import load_with_state, stored_rollup
@@ -33,7 +34,7 @@ from rainfold.plans import colocated, enriched, facts, pipeline, staging
 from rainfold.plans.declared_checks import declared_checks
 from rainfold.plans.pipeline import model_tables
 from rainfold.schemas import DAILY, HOURLY, Readings
-from rainfold.session import hadoop_path, materialize, scratch_path
+from rainfold.session import concurrently, hadoop_path, materialize, scratch_path
 from rainfold.sources.landing import malformed_lines, read_landing, write_landing
 from rainfold.sources import locations
 from rainfold.streaming.landing_stream import load_new_landing
@@ -406,17 +407,26 @@ def partial_rebuild(spark, sf_dir):
     """Half the locations loaded and built, then the rest, then only the days that they touch."""
     warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"))
     seed = _write_locations(bridge.locations(spark, sf_dir), scratch_path(spark, "locations"))
-    later = F.expr("pmod(hash(location_id), 2) = 1")
-    sources = {
-        kind: materialize(rows(spark, sf_dir), "source")
-        for kind, rows in ((HOURLY, bridge.bronze_hourly), (DAILY, bridge.bronze_daily))
-    }
-    for kind, rows in sources.items():
-        load(rows.where(~later), warehouse.bronze(kind), kind)
+    later = F.expr("pmod(hash(location_id), 2) = 1").alias("later")
+
+    def source(rows) -> DataFrame:
+        return materialize(rows(spark, sf_dir).select("*", later), "source", by="later")
+
+    sources = concurrently(
+        spark, {HOURLY: lambda: source(bridge.bronze_hourly), DAILY: lambda: source(bridge.bronze_daily)}
+    )
+
+    def arrive(part: str) -> DateSet:
+        def one(kind: Readings) -> DateSet:
+            rows = sources[kind].where(part).drop("later")
+            return load(rows, warehouse.bronze(kind), kind).dates
+
+        hours, days = concurrently(spark, {kind: partial(one, kind) for kind in sources}).values()
+        return hours | days
+
+    arrive("not later")
     pipeline.build_models(warehouse, seed)
-    touched = [load(rows.where(later), warehouse.bronze(kind), kind).dates
-               for kind, rows in sources.items()]
-    pipeline.build_models(warehouse, seed, touched[0] | touched[1])
+    pipeline.build_models(warehouse, seed, arrive("later"))
     return read_table(spark, warehouse.path("gold", "fct_daily"))
 
 
