@@ -312,8 +312,26 @@ def _prepare_staged(
     return Change(spark, path, kind, report, staged, before, after, (stage,))
 
 
+def share_locations(rows: DataFrame, others: DataFrame) -> bool:
+    """Whether a location of ``rows`` is in ``others`` too, or ``rows`` have none somewhere.
+
+    The rows combine to locations before the one shuffle.
+    """
+    marked = rows.selectExpr("location_id", "1 as of_rows", "0 as of_others").unionAll(
+        others.selectExpr("location_id", "0 as of_rows", "1 as of_others")
+    )
+    found = marked.groupBy("location_id").agg(
+        F.max("of_rows").alias("of_rows"), F.max("of_others").alias("of_others")
+    )
+    return not found.where(
+        "of_rows = 1 and (of_others = 1 or location_id is null)"
+    ).isEmpty()
+
+
 def _days_of_known_keys(staged: DataFrame, current: DataFrame, kind: Readings) -> list[date]:
     """The days on which the batch has a key that the table has, from the keys alone."""
+    if not share_locations(staged, current):
+        return []
     keys = list(kind.keys)
     known = current.select(*keys, PARTITION).join(staged.select(*keys), keys, "left_semi")
     return [row[PARTITION] for row in known.select(PARTITION).distinct().collect()]

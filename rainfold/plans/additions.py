@@ -21,7 +21,7 @@ from rainfold.functions.dates import DateSet
 from rainfold.operators import snapshots
 from rainfold.operators.derived import day_of
 from rainfold.operators.snapshots import Snapshot, read_snapshot
-from rainfold.operators.tables import MOST_LOADS, PARTITION
+from rainfold.operators.tables import MOST_LOADS, PARTITION, share_locations
 
 
 @dataclass(frozen=True)
@@ -56,6 +56,18 @@ def note_built(spark: SparkSession, tables: Tables, dates: Iterable[date] | None
     snapshots.publish(spark, tables.note, Snapshot(T.StructType([]), made_from=kept))
 
 
+def written_since(spark: SparkSession, path: str, before: Snapshot | None) -> DataFrame:
+    """The rows of a model table that it has got since ``before``."""
+    now = snapshots.current(spark, path)
+    known = before.live if before else {}
+    live = {
+        part: new
+        for part, loads in now.live.items()
+        if (new := [load for load in loads if load not in known.get(part, ())])
+    }
+    return read_snapshot(spark, path, changed(now, live=live))
+
+
 def days_to_add(
     spark: SparkSession, tables: Tables, dates: Iterable[date], cells: str
 ) -> tuple[DateSet, dict[str, Snapshot]]:
@@ -111,7 +123,9 @@ def _changed_days(
     first, *more = [rows(path, snapshot, cell) for path, snapshot in sources.items()]
     for other in more:
         first = first.unionAll(other)
-    unplaced = first.where("location_id is null").select(PARTITION)
     there = rows(path, known, ["location_id", f"dates as {PARTITION}"])
+    if not share_locations(first, there):
+        return set()
+    unplaced = first.where("location_id is null").select(PARTITION)
     again = there.join(first.distinct(), cell, "left_semi").select(PARTITION)
     return {row[PARTITION] for row in again.unionAll(unplaced).distinct().collect()}

@@ -31,7 +31,7 @@ from rainfold.operators.tables import (
     write_partitioned,
     write_table,
 )
-from rainfold.plans.additions import Tables, days_to_add, note_built
+from rainfold.plans.additions import Tables, days_to_add, note_built, written_since
 from rainfold.plans.declared_checks import declared_checks
 from rainfold.plans.enriched import (
     daily_enriched,
@@ -204,17 +204,16 @@ def model_tables(
 ) -> dict[str, DataFrame]:
     """All models by name. ``save(name, df)`` materializes a table and returns what to read.
 
-    The rollup reads the hourly table as it was saved, or rows that loads made where they lie. Rollup
-    and feed are paired once, and every daily table is a projection of the pairs, which are stored by
-    day: that is the one shuffle by date for all of them. ``loaded`` names the kinds whose rows come
-    from a table that loads made.
+    The hourly table is saved before the rollup reads it. Rollup and feed are paired once, and
+    every daily table is a projection of the pairs, which are stored by day: that is the one shuffle
+    by date for all of them. ``loaded`` names the kinds whose rows come from a table that loads made.
     """
     staged_hourly = stg_hourly(hourly, dates, HOURLY in loaded)
     staged_daily = stg_daily(daily, dates, DAILY in loaded)
     enriched = save("hourly_enriched", hourly_enriched(staged_hourly))
     if dates is not None:
         enriched = enriched.where(dates.covers(F.col("p_date")))
-    rollup = roll_up_to_days(staged_hourly if HOURLY in loaded else enriched)
+    rollup = roll_up_to_days(enriched)
     pairs = spread_by_date(pair_daily(staged_daily, rollup, marked=True), "day")
     pairs = materialize(pairs, "pairs", held, by="day")
     fed = pairs.where("in_feed")
@@ -265,11 +264,11 @@ def build_models(
 
     loaded = tuple(k for k in KINDS if holds_keys_once(spark, warehouse.bronze(k), k))
     sources = {k: snapshots.current(spark, warehouse.bronze(k)) for k in loaded}
-    read, replaced = dict(sources), dates
+    tables = _tables(warehouse, sources)
+    read, replaced, added_to = dict(sources), dates, DateSet(frozenset())
     if dates is not None and loaded == KINDS and not registered:
-        added_to, left = days_to_add(
-            spark, _tables(warehouse, sources), dates.days, warehouse.path("gold", "fct_daily")
-        )
+        cells = warehouse.path("gold", "fct_daily")
+        added_to, left = days_to_add(spark, tables, dates.days, cells)
         read = {k: left[warehouse.bronze(k)] for k in loaded}
         replaced = DateSet(dates.days - added_to.days)
 
@@ -284,6 +283,9 @@ def build_models(
             register(spark, layer, warehouse.aliases.get(name, name), path, partition, days)
         if on_saved:
             on_saved(name)
+        if name == "hourly_enriched" and added_to.days:
+            # The days that are added to are rolled up from what is added.
+            return written_since(spark, path, tables.models[path])
         return table
 
     hourly, daily = (
@@ -294,6 +296,11 @@ def build_models(
     models = model_tables(
         hourly, daily, read_locations(spark, locations_csv), save, dates, held, loaded
     )
+    if added_to.days:
+        whole = read_table(spark, warehouse.path("silver", "hourly_enriched"))
+        whole = whole.where(dates.covers(F.col("p_date")))
+        models["stg_hourly"] = whole.select(*models["stg_hourly"].columns)
+        models["hourly_enriched"] = whole
     if registered:
         for name, staged in (
             ("stg_hourly", stg_hourly(hourly, loaded=HOURLY in loaded)),

@@ -407,26 +407,20 @@ def partial_rebuild(spark, sf_dir):
     """Half the locations loaded and built, then the rest, then only the days that they touch."""
     warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"))
     seed = _write_locations(bridge.locations(spark, sf_dir), scratch_path(spark, "locations"))
-    later = F.expr("pmod(hash(location_id), 2) = 1").alias("later")
+    later = F.expr("pmod(hash(location_id), 2) = 1")
 
-    def source(rows) -> DataFrame:
-        return materialize(rows(spark, sf_dir).select("*", later), "source", by="later")
+    def arrive(these: Column) -> DateSet:
+        def one(kind: Readings, rows) -> DateSet:
+            return load(rows(spark, sf_dir).where(these), warehouse.bronze(kind), kind).dates
 
-    sources = concurrently(
-        spark, {HOURLY: lambda: source(bridge.bronze_hourly), DAILY: lambda: source(bridge.bronze_daily)}
-    )
-
-    def arrive(part: str) -> DateSet:
-        def one(kind: Readings) -> DateSet:
-            rows = sources[kind].where(part).drop("later")
-            return load(rows, warehouse.bronze(kind), kind).dates
-
-        hours, days = concurrently(spark, {kind: partial(one, kind) for kind in sources}).values()
+        sources = {HOURLY: bridge.bronze_hourly, DAILY: bridge.bronze_daily}
+        jobs = {kind: partial(one, kind, rows) for kind, rows in sources.items()}
+        hours, days = concurrently(spark, jobs).values()
         return hours | days
 
-    arrive("not later")
+    arrive(~later)
     pipeline.build_models(warehouse, seed)
-    pipeline.build_models(warehouse, seed, arrive("later"))
+    pipeline.build_models(warehouse, seed, arrive(later))
     return read_table(spark, warehouse.path("gold", "fct_daily"))
 
 

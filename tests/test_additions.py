@@ -3,10 +3,10 @@ from datetime import date, datetime
 import pytest
 
 from rainfold.functions.dates import DateSet
-from rainfold.operators import snapshots
+from rainfold.operators import snapshots, tables
 from rainfold.operators.rollup import roll_up_to_days
 from rainfold.operators.snapshots import read_table
-from rainfold.operators.tables import load
+from rainfold.operators.tables import load, share_locations
 from rainfold.plans import pipeline
 from rainfold.plans.enriched import pair_daily, rollup_of_pairs
 from rainfold.plans.pipeline import Warehouse
@@ -142,3 +142,23 @@ def test_rollup_of_pairs_is_the_rollup(spark):
     found = rollup_of_pairs(pairs)
     assert records(found) == records(rollup.select(*found.columns))
     assert set(found.columns) == set(rollup.columns)
+
+
+@pytest.mark.parametrize("added, shared", [
+    (("b",), False), (("b", "a"), True), ((None,), True), ((), False)])
+def test_share_locations(spark, added, shared):
+    there = hours(spark, ("a", 1, 0, 1.0), ("c", 1, 0, 1.0), (None, 1, 0, 1.0))
+    assert share_locations(hours(spark, *[(place, 1, 1, 1.0) for place in added]), there) == shared
+
+
+def test_keys_of_new_locations_are_not_compared(spark, tmp_path, monkeypatch):
+    path, seen = str(tmp_path / "table"), []
+    load(hours(spark, ("a", 1, 0, 1.0)), path, HOURLY)
+    compare = tables._days_of_known_keys
+    monkeypatch.setattr(
+        tables, "_days_of_known_keys", lambda *frames: seen.append(compare(*frames)) or seen[-1])
+    load(hours(spark, ("b", 1, 0, 2.0)), path, HOURLY)
+    load(hours(spark, ("b", 1, 0, 3.0), ("d", 1, 1, 3.0)), path, HOURLY)
+    assert seen == [[], [date(2024, 1, 1)]]
+    assert records(read_table(spark, path), "location_id", "rain") == [
+        ("a", 1.0), ("b", 3.0), ("d", 3.0)]
