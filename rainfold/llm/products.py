@@ -76,12 +76,13 @@ class Search:
         self._tile = np.empty(CHUNK * SEGMENT, np.float32)
 
     def reaching(
-        self, which: np.ndarray, least: np.ndarray, rows: Vectors
+        self, which: np.ndarray, least: np.ndarray, rows: Vectors, most: np.ndarray | None = None
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Asked vector, row and score of the pairs that reach ``least``, and the asked vectors with
         too many of them, whose pairs are left out.
 
-        ``which`` are a chunk's asked vectors, ``least`` their whole numbers.
+        ``which`` are a chunk's asked vectors, ``least`` their whole numbers; scores over ``most``, if
+        given, do not count.
         """
         kind = exact_type(self.asked.norms[which], rows.norms)
         asked, bar = self.asked.as_type(kind)[which], _bar(least, kind)
@@ -95,6 +96,8 @@ class Search:
             scores = scores_of(asked, part, kind, out)
             rise = np.flatnonzero(scores.max(axis=1) >= bar)
             reach = scores[rise] >= bar[rise, None]
+            if most is not None:
+                reach &= scores[rise] <= _bar(most, kind)[rise, None]
             few = reach.sum(axis=1) <= MANY
             i, x = np.divmod(np.flatnonzero(reach[few]), len(part))
             i = rise[few][i]
